@@ -8,6 +8,7 @@ from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from briefwright.functions import text as T
 from briefwright.functions.urls import percent_encode
@@ -164,18 +165,18 @@ def _plain_links(text: str) -> str:
     return _BARE.sub(bare, _LINK.sub(link, text))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def plain_links(md: pd.Series) -> pd.Series:
     """Every link in ``[label](url)`` form; bare URLs are wrapped, trailing punctuation stays outside."""
     return md.fillna("").map(_plain_links)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def link_targets(md: pd.Series) -> pd.Series:
     return md.fillna("").map(lambda text: list(dict.fromkeys(u for _, u in map(_parts, _LINK.finditer(text)) if _web(u))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def without_links(md: pd.Series, dead: pd.Series) -> pd.Series:
     """Links to dead targets become their label."""
     def one(text: str, gone: set[str]) -> str:
@@ -187,7 +188,7 @@ def without_links(md: pd.Series, dead: pd.Series) -> pd.Series:
     return pd.Series([one(t or "", set(d if d is not None else ())) for t, d in zip(md, dead)], dtype="object")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def clickable_text(md: pd.Series) -> pd.Series:
     """Links as ``label：url `` for plain-text channels, emphasis marks dropped."""
     def one(text: str) -> str:
