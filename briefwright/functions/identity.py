@@ -8,7 +8,7 @@ from briefwright.functions.text import slug, text_or_empty
 from briefwright.functions.urls import (
     PAPER_HOSTS, REVIEW_HOST, VIDEO_HOSTS, X_HOSTS, part, path_parts, query_value, url_host, url_path,
 )
-from briefwright.lexicon import Lexicon, any_substring, term_array
+from briefwright.lexicon import Lexicon, any_substring, constant, let, term_array
 
 ROUTE_KEY = "route:paradigm-shift"
 
@@ -62,9 +62,9 @@ def release_identity(title: Column, url: Column, content: Column, lexicon: Lexic
 
     low_title = F.lower(text_or_empty(title))
     haystack = F.concat_ws(" ", low_title, F.lower(text_or_empty(content)))
-    aliases = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(v).alias("vendor"),
-                                 F.lit(_model_slug(a)).alias("model")) for a, v in LAB_ALIASES])
-    lab = F.try_element_at(F.filter(aliases, lambda x: haystack.contains(x["alias"])), F.lit(1))
+    aliases = constant([{"alias": a, "vendor": v, "model": _model_slug(a)} for a, v in LAB_ALIASES],
+                       "array<struct<alias:string,vendor:string,model:string>>")
+    lab = let(haystack, lambda h: F.try_element_at(F.filter(aliases, lambda x: h.contains(x["alias"])), F.lit(1)))
     version = slug(F.regexp_extract(low_title, r"\b([a-z]?\d+(?:\.\d+)?)\b", 1), "-")
     usable = lab.isNotNull() & (version != "") & ~version.rlike(r"^20\d{2}$")
     by_lab = F.when(

@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from briefwright.functions import text as T
 from briefwright.functions.urls import percent_encode
+from briefwright.lexicon import any_substring
 
 
 def clean_label(label: Column) -> Column:
@@ -121,7 +122,7 @@ def clean_structure(reports: DataFrame, key: str = "report_id", md: str = "markd
     lines = lines.withColumns({
         "level": F.when(level > 0, level),
         "heading": F.when(level > 0, F.trim(F.regexp_replace(F.trim("line"), "^#{2,6}", "")))})
-    forbidden = F.exists(F.array(*[F.lit(s) for s in FORBIDDEN_SECTIONS]), lambda s: F.col("heading").contains(s))
+    forbidden = any_substring(F.col("heading"), FORBIDDEN_SECTIONS)
     lines = lines.withColumn("_bad", F.coalesce(forbidden, F.lit(False)))
     lines = lines.withColumn("_cut", covered(lines, "_bad", key)).where("not _cut")
     folded = lines.withColumn("line", F.regexp_replace("line", r"^##\s*(?:\d+[\.、]\s*)?跨平台主题分析\s*$", "## 2. 主题与分类精选"))
@@ -233,7 +234,7 @@ def is_truncated(md: Column) -> Column:
 
 def is_refusal(md: Column) -> Column:
     low = F.lower(T.text_or_empty(md))
-    return (F.length(md) <= 500) & F.exists(F.array(*[F.lit(r) for r in REFUSALS]), lambda r: low.contains(r))
+    return (F.length(md) <= 500) & any_substring(low, REFUSALS)
 
 
 def digest_fault(md: Column, top_n: int = 10) -> Column:
@@ -268,7 +269,7 @@ SNIPPET_TAGS = ["摘要：", "提示：", "总结", "简述"]
 def extract_cases(reports: DataFrame, key: str = "report_id", md: str = "markdown") -> DataFrame:
     """(key, pos, title, url, section, snippet): top bullets with their link and summary, which may stand on
     the lines below. A heading or the next top bullet ends a case."""
-    has_any = lambda c, tags: F.exists(F.array(*[F.lit(t) for t in tags]), lambda t: c.contains(t))
+    has_any = any_substring
     lines = reports.select(key, F.posexplode(F.split(F.coalesce(md, F.lit("")), r"\R")).alias("ord", "raw"))
     lines = lines.withColumns({"line": F.rtrim("raw"), "bare": F.trim("raw")}).where("bare <> ''")
     lines = lines.withColumns({

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-from briefwright.lexicon import Lexicon, any_substring, substring_hits, term_array
+from briefwright.lexicon import Lexicon, any_substring, constant, let, substring_hits, term_array
 
 EMPTY = F.lit  # readability: EMPTY("") is the empty string
 
@@ -120,8 +120,9 @@ def _compact_term(term: str) -> str:
 
 def phrase_hits(text: Column, compacted: Column, phrases: Iterable[str]) -> Column:
     """Distinct phrases found in the text or, spaces and punctuation dropped, in its compact form."""
-    pairs = F.array(*[F.struct(F.lit(p.lower()).alias("p"), F.lit(_compact_term(p)).alias("c")) for p in phrases])
-    return F.size(F.filter(pairs, lambda x: text.contains(x["p"]) | compacted.contains(x["c"])))
+    pairs = constant([{"p": p.lower(), "c": _compact_term(p)} for p in phrases], "array<struct<p:string,c:string>>")
+    both = F.struct(text.alias("t"), compacted.alias("d"))
+    return let(both, lambda b: F.size(F.filter(pairs, lambda x: b["t"].contains(x["p"]) | b["d"].contains(x["c"]))))
 
 
 # Phrases that anchor the alternative-route theme, and the two negated next-token patterns.
@@ -132,33 +133,35 @@ ROUTE_ANCHORS = [
     "self improving", "beyond scaling", "beyond scale", "scaling alternative", "alternatives to scaling",
 ]
 NEGATED_NEXT_TOKEN = (
-    r"\b(?:not|without|beyond|abandon(?:ing)?|abandons?|drop(?:ping)?|drops?|do(?:es)?\s+not|doesn't|don't)\b"
+    r"(?U)\b(?:not|without|beyond|abandon(?:ing)?|abandons?|drop(?:ping)?|drops?|do(?:es)?\s+not|doesn't|don't)\b"
     r"\s+(?:\w+\s+){0,4}(?:predict(?:ing)?\s+(?:the\s+)?next[-\s]?token|next[-\s]?token\s+prediction)\b"
 )
-NEGATED_NEXT_TOKEN_CJK = r"(?i)(?:放弃|不再|不是|并非|无需).{0,12}预测.{0,4}下一个\s*token"
+NEGATED_NEXT_TOKEN_CJK = r"(?iu)(?:放弃|不再|不是|并非|无需).{0,12}预测.{0,4}下一个\s*token"
 
 
 def route_signal(text: Column, lexicon: Lexicon) -> Column:
     """The text is about an alternative to the mainstream scaling route."""
-    flat = F.regexp_replace(F.lower(text_or_empty(text)), r"(?U)\s+", " ")
-    dense = compact(flat)
-    named = phrase_hits(flat, dense, lexicon["route_strong"]) > 0
-    in_context = any_substring(flat, lexicon["route_context"])
-    anchored = (phrase_hits(flat, dense, lexicon["route_phrase"]) >= 2) & (phrase_hits(flat, dense, ROUTE_ANCHORS) > 0)
-    negated = flat.rlike(NEGATED_NEXT_TOKEN) | flat.rlike(NEGATED_NEXT_TOKEN_CJK)
-    return named | (in_context & (anchored | negated))
+    def decide(flat: Column, dense: Column) -> Column:
+        named = phrase_hits(flat, dense, lexicon["route_strong"]) > 0
+        in_context = any_substring(flat, lexicon["route_context"])
+        anchored = (phrase_hits(flat, dense, lexicon["route_phrase"]) >= 2) & (phrase_hits(flat, dense, ROUTE_ANCHORS) > 0)
+        negated = flat.rlike(NEGATED_NEXT_TOKEN) | flat.rlike(NEGATED_NEXT_TOKEN_CJK)
+        return named | (in_context & (anchored | negated))
+
+    one_line = F.regexp_replace(F.lower(text_or_empty(text)), r"(?U)\s+", " ")
+    return let(one_line, lambda flat: let(compact(flat), lambda dense: decide(flat, dense)))
 
 
 def says_unrelated(text: Column) -> Column:
-    return text.rlike(r"\b(unrelated|not\s+related|separate\s+from)\b")
+    return text.rlike(r"(?U)\b(unrelated|not\s+related|separate\s+from)\b")
 
 
 # Money, percentage and power figures.
 MONEY_PATTERN = (
-    r"(?i)(?:[$€£¥]\s?\d+(?:\.\d+)?\s?(?:b|bn|billion|m|mn|million|t|trillion)?)"
+    r"(?iU)(?:[$€£¥]\s?\d+(?:\.\d+)?\s?(?:b|bn|billion|m|mn|million|t|trillion)?)"
     r"|(?:\b\d+(?:\.\d+)?\s?(?:billion|million|trillion|bn|mn|%|x)\b)"
 )
-POWER_PATTERN = r"(?i)\b\d+(?:\.\d+)?\s?(?:gw|gigawatt|mw|megawatt)\b"
+POWER_PATTERN = r"(?iU)\b\d+(?:\.\d+)?\s?(?:gw|gigawatt|mw|megawatt)\b"
 
 VERSION_PATTERN = r"(?<![a-zA-Z0-9])v?(\d+)\.(\d+)(?:\.(\d+))?(?:[-+.]?([0-9A-Za-z][0-9A-Za-z.-]*))?"
 PRERELEASE_PATTERN = r"(?i)(?:^|[-.])(alpha|beta|rc|pre|preview|dev|nightly|canary)\d*"
@@ -230,11 +233,10 @@ PHRASE_PATTERN = (
 
 def distinct_ignoring_case(values: Column) -> Column:
     """First spelling of every value, compared in lower case, order kept."""
-    lows = F.transform(values, F.lower)
-    return F.transform(
-        F.filter(F.transform(values, lambda v, i: F.struct(v.alias("v"), i.alias("i"))),
-                 lambda x: F.array_position(lows, F.lower(x["v"])) == x["i"] + 1),
-        lambda x: x["v"])
+    def first_only(both: Column) -> Column:
+        return F.filter(both["v"], lambda v, i: F.array_position(both["low"], F.lower(v)) == i + 1)
+
+    return let(values, lambda v: let(F.struct(v.alias("v"), F.transform(v, F.lower).alias("low")), first_only))
 
 
 def entity_names(text: Column, lexicon: Lexicon) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -40,21 +41,36 @@ class Lexicon:
         return cls().replace(**{name: sorted(terms) for name, terms in found.items()})
 
 
+def constant(value, ddl: str) -> Column:
+    """A constant of any type as one literal that Catalyst folds; keeps plans of large lists small."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl)
+
+
 def term_array(terms: Iterable[str]) -> Column:
-    """A constant array; Catalyst folds it once per plan."""
+    """A constant array of strings."""
     terms = list(terms)
     if not terms:
         return F.expr("cast(array() as array<string>)")
-    return F.array(*[F.lit(term) for term in terms])
+    return F.split(F.lit("\u0001".join(terms)), "\u0001")
+
+
+def constant_map(mapping: Mapping[str, object], kind: str = "string") -> Column:
+    return constant(dict(mapping), f"map<string,{kind}>")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row. An expression used inside a lambda is evaluated
+    for every element; as the only element of an array it is evaluated once and passed on by name."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def substring_hits(text: Column, terms: Iterable[str]) -> Column:
     """Number of distinct terms that occur anywhere in the text (no word boundaries)."""
-    return F.size(F.filter(term_array(terms), lambda term: text.contains(term)))
+    return let(text, lambda t: F.size(F.filter(term_array(terms), lambda term: t.contains(term))))
 
 
 def any_substring(text: Column, terms: Iterable[str]) -> Column:
-    return F.exists(term_array(terms), lambda term: text.contains(term))
+    return let(text, lambda t: F.exists(term_array(terms), lambda term: t.contains(term)))
 
 
 def token_hits(tokens: Column, terms: Iterable[str]) -> Column:

@@ -51,7 +51,7 @@ def _first_hit(text: Column, patterns: Sequence[str], label: str) -> Column:
     """Label and matched text of the first pattern, in list order, that is found."""
     out = F.lit(None).cast("string")
     for pattern in reversed(patterns):
-        found = F.regexp_substr(text, F.lit(f"(?iu){pattern}"))
+        found = F.regexp_substr(text, F.lit(f"(?iU){pattern}"))
         out = F.coalesce(F.concat(F.lit(f"{label}: "), found), out)
     return out
 
@@ -75,7 +75,7 @@ def ad_source_reason(rules: Mapping[str, Mapping[str, Any]]) -> Column:
             least = float(rule["min_upvote_ratio"])
             reason = F.when(ratio < least, F.concat(F.lit("reddit_low_ratio: "), ratio.cast("string"), F.lit(f" < {least}")))
         for pattern in reversed(list(rule.get("title_keywords", []))):
-            reason = F.when(F.coalesce("title", F.lit("")).rlike(f"(?iu){pattern}"), f"source_keyword: {pattern}").otherwise(reason)
+            reason = F.when(F.coalesce("title", F.lit("")).rlike(f"(?iU){pattern}"), f"source_keyword: {pattern}").otherwise(reason)
         out = F.when(F.col("source") == source, reason).otherwise(out)
     return out
 

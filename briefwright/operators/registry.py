@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from briefwright.functions.urls import source_candidates, url_host
-from briefwright.lexicon import term_array
+from briefwright.lexicon import any_substring, constant_map, term_array
 
 # Default weights by source name and host.
 WEIGHTS: dict[str, float] = {
@@ -77,7 +77,7 @@ class Registry:
 
     def weight(self, source: Column, url: Column) -> Column:
         """Weight of the first candidate key that is registered."""
-        table = F.create_map(*[x for key, w in self.weights.items() for x in (F.lit(key), F.lit(float(w)))])
+        table = constant_map(self.weights, "double")
         found = F.filter(F.transform(source_candidates(source, url), lambda c: F.try_element_at(table, c)), lambda w: w.isNotNull())
         return F.coalesce(F.try_element_at(found, F.lit(1)), F.lit(self.default_weight))
 
@@ -90,7 +90,7 @@ class Registry:
         return out.otherwise("T3")
 
     def tier_weight(self, tier: Column) -> Column:
-        table = F.create_map(*[x for t, w in self.tier_weights.items() for x in (F.lit(t), F.lit(float(w)))])
+        table = constant_map(self.tier_weights, "double")
         return F.coalesce(F.try_element_at(table, tier), F.lit(float(self.tier_weights.get("T3", 1.0))))
 
 
@@ -153,7 +153,7 @@ def is_oral_or_above(source: Column, url: Column, content: Column, tags: Column,
     fields = [F.coalesce(F.try_variant_get(parsed, f"$.{k}", "string"), F.lit(""))
               for k in ("venue", "venue_id", "presentation", "decision", "status")]
     text = F.lower(F.concat_ws(" ", *fields, F.array_join(F.coalesce(tags, term_array([])), " "), F.coalesce(content, F.lit(""))))
-    has = F.exists(term_array(ORAL_TERMS), lambda t: text.contains(t))
+    has = any_substring(text, ORAL_TERMS)
     reviewed = (F.lower(F.coalesce(source, F.lit(""))) == "openreview") | (url_host(url) == "openreview.net")
     return reviewed & has
 

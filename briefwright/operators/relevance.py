@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from briefwright.functions import text as T
-from briefwright.lexicon import Lexicon, any_substring, substring_hits, term_array, token_hits
+from briefwright.lexicon import Lexicon, any_substring, constant_map, substring_hits, term_array, token_hits
 from briefwright.operators.ranking import by_score, ranked
 from briefwright.policy import policy
 
@@ -56,13 +56,9 @@ ROUTE_REASON = (
 )
 
 
-def _constant_map(mapping: Mapping[str, Any]) -> Column:
-    return F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-
-
 def source_topic(source: Column) -> Column:
     """Topic a source belongs to by default; null when it has none."""
-    return F.try_element_at(_constant_map(SOURCE_TOPIC), source)
+    return F.try_element_at(constant_map(SOURCE_TOPIC), source)
 
 
 def with_routing_text(items: DataFrame) -> DataFrame:
@@ -96,7 +92,7 @@ def relevance(lexicon: Lexicon) -> Column:
         + points(source.isin(*PRIMARY_SOURCES), 0.35)
         + points(tagged, 0.35)
         + F.least(F.lit(0.60), hits * F.lit(0.12))
-        + points(text.rlike(r"\bai\b"), 0.25)
+        + points(text.rlike(r"(?U)\bai\b"), 0.25)
         + points((F.coalesce("arxiv_id", F.lit("")) != "") & (hits > 0), 0.15)
         + points(source.isin("github", "producthunt") & (hits > 0), 0.10)
         - points(source.isin(*BROAD_SOURCES) & ~tagged & (hits == 0), 0.30)

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from briefwright.functions import identity, text as T, urls as U
-from briefwright.lexicon import Lexicon, any_substring, substring_hits, term_array, token_hits
+from briefwright.lexicon import Lexicon, any_substring, constant, constant_map, substring_hits, token_hits
 from briefwright.operators.registry import Registry, is_discovered_primary, is_project_host, item_tier, item_weight
 from briefwright.policy import DIMENSIONS, policy
 
@@ -67,7 +67,7 @@ def _mask(terms: Sequence[str], present) -> Column:
     terms = list(terms)
     if len(terms) > 63:
         raise ValueError("a scoring group holds at most 63 terms; split it into two groups")
-    bits = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(1 << i).cast("bigint").alias("bit")) for i, t in enumerate(terms)])
+    bits = constant([{"term": t, "bit": 1 << i} for i, t in enumerate(terms)], "array<struct<term:string,bit:bigint>>")
     return F.aggregate(F.filter(bits, lambda x: present(x["term"])), F.lit(0).cast("bigint"),
                        lambda acc, x: acc.bitwiseOR(x["bit"]))
 
@@ -210,7 +210,7 @@ MAIN_COLUMNS = ("item_id", "pos", "source", "source_type", "title", "url", "auth
 def main_order(ranking: Mapping[str, Any] | None = None) -> list[Column]:
     """Sort keys (all descending) that pick the main item of an event."""
     knobs = policy("ranking", dict(ranking or {}))
-    order = F.create_map(*[x for t, v in knobs["tier_order"].items() for x in (F.lit(t), F.lit(float(v)))])
+    order = constant_map({t: float(v) for t, v in knobs["tier_order"].items()}, "double")
     social = _points(U.netloc(F.col("url")).isin(*knobs["main_link_social_penalty_hosts"]), float(knobs["main_link_social_penalty"]))
     length = F.least(F.length(T.text_or_empty(F.col("title"))), F.lit(240)) * F.lit(float(knobs["title_length_penalty_per_char"]))
     return [F.coalesce(F.try_element_at(order, F.col("tier")), F.lit(1.0)), F.col("source_weight"), -social,
@@ -245,8 +245,7 @@ def event_aggregates(signals: DataFrame, event: str = "event", ranking: Mapping[
 def _lookup(table: Mapping[str, float], key: Column, default: float) -> Column:
     if not table:
         return F.lit(float(default))
-    mapping = F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.lit(float(v)))])
-    return F.coalesce(F.try_element_at(mapping, key), F.lit(float(default)))
+    return F.coalesce(F.try_element_at(constant_map({k: float(v) for k, v in table.items()}, "double"), key), F.lit(float(default)))
 
 
 def _clip(value: Column, places: int = 2) -> Column:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from briefwright.functions import text as T
+from briefwright.lexicon import let
 from briefwright.operators.joins import nearest_position
 from briefwright.operators.ranking import first_per
 from briefwright.schema import to_items
@@ -211,14 +212,18 @@ def payload_text(html: Column) -> Column:
 
 def pattern_positions(df: DataFrame, keys: list[str], text: str, pattern: str) -> DataFrame:
     """(keys, pos, value) of every match, value is the first group."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    whole = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    # texts between the matches give the positions
-    gaps = F.split(text, pattern)
-    starts = F.transform(matches, lambda _, i: F.aggregate(
-        F.sequence(F.lit(0), i), F.lit(0), lambda acc, k: acc + F.length(F.get(gaps, k)) + F.when(k < i, F.length(F.get(whole, k))).otherwise(0)))
-    pairs = F.transform(matches, lambda m, i: F.struct(F.get(starts, i).cast("bigint").alias("pos"), m.alias("value")))
-    return df.where(F.size(matches) > 0).select(*keys, F.explode(pairs).alias("m")).select(*keys, "m.*")
+    found = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("value"),
+        # matches and the texts between them give the positions
+        F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), F.length).alias("whole"),
+        F.transform(F.split(text, pattern, -1), F.length).alias("gap"))
+
+    def placed(m: Column) -> Column:
+        start = lambda i: F.aggregate(F.sequence(F.lit(0), i), F.lit(0), lambda acc, k: acc + F.get(m["gap"], k)
+                                      + F.when(k < i, F.get(m["whole"], k)).otherwise(0))
+        return F.transform(m["value"], lambda v, i: F.struct(start(i).cast("bigint").alias("pos"), v.alias("value")))
+
+    return df.select(*keys, F.explode(let(found, placed)).alias("m")).select(*keys, "m.*")
 
 
 def script_payload_items(pages: DataFrame, source: str = "anthropic", author: str = "Anthropic", base: str = "https://www.anthropic.com",
