@@ -17,22 +17,22 @@ from briefwright.lexicon import any_substring
 
 def clean_label(label: Column) -> Column:
     """No square brackets in a link label; ``link`` when nothing is left."""
-    bare = lambda value: F.trim(F.regexp_replace(value, r"[\[\]]", ""))
+    bare = lambda value: T.strip(F.regexp_replace(value, r"[\[\]]", ""))
     text = F.when(T.text_or_empty(label) == "", F.lit("link")).otherwise(label)
     return F.when(bare(text) == "", "link").otherwise(bare(text))
 
 
 def display_title(title: Column) -> Column:
     """First non-empty line without links, list marks and brackets."""
-    raw = F.trim(F.regexp_replace(T.text_or_empty(title), r"https?://\S+", ""))
-    lines = F.filter(F.transform(F.split(raw, r"\R"), lambda x: F.trim(x)), lambda x: x != "")
+    raw = T.strip(F.regexp_replace(T.text_or_empty(title), r"https?://\S+", ""))
+    lines = F.filter(F.transform(F.split(raw, r"\R"), lambda x: T.strip(x)), lambda x: x != "")
     first = F.coalesce(F.try_element_at(lines, F.lit(1)), raw)
-    bare = F.trim(F.regexp_replace(first, r"^[-*•]\s+", ""))
+    bare = T.strip(F.regexp_replace(first, r"^[-*•]\s+", ""))
     return T.compact_inline(clean_label(bare))
 
 
 def markdown_link(label: Column, url: Column) -> Column:
-    target = F.trim(T.text_or_empty(url))
+    target = T.strip(T.text_or_empty(url))
     web = target.startswith("http://") | target.startswith("https://")
     return F.when(web, F.concat(F.lit("["), clean_label(label), F.lit("]("), percent_encode(target), F.lit(")"))).otherwise(clean_label(label))
 
@@ -42,7 +42,7 @@ def item_link(title: Column, url: Column, max_chars: int | None = None) -> Colum
     shown = display_title(title)
     if max_chars:
         shown = F.when(F.length(shown) > max_chars, F.concat(F.rtrim(F.substring(shown, 1, max_chars - 1)), F.lit("…"))).otherwise(shown)
-    return F.when(F.trim(T.text_or_empty(url)) != "", markdown_link(shown, url)).otherwise(shown)
+    return F.when(T.strip(T.text_or_empty(url)) != "", markdown_link(shown, url)).otherwise(shown)
 
 
 def item_line(title: Column, author: Column, url: Column, score: Column) -> Column:
@@ -62,8 +62,8 @@ def section_body(md: Column, title: str, level: int = 2) -> Column:
 
 
 def section_bullets(md: Column, title: str, limit: int | None = None, level: int = 2) -> Column:
-    lines = F.transform(F.split(section_body(md, title, level), r"\R"), lambda x: F.trim(x))
-    found = F.transform(F.filter(lines, lambda x: x.startswith("- ")), lambda x: F.trim(F.substr(x, F.lit(3))))
+    lines = F.transform(F.split(section_body(md, title, level), r"\R"), lambda x: T.strip(x))
+    found = F.transform(F.filter(lines, lambda x: x.startswith("- ")), lambda x: T.strip(F.substr(x, F.lit(3))))
     return F.slice(found, 1, limit) if limit else found
 
 
@@ -76,7 +76,7 @@ def line_table(reports: DataFrame, key: str = "report_id", md: str = "markdown")
     lines = reports.select(key, F.posexplode(F.split(F.coalesce(md, F.lit("")), r"\R")).alias("ord", "line"))
     level = F.length(F.regexp_extract("line", r"^\s*(#{1,6})\s+\S", 1))
     return lines.withColumn("level", F.when(level > 0, level)).withColumn(
-        "heading", F.when(F.col("level").isNotNull(), F.trim(F.regexp_replace("line", r"^\s*#{1,6}\s+", ""))))
+        "heading", F.when(F.col("level").isNotNull(), T.strip(F.regexp_replace("line", r"^\s*#{1,6}\s+", ""))))
 
 
 def _to_here(key: str) -> Window:
@@ -112,16 +112,16 @@ def heading_section(reports: DataFrame, wanted: Sequence[str], key: str = "repor
     lines = lines.withColumn("is_start", F.coalesce(F.col("ord") == first, F.lit(False)))
     body = lines.withColumn("inside", covered(lines, "is_start", key)).where("inside and trim(line) <> '---'")
     out = join_lines(body, key, "section")
-    return out.select(key, F.trim("section").alias("section"))
+    return out.select(key, T.strip("section").alias("section"))
 
 
 def clean_structure(reports: DataFrame, key: str = "report_id", md: str = "markdown") -> DataFrame:
     """Forbidden sections removed with their subtree, old headings folded, only the first statistics section kept."""
     lines = line_table(reports, key, md)
-    level = F.length(F.regexp_extract(F.trim("line"), "^(#{2,6})", 1))
+    level = F.length(F.regexp_extract(T.strip("line"), "^(#{2,6})", 1))
     lines = lines.withColumns({
         "level": F.when(level > 0, level),
-        "heading": F.when(level > 0, F.trim(F.regexp_replace(F.trim("line"), "^#{2,6}", "")))})
+        "heading": F.when(level > 0, T.strip(F.regexp_replace(T.strip("line"), "^#{2,6}", "")))})
     forbidden = any_substring(F.col("heading"), FORBIDDEN_SECTIONS)
     lines = lines.withColumn("_bad", F.coalesce(forbidden, F.lit(False)))
     lines = lines.withColumn("_cut", covered(lines, "_bad", key)).where("not _cut")
@@ -271,13 +271,13 @@ def extract_cases(reports: DataFrame, key: str = "report_id", md: str = "markdow
     the lines below. A heading or the next top bullet ends a case."""
     has_any = any_substring
     lines = reports.select(key, F.posexplode(F.split(F.coalesce(md, F.lit("")), r"\R")).alias("ord", "raw"))
-    lines = lines.withColumns({"line": F.rtrim("raw"), "bare": F.trim("raw")}).where("bare <> ''")
+    lines = lines.withColumns({"line": F.rtrim("raw"), "bare": T.strip("raw")}).where("bare <> ''")
     lines = lines.withColumns({
         "is_section": F.col("bare").startswith("## ") | F.col("bare").startswith("### "),
         "is_top": F.col("line").rlike(r"^\s*(?:- |\d+\.\s+)") & ~F.col("line").rlike(r"^\s{2,}-\s+")})
     w = _to_here(key)
     lines = lines.withColumns({
-        "section": F.coalesce(F.last(F.when(F.col("is_section"), F.trim(F.regexp_replace("bare", "^#{2,3} ", ""))), ignorenulls=True).over(w), F.lit("")),
+        "section": F.coalesce(F.last(F.when(F.col("is_section"), T.strip(F.regexp_replace("bare", "^#{2,3} ", ""))), ignorenulls=True).over(w), F.lit("")),
         "part": F.sum(F.when(F.col("is_section") | F.col("is_top"), 1).otherwise(0)).over(w)})
     lines = lines.where(~F.col("is_section") & ~F.col("bare").startswith("|"))
     lines = lines.withColumns({"link": T.first_url(F.col("bare"))})

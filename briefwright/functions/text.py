@@ -30,6 +30,11 @@ def slug(value: Column, joiner: str = "_") -> Column:
     return F.btrim(F.regexp_replace(F.lower(text_or_empty(value)), "[^a-z0-9]+", joiner), F.lit(joiner))
 
 
+def strip(text: Column) -> Column:
+    """White space of any kind removed from both ends (``trim`` removes spaces only)."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def squeeze(text: Column) -> Column:
     """Whitespace runs become one space, ends trimmed."""
     return F.trim(F.regexp_replace(text_or_empty(text), r"(?U)\s+", " "))

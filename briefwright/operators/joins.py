@@ -128,7 +128,7 @@ def compare_versions(old: DataFrame, new: DataFrame, sections: Mapping[str, Sequ
     def pick(df: DataFrame, name: str) -> DataFrame:
         rows = []
         for label, titles in sections.items():
-            found = F.coalesce(*[F.nullif(F.trim(M.section_body(F.col("markdown"), t)), F.lit("")) for t in titles])
+            found = F.coalesce(*[F.nullif(T.strip(M.section_body(F.col("markdown"), t)), F.lit("")) for t in titles])
             rows.append(F.struct(F.lit(label).alias("section"), found.alias(name)))
         return df.select(key, F.explode(F.array(*rows)).alias("s")).select(key, "s.*")
 

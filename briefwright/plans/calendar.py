@@ -78,7 +78,7 @@ def date_label(label: Column, start: Column, end: Column) -> Column:
 
 
 def focus_text(focus: Column, note: Column) -> Column:
-    items = F.slice(F.filter(F.transform(F.coalesce(focus, F.expr("cast(array() as array<string>)")), F.trim), lambda x: x != ""), 1, 5)
+    items = F.slice(F.filter(F.transform(F.coalesce(focus, F.expr("cast(array() as array<string>)")), lambda x: F.trim(x)), lambda x: x != ""), 1, 5)
     joined = F.when(F.size(items) > 0, F.concat(F.lit("关注点："), F.array_join(items, "、")))
     extra = F.nullif(F.trim(text_or_empty(note)), F.lit(""))
     return F.concat_ws("；", joined, extra)

@@ -150,13 +150,13 @@ THEME_HEADING = r"(?m)^##\s*(?:(?:2|3)[\.、]\s*)?(主题与分类精选.*)$"
 
 def insert_section(reports: DataFrame, section: Column, key: str = "report_id") -> DataFrame:
     """Section before the themes, themes renumbered; at the end when there are none; never twice."""
-    text = F.concat(F.trim(T.text_or_empty(F.col("markdown"))), F.lit("\n"))
+    text = F.concat(T.strip(T.text_or_empty(F.col("markdown"))), F.lit("\n"))
     title = F.trim(F.regexp_extract(text, THEME_HEADING, 1))
     found = F.regexp_substr(text, F.lit(THEME_HEADING))
     at = F.instr(text, found)
     before, after = F.substr(text, F.lit(1), at - 1), F.substr(text, at + F.length(found))
-    out = (F.when(F.trim(section) == "", F.col("markdown")).when(text.contains(EVENTS_HEADING), text)
-           .when(found.isNull(), _cat(F.rtrim(text), "\n\n", section))
+    out = (F.when(T.strip(section) == "", F.col("markdown")).when(text.contains(EVENTS_HEADING), text)
+           .when(found.isNull(), _cat(F.regexp_replace(text, r"\s+$", ""), "\n\n", section))
            .otherwise(_cat(before, section, "## 3. ", title, after)))
     return reports.withColumn("markdown", out)
 
@@ -287,5 +287,5 @@ def short_message(reports: DataFrame, footer: Column | str, feed_url: str = "",
     plain = out.select(key, M.clickable_text(body).alias("text"), _lit(footer).alias("footer"))
     budget = F.greatest(F.lit(limit) - F.length("footer") - 20, F.lit(1000))
     cut = F.when(F.length("text") > limit, _cat(F.substr("text", F.lit(1), budget), "\n\n[truncated]\n\n", F.col("footer")))
-    closed = F.when(~F.right("text", F.lit(2000)).contains("Token 使用与费用"), _cat(F.rtrim(F.col("text")), "\n\n", F.col("footer")))
+    closed = F.when(~F.right("text", F.lit(2000)).contains("Token 使用与费用"), _cat(F.regexp_replace(F.col("text"), r"\s+$", ""), "\n\n", F.col("footer")))
     return plain.select(key, F.coalesce(cut, closed, F.col("text")).alias("message"))
