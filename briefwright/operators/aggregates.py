@@ -109,7 +109,7 @@ def history_summary(daily: DataFrame) -> DataFrame:
             .unionByName(feedback.select(F.lit("feedback").alias("kind"), F.lit("count").alias("key"), F.col("count").alias("value"))))
     sums = rows.groupBy("kind", "key").agg(F.sum(F.col("value").cast("decimal(28,8)")).alias("total"))
     # one row: the number of days
-    out = sums.join(F.broadcast(days))
+    out = sums.withColumn("_one", F.lit(1)).join(F.broadcast(days.withColumn("_one", F.lit(1))), "_one")
     value = F.when(F.col("kind") == "metric", F.round(F.col("total") / F.col("days"), 4)).otherwise(F.round("total", 8))
     return out.select("kind", "key", value.cast("double").alias("value"))
 

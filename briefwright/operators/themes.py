@@ -49,7 +49,9 @@ def rank_terms(entity_counts: DataFrame, keyword_counts: DataFrame, by: Sequence
     fresh = keyword_counts.withColumn("_low", F.lower("term")).join(taken, [*by, "_low"], "left_anti").drop("_low")
     words = _ranked_terms(fresh, by, k).withColumn("kind", F.lit("keyword"))
     sizes = entities.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else entities.agg(F.count(F.lit(1)).alias("_n"))
-    words = (words.join(sizes, list(by), "left") if by else words.join(F.broadcast(sizes)))
+    # without periods there is one row of sizes
+    words = words.join(sizes, list(by), "left") if by else words.withColumn("_one", F.lit(1)).join(
+        F.broadcast(sizes.withColumn("_one", F.lit(1))), "_one").drop("_one")
     words = words.withColumn("term_rank", F.col("term_rank") + F.coalesce("_n", F.lit(0))).drop("_n")
     return entities.unionByName(words).withColumn("strength", _strength())
 

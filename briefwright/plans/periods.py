@@ -175,7 +175,8 @@ def case_report_lines(reports: DataFrame, start, end, period_key: str, period: s
     order = [F.col("case_score").desc(), F.col("title_length"), F.col("report_id"), F.col("pos")]
     best = scored.orderBy(*order).limit(10).withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
     best = tag(best)
-    totals = reports.agg(F.count(F.lit(1)).alias("files")).join(F.broadcast(scored.agg(F.count(F.lit(1)).alias("cases"))))
+    size = lambda df, name: df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
+    totals = size(reports, "files").join(size(scored, "cases"), "_one").drop("_one")
     words = counts.orderBy(F.col("n").desc(), "first_seen").limit(3).agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "first_seen", "word"))), lambda x: x["word"]), "、").alias("focus"))
     name = PERIOD_NAMES[period]
