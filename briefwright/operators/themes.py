@@ -10,6 +10,7 @@ from briefwright.functions import text as T
 from briefwright.lexicon import Lexicon, term_array
 from briefwright.operators.aggregates import term_source_counts
 from briefwright.operators.ranking import first_per, top_k
+from briefwright.session import cut_lineage
 
 
 def with_terms(items: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
@@ -97,14 +98,15 @@ def theme_rollup(themed: DataFrame, by: Sequence[str] = (), max_themes: int = 12
 def monthly_themes(items: DataFrame, by: Sequence[str] = (), lexicon: Lexicon | None = None, max_items: int = 180,
                    max_themes: int = 12, items_per_theme: int = 8) -> dict[str, DataFrame]:
     """All theme tables of one or many periods (``by`` names the period)."""
-    terms = with_terms(items, lexicon)
-    entity_counts = term_source_counts(terms, "entity_names", by)
-    keyword_counts = term_source_counts(terms, "keywords", by)
-    ranks = rank_terms(entity_counts, keyword_counts, by)
-    kept = representative_items(terms, max_items, by)
-    themed = assign_themes(kept, ranks, entity_counts, keyword_counts, by)
+    # each table is used by several of the next: written once instead of computed again
+    terms = cut_lineage(with_terms(items, lexicon))
+    entity_counts = cut_lineage(term_source_counts(terms, "entity_names", by))
+    keyword_counts = cut_lineage(term_source_counts(terms, "keywords", by))
+    ranks = cut_lineage(rank_terms(entity_counts, keyword_counts, by))
+    kept = cut_lineage(representative_items(terms, max_items, by))
+    themed = cut_lineage(assign_themes(kept, ranks, entity_counts, keyword_counts, by))
     themes, best = theme_rollup(themed, by, max_themes, items_per_theme)
-    return {"terms": ranks, "kept": kept, "themes": themes, "items": best}
+    return {"terms": ranks, "kept": kept, "themes": cut_lineage(themes), "items": cut_lineage(best)}
 
 
 def top_cases(theme_items: DataFrame, max_themes: int = 5, per_theme: int = 2) -> DataFrame:

@@ -12,6 +12,7 @@ from briefwright.operators.aggregates import report_keyword_counts, score_cases
 from briefwright.operators.ranking import first_per, top_k
 from briefwright.operators.themes import monthly_themes, reading_list, top_cases
 from briefwright.plans.calendar import PERIOD_NAMES
+from briefwright.session import cut_lineage
 from briefwright.plans.reports import _cat, fixed_lines, rows_to_lines, union_lines
 
 SCHEMA_VERSION = 2
@@ -66,7 +67,7 @@ def period_meta(items: DataFrame, month: str = "month", lexicon: Lexicon | None
     watch = F.array(*[F.lit(x) for x in MONTH_WATCH])
     meta = meta.withColumns({"schema_version": F.lit(SCHEMA_VERSION), "watch_bullets": watch,
                              "batch_count": F.ceil(F.col("cluster_count") / batch_size).cast("int")})
-    return meta, parts
+    return cut_lineage(meta), parts
 
 
 def _bullet_lines(meta: DataFrame, by: Sequence[str], part: int, column: str) -> DataFrame:

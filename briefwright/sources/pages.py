@@ -196,11 +196,13 @@ def paper_listing(pages: DataFrame) -> DataFrame:
     return to_items(first_per(staged.where("arxiv_id is not null"), ["arxiv_id"], [F.col(key), F.col("place")]))
 
 
-# Patterns of the embedded payload.
-CHUNK_PATTERN = r'self\.__next_f\.push\(\[1,"((?:[^"\\]|\\.)*)"\]\)'
-SLUG_PATTERN = r'"slug"\s*:\s*\{\s*"_type"\s*:\s*"slug"\s*,\s*"current"\s*:\s*"((?:[^"\\]|\\.)*)"'
-TITLE_PATTERN = r'"title"\s*:\s*"((?:[^"\\]|\\.)*)"'
-PUBLISHED_PATTERN = r'"publishedOn"\s*:\s*"((?:[^"\\]|\\.)*)"'
+# Marks of the embedded payload. The repeated parts are possessive or single characters, as the
+# JVM matches a repeated choice by recursion and would run out of stack on a long text.
+CHUNK_PATTERN = r'(?s)self\.__next_f\.push\(\[1,"(.*?(?<!\\)(?:\\\\)*)"\]\)'
+QUOTED = r'"((?:[^"\\]++|\\.)*+)"'
+SLUG_PATTERN = r'"slug"\s*:\s*\{\s*"_type"\s*:\s*"slug"\s*,\s*"current"\s*:\s*' + QUOTED
+TITLE_PATTERN = r'"title"\s*:\s*' + QUOTED
+PUBLISHED_PATTERN = r'"publishedOn"\s*:\s*' + QUOTED
 
 
 def payload_text(html: Column) -> Column:

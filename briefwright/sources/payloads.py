@@ -222,12 +222,12 @@ def openreview_notes(landed: DataFrame) -> DataFrame:
     return to_items(staged)
 
 
-EDITIONS = """title STRING, dblp STRING, confs ARRAY<STRUCT<year: INT, link: STRING, date: STRING>>"""
+EDITIONS = "ARRAY<STRUCT<title: STRING, dblp: STRING, confs: ARRAY<STRUCT<year: INT, link: STRING, date: STRING>>>>"
 
 
 def conference_editions(landed: DataFrame) -> DataFrame:
     """(name, year, conf_url, conf_date, dblp) of every edition with a year."""
-    rows = _parsed(landed, f"ARRAY<STRUCT<{EDITIONS.replace(' STRING', ': STRING').replace('confs ', 'confs: ')}>>")
+    rows = _parsed(landed, EDITIONS)
     one = rows.select("name", F.element_at("p", 1).alias("c")).select("name", F.col("c.dblp").alias("dblp"), F.explode("c.confs").alias("e"))
     return one.where("coalesce(e.year, 0) <> 0").select(
         "name", F.col("e.year").alias("year"), T.text_or_empty(F.col("e.link")).alias("conf_url"),

@@ -1 +1,62 @@
+"""Streaming queries: the table is read as a stream, drained with the available-now trigger."""
 
+
+from pyspark.sql import functions as F
+
+from briefwright.session import _ensure_checkpoint_dir
+from briefwright.streaming import streams as S
+from catalog.base import query
+
+N = [0]
+
+
+def _stream(spark, sf, name):
+    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def _drain(spark, df, mode):
+    _ensure_checkpoint_dir(spark)
+    N[0] += 1
+    base = spark.sparkContext.getCheckpointDir()
+    return S.run_to_completion(df, f"drained_{N[0]}", f"{base}/stream-{N[0]}", mode)
+
+
+def events(spark, sf):
+    return _stream(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("published_at"), F.col("event_type").alias("source"), "user_id", "value")
+
+
+@query("ss1_stream_ingest_lookback", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-30' - to_hours(CASE event_type WHEN 'click' THEN 48 ELSE 24 END)")
+def lookback(spark, sf):
+    from briefwright.operators.filters import lookback as cut
+
+    rows = cut(events(spark, sf).withWatermark("published_at", "48 hours"), F.lit("2024-01-30").cast("timestamp"), {"click": 48})
+    return _drain(spark, rows.select("event_id"), "append")
+
+
+@query("ss2_stateful_seen_dedup", "SELECT DISTINCT sha256(event_type || ':' || user_id) AS content_hash FROM events")
+def dedup(spark, sf):
+    rows = events(spark, sf).withColumn("content_hash", F.sha2(F.concat_ws(":", "source", F.col("user_id").cast("string")), 256)).withWatermark("published_at", "90 days")
+    return _drain(spark, S.once_per_hash(rows).select("content_hash"), "append")
+
+
+@query("ss3_tumbling_period_counts", "SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type AS source, count(*) AS n FROM events GROUP BY 1, 2")
+def weekly(spark, sf):
+    return _drain(spark, S.weekly_counts(events(spark, sf)), "complete")
+
+
+@query("ss3_monthly_counts", "SELECT CAST(date_trunc('month', ts) AS DATE) AS month_start, event_type AS source, count(*) AS n FROM events GROUP BY 1, 2")
+def monthly(spark, sf):
+    return _drain(spark, S.monthly_counts(events(spark, sf)), "complete")
+
+
+@query("ss4_usage_interval_counts", """SELECT w AS window_start, count(*) AS calls, CAST(sum(t) AS BIGINT) AS total_tokens FROM (SELECT user_id AS t, unnest(generate_series(time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '2024-01-01') - INTERVAL 45 MINUTE,
+    time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '2024-01-01'), INTERVAL 15 MINUTE)) AS w FROM events) GROUP BY w""")
+def usage(spark, sf):
+    rows = events(spark, sf).select(F.col("published_at").alias("ts"), F.lit("f").alias("file"), F.col("event_id").alias("line_no"), F.lit(0).alias("idx"), F.col("user_id").alias("total_tokens"))
+    return _drain(spark, S.usage_windows(rows), "complete")
+
+
+@query("ss5_latest_state", "SELECT source, event_id FROM (SELECT event_type AS source, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1")
+def latest(spark, sf):
+    return _drain(spark, S.latest_state(events(spark, sf).select("source", "event_id", "published_at"), ["source"], "published_at"), "complete").select("source", "event_id")
