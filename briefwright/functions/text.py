@@ -163,10 +163,10 @@ def says_unrelated(text: Column) -> Column:
 
 # Money, percentage and power figures.
 MONEY_PATTERN = (
-    r"(?iU)(?:[$€£¥]\s?\d+(?:\.\d+)?\s?(?:b|bn|billion|m|mn|million|t|trillion)?)"
+    r"(?iu)(?:[$€£¥]\s?\d+(?:\.\d+)?\s?(?:b|bn|billion|m|mn|million|t|trillion)?)"
     r"|(?:\b\d+(?:\.\d+)?\s?(?:billion|million|trillion|bn|mn|%|x)\b)"
 )
-POWER_PATTERN = r"(?iU)\b\d+(?:\.\d+)?\s?(?:gw|gigawatt|mw|megawatt)\b"
+POWER_PATTERN = r"(?iu)\b\d+(?:\.\d+)?\s?(?:gw|gigawatt|mw|megawatt)\b"
 
 VERSION_PATTERN = r"(?<![a-zA-Z0-9])v?(\d+)\.(\d+)(?:\.(\d+))?(?:[-+.]?([0-9A-Za-z][0-9A-Za-z.-]*))?"
 PRERELEASE_PATTERN = r"(?i)(?:^|[-.])(alpha|beta|rc|pre|preview|dev|nightly|canary)\d*"

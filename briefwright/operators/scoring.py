@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from briefwright.functions import identity, text as T, urls as U
-from briefwright.lexicon import Lexicon, any_substring, constant, constant_map, substring_hits, token_hits
+from briefwright.lexicon import Lexicon, any_substring, constant, constant_map, let, substring_hits, token_hits
 from briefwright.operators.registry import Registry, is_discovered_primary, is_project_host, item_tier, item_weight
 from briefwright.policy import DIMENSIONS, policy
 
@@ -72,6 +72,10 @@ def _mask(terms: Sequence[str], present) -> Column:
                        lambda acc, x: acc.bitwiseOR(x["bit"]))
 
 
+def _masker(terms: Sequence[str], test):
+    return lambda value: _mask(terms, test(value))
+
+
 def _points(condition: Column, value: float, otherwise: float = 0.0) -> Column:
     return F.when(condition, F.lit(value)).otherwise(F.lit(otherwise))
 
@@ -177,8 +181,10 @@ def with_item_signals(features: DataFrame, lexicon: Lexicon | None = None, ranki
     own_facts = (n("n_facts") >= 4) & (F.round(F.least(F.lit(10.0), n("s_media")), 2) >= 3.0)
     commentary = F.least(F.lit(4.0), n("n_commentary") * F.lit(0.7) + F.greatest(F.lit(0), F.lit(2) - n("n_facts")) * F.lit(0.4))
     number = lambda *names: T.extra_number(c("extra"), names)
-    masks = {f"m_{g}": _mask(lexicon[g], lambda t: F.array_contains(c("tokens"), t)) for g in TOKEN_MASKS}
-    masks |= {f"m_{g}": _mask(lexicon[g], lambda t: text.contains(t)) for g in TEXT_MASKS}
+    in_tokens = lambda value: lambda term: F.array_contains(value, term)
+    in_text = lambda value: value.contains
+    masks = {f"m_{g}": let(c("tokens"), _masker(lexicon[g], in_tokens)) for g in TOKEN_MASKS}
+    masks |= {f"m_{g}": let(text, _masker(lexicon[g], in_text)) for g in TEXT_MASKS}
     return staged.withColumns({
         "s_commentary": F.when((n("is_media") | n("is_community")) & (n("n_commentary") > 0) & ~own_facts, commentary).otherwise(0.0),
         "heat_value": F.when(n("evergreen"), F.least(c("score"), F.lit(float(knobs["evergreen_repo_heat_cap"])))).otherwise(

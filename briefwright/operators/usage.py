@@ -22,7 +22,7 @@ SOURCE_LABELS = {"task": "任务 LLM", "session": "会话本身"}
 
 def price_dimension(spark: SparkSession, path: str) -> DataFrame:
     """(model, input, output, cacheRead, cacheWrite) per million tokens from a provider file."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.try_parse_json("value").alias("v"))
+    raw = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
     return prices_from(raw, "v")
 
 

@@ -45,3 +45,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and a lost executor costs one read, not the whole history."""
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str, few_files: int = 64) -> DataFrame:
+    """Rows of a table of few files over all cores. A file with one row group is read by one task, which would
+    then also run every text rule. Tables of many files are left alone: their scan is parallel already."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= min(slots, few_files):
+        return df
+    return df.repartition(slots, *keys)

@@ -71,7 +71,7 @@ def latest_health(spark: SparkSession, path: str, date: str) -> DataFrame:
 
 def report_corpus(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
     """(report_id, dt, markdown) of the daily reports named in [start, end]."""
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "digest-*.md").text(path)
+    raw = spark.read.option("pathGlobFilter", "digest-*.md").text(path, wholetext=True)
     rows = raw.select(F.col("_metadata.file_name").alias("report_id"), F.col("value").alias("markdown"))
     return rows.withColumn("dt", F.regexp_extract("report_id", REPORT_NAME, 1)).where((F.col("dt") != "") & F.col("dt").between(start, end))
 

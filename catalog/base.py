@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from briefwright.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -55,7 +57,7 @@ def _array(values: list[str]) -> str:
 
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", "text", "lang", F.substr("source", F.lit(4)).cast("int").alias("idx"))
+    d = spread(table(spark, sf, "documents"), "doc_id").select("doc_id", "text", "lang", F.substr("source", F.lit(4)).cast("int").alias("idx"))
     e = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     pick = lambda values, key: F.expr(f"{_array(values)}[{key}]")
     rows = d.join(e, "doc_id").withColumns({
