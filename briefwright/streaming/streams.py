@@ -45,7 +45,7 @@ def publish_batch(seen_path: str, publish: Callable[[DataFrame, int], None]) ->
         rows = batch if "content_hash" in batch.columns else with_hash(batch)
         # one row per hash and per paper id inside the batch
         first = rows.groupBy("content_hash").agg(F.min_by(F.struct(*rows.columns), F.struct("published_at", "url", "title")).alias("r")).select("r.*")
-        papers = first.where("coalesce(arxiv_id, '') <> ''").groupBy("arxiv_id").agg(F.min_by(F.struct(*rows.columns), F.struct("published_at", "content_hash")).alias("r")).select("r.*")
+        papers = first.where("coalesce(arxiv_id, '') <> ''").groupBy("arxiv_id").agg(F.min_by(F.struct(*rows.columns), F.struct("published_at", "url", "title")).alias("r")).select("r.*")
         unique = first.where("coalesce(arxiv_id, '') = ''").unionByName(papers)
         fresh = unseen(unique, seen).persist()
         try:
