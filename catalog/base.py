@@ -27,6 +27,9 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    # what build_session sets, for sessions made elsewhere
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

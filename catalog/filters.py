@@ -42,10 +42,10 @@ def flow_clean_top_items(spark, sf):
     return rows.withColumn("rn", F.row_number().over(w)).select("source", "item_id", "title", "score", "rn")
 
 
-@query("fl01_lookback_filter", with_items("""SELECT item_id, source FROM items WHERE published_at >= TIMESTAMP '2024-01-20 00:00:00' -
+@query("fl01_lookback_filter", with_items("""SELECT item_id, source FROM items WHERE published_at >= TIMESTAMP '2024-01-03 12:00:00' -
     to_hours(CASE source WHEN 'github' THEN 48 WHEN 'openai' THEN 240 ELSE 24 END)"""))
 def lookback(spark, sf):
-    return O.lookback(items(spark, sf), F.lit("2024-01-20 00:00:00").cast("timestamp"), {"github": 48, "openai": 240}).select("item_id", "source")
+    return O.lookback(items(spark, sf), F.lit("2024-01-03 12:00:00").cast("timestamp"), {"github": 48, "openai": 240}).select("item_id", "source")
 
 
 @query("fl02_score_threshold", with_items("SELECT item_id, score FROM items WHERE score >= CASE source WHEN 'reddit' THEN 100 WHEN 'github' THEN 50 ELSE 0 END"))
