@@ -7,7 +7,11 @@ from briefwright.sources import feeds, pages, payloads, plugin
 from catalog.base import query, table
 
 c = F.col
-TS = F.lit("2026-01-05 00:00:00").cast("timestamp")
+
+
+def now():
+    """Ingest time of the landed rows; a function, as columns need a session and modules load without one."""
+    return F.lit("2026-01-05 00:00:00").cast("timestamp")
 
 
 def docs(spark, sf):
@@ -15,7 +19,7 @@ def docs(spark, sf):
 
 
 def landed(df, body, *extra):
-    return df.select(F.to_json(body).alias("payload"), TS.alias("ingest_ts"), F.col("doc_id").alias("land_id"), *extra)
+    return df.select(F.to_json(body).alias("payload"), now().alias("ingest_ts"), F.col("doc_id").alias("land_id"), *extra)
 
 
 def day(fmt="yyyy-MM-dd'T'HH:mm:ss'Z'"):
@@ -55,7 +59,7 @@ def repos(spark, sf):
 @query("nr04_github_releases", f"SELECT '[Release] ' || source || ' v' || doc_id AS title, CAST(m AS DOUBLE) AS score, {DAY} AS published_at, md5(substr(text, 1, 1000)) AS content FROM documents JOIN (SELECT source, max(n_chars) AS m FROM documents GROUP BY source) USING (source) WHERE doc_id % 3 <> 0")
 def releases(spark, sf):
     d = docs(spark, sf)
-    rel = d.select(c("source").alias("full_name"), F.concat(F.lit("v"), "k").alias("tag_name"), F.lit("u").alias("html_url"), F.lit(None).cast("string").alias("author_login"), c("text").alias("body"), F.when(c("doc_id") % 3 != 0, day()).alias("published_at"), TS.alias("ingest_ts"))
+    rel = d.select(c("source").alias("full_name"), F.concat(F.lit("v"), "k").alias("tag_name"), F.lit("u").alias("html_url"), F.lit(None).cast("string").alias("author_login"), c("text").alias("body"), F.when(c("doc_id") % 3 != 0, day()).alias("published_at"), now().alias("ingest_ts"))
     return out(payloads.github_releases(rel, d.select(c("source").alias("full_name"), c("n_chars").alias("stargazers_count"))), "title", "score", "published_at", F.md5("content").alias("content"))
 
 
@@ -134,7 +138,7 @@ def editions(spark, sf):
 
 
 def page(spark, sf, html, *extra):
-    return docs(spark, sf).select(c("doc_id").alias("page_id"), html.alias("html"), TS.alias("ingest_ts"), *extra)
+    return docs(spark, sf).select(c("doc_id").alias("page_id"), html.alias("html"), now().alias("ingest_ts"), *extra)
 
 
 CLEANED = "regexp_replace(source, 's', 'S')"
@@ -170,7 +174,7 @@ def acl(spark, sf):
 
 @query("nr18_award_item", "SELECT '[C 2026 Best] ' || source AS title, 'c,best_paper,2026' AS tags FROM documents")
 def award(spark, sf):
-    rows = docs(spark, sf).select(F.lit("C").alias("conf"), F.lit(2026).alias("year"), c("source").alias("paper_title"), F.lit("a").alias("author"), F.lit("Best").alias("award"), F.lit("").alias("url"), TS.alias("ingest_ts"))
+    rows = docs(spark, sf).select(F.lit("C").alias("conf"), F.lit(2026).alias("year"), c("source").alias("paper_title"), F.lit("a").alias("author"), F.lit("Best").alias("award"), F.lit("").alias("url"), now().alias("ingest_ts"))
     return payloads.award_items(rows).select("title", F.array_join("tags", ",").alias("tags"))
 
 
@@ -179,7 +183,7 @@ def feed(spark, sf):
     xml = F.concat(F.lit("<rss><channel><title>Show "), "lang", F.lit("</title><item><title> T"), "k", F.lit(" Kindle</title><link>https://f.example/"), (c("doc_id") % 500).cast("string"), F.when(c("doc_id") % 2 == 0, "/").otherwise(""),
                    F.lit("</link><description>S"), "k", F.lit("</description><pubDate>"), day("dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate><category>c1</category><category>c2</category><enclosure url='https://a/"), "k", F.lit("' length='"),
                    F.when(c("doc_id") % 3 == 0, "bad").otherwise(c("k")), F.lit("'/></item><item><title></title><link></link><content>C"), "k", F.lit("</content></item></channel></rss>"))
-    return feeds.parse_feeds(docs(spark, sf).select(F.concat(F.lit("f"), "k").alias("feed"), c("doc_id").alias("ord"), xml.alias("payload"), TS.alias("ingest_ts")))
+    return feeds.parse_feeds(docs(spark, sf).select(F.concat(F.lit("f"), "k").alias("feed"), c("doc_id").alias("ord"), xml.alias("payload"), now().alias("ingest_ts")))
 
 
 @query("nr19_rss_entries", f"SELECT 'T' || doc_id || ' Kindle' AS title, 'S' || doc_id AS content, {DAY} AS published_at FROM documents UNION ALL SELECT 'Untitled', 'C' || doc_id, TIMESTAMP '2026-01-05' FROM documents")
@@ -224,7 +228,7 @@ def rsc(spark, sf):
 @query("nr26_sitemap_entries", "SELECT 'Big News ' || (doc_id % 300) AS title, 'https://s.example/engineering/big-news-' || (doc_id % 300) || '/' AS url FROM documents QUALIFY row_number() OVER (PARTITION BY doc_id % 300 ORDER BY doc_id) = 1")
 def sitemap(spark, sf):
     xml = F.concat(F.lit("<urlset><url><loc>https://s.example/engineering/big-news-"), (c("doc_id") % 300).cast("string"), F.lit("/</loc><lastmod>2026-01-02</lastmod></url><url><loc>https://s.example/engineering/</loc></url><url><loc>https://s.example/about/us</loc></url></urlset>"))
-    return out(feeds.sitemap_entries(docs(spark, sf).select(xml.alias("payload"), TS.alias("ingest_ts"), c("doc_id").alias("land_id"))), "title", "url")
+    return out(feeds.sitemap_entries(docs(spark, sf).select(xml.alias("payload"), now().alias("ingest_ts"), c("doc_id").alias("land_id"))), "title", "url")
 
 
 @query("nr27_manual_items", "SELECT CASE WHEN page_id % 3 = 0 THEN 'Given ' || page_id ELSE regexp_extract(url, '://([^/?#]*)', 1) || rtrim(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '/') END AS title, url FROM pages WHERE page_id % 4 <> 0")
@@ -238,7 +242,7 @@ def manual(spark, sf):
 def fallback(spark, sf):
     m = c("doc_id") % 6
     raw = F.when(m == 0, day()).when(m == 1, day("EEE, dd MMM yyyy HH:mm:ss 'GMT'")).when(m == 2, day("EEE MMM dd HH:mm:ss Z yyyy")).when(m == 3, day("yyyy-MM-dd HH:mm:ss")).when(m == 4, day("dd MMM yyyy HH:mm:ss Z")).otherwise("soon")
-    return docs(spark, sf).select("doc_id", T.published_at([F.lit(""), raw], TS).alias("at"))
+    return docs(spark, sf).select("doc_id", T.published_at([F.lit(""), raw], now()).alias("at"))
 
 
 @query("ux01_source_plugin", "SELECT doc_id, source FROM documents WHERE doc_id % 2 = 0")
