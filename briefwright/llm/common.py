@@ -38,6 +38,19 @@ def remainder(key: Column | str, modulus: int) -> Column:
     return F.crc32((F.col(key) if isinstance(key, str) else key).cast("string").cast("binary")) % modulus
 
 
+def labelled_sample(df: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, str]]:
+    """(label, whole text) of about ``per_class`` rows of each of the labels 0 and 1 among the label rows for which ``learn``
+    holds, chosen by a hash of their id: the bounded sample that a classifier is fitted on. Null texts count as empty."""
+    rows = labels.where(learn & F.col(label).isin(0, 1)).select(F.col(id_col).alias("key"), F.col(label).cast("int").alias("y")).distinct()
+    counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    share = F.coalesce(*[F.when(F.col("y") == y, F.lit(min(1.0, per_class / n))) for y, n in sorted(counts.items())], F.lit(0.0))
+    chosen = rows.where(F.pmod(F.xxhash64("key", F.lit(label)), F.lit(1_000_000)) < share * 1_000_000)
+    texts = df.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # the chosen ids are few by construction, so they may be broadcast
+    found = texts.join(F.broadcast(chosen), "key").select("y", "text", F.xxhash64("key").alias("h")).collect()
+    return [(r.y, r.text) for r in sorted(found, key=lambda r: (r.h, r.y, r.text))]
+
+
 def byte_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string array and its n + 1 offsets, without a copy; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -83,7 +96,8 @@ def _powers(n: int) -> np.ndarray:
     while have < n:  # doubling: powers of [have, 2 have) are those below times base ** have
         take = min(have, n - have)
         out[have : have + take] = out[:take] * step
-        step = step * step
+        with np.errstate(over="ignore"):  # arithmetic modulo 2 ** 64
+            step = step * step
         have *= 2
     return out
 

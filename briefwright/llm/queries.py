@@ -45,3 +45,33 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = common.shared_folder(spark)
     tokenfiles.write(table(spark, sf, "documents"), folder, tokenizer("byte_bpe_50k.json"), end_id=2)
     return tokenfiles.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import quality
+    from briefwright.llm.common import remainder
+
+    docs, held = table(spark, sf, "documents"), F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    model = quality.fit(docs, table(spark, sf, "labels"), ~held)
+    return docs.select("doc_id", held.alias("held_out"), quality.score(F.col("text"), model, spark).alias("score")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import language
+    from briefwright.llm.common import remainder
+
+    docs, held = table(spark, sf, "documents"), F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    trees = language.fit(docs.where(~held))
+    return docs.select("doc_id", held.alias("held_out"), language.predict(F.col("text"), trees, spark).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import toxicity
+    from briefwright.llm.common import remainder
+
+    docs, held = table(spark, sf, "documents"), F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf, "labels"), ~held)
+    return docs.select("doc_id", held.alias("held_out"), toxicity.score(F.col("text"), model, spark).alias("score")).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
