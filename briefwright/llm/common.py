@@ -33,6 +33,12 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_rows(df: DataFrame, more: DataFrame) -> DataFrame:
+    """``df`` with the other columns of ``more`` for the same (id, h): a key, which may be null, and the hash of the text."""
+    more = more.withColumnsRenamed({"id": "_id", "h": "_h"})
+    return df.join(more, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left").drop("_id", "_h")
+
+
 def remainder(key: Column | str, modulus: int) -> Column:
     """crc32 of a key as text, modulo ``modulus``; null for a null key."""
     return F.crc32((F.col(key) if isinstance(key, str) else key).cast("string").cast("binary")) % modulus

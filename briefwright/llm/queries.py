@@ -75,3 +75,28 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs, held = table(spark, sf, "documents"), F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
     model = toxicity.fit(docs, table(spark, sf, "labels"), ~held)
     return docs.select("doc_id", held.alias("held_out"), toxicity.score(F.col("text"), model, spark).alias("score")).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bi AS (SELECT DISTINCT item_id, least(len(w), 10) AS t, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS run
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT t FROM bi),
+di AS (SELECT doc_id, t, i, array_to_string(w[i : i + t - 1], ' ') AS run FROM (SELECT doc_id, w, t, unnest(range(1, len(w) - t + 2)) AS i FROM d, lengths WHERE len(w) >= t)),
+hit AS (SELECT doc_id, di.t, di.i, item_id FROM di JOIN bi ON di.t = bi.t AND di.run = bi.run),
+words AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + t)) AS p FROM (SELECT DISTINCT doc_id, t, i FROM hit)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op3_decontamination", OP3_SQL)
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import decontamination
+
+    found = decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
