@@ -100,3 +100,13 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op4_secrets")
+def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import secretscan
+
+    found = secretscan.scan(table(spark, sf, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda x: x["k"] == k)).cast("long")
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(secretscan.listed(F.col("base")), 256).alias("base_sha256"), secretscan.listed(F.col("spans")).alias("spans"))
