@@ -110,3 +110,10 @@ def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
     count = lambda k: F.size(F.filter("base", lambda x: x["k"] == k)).cast("long")
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                         F.sha2(secretscan.listed(F.col("base")), 256).alias("base_sha256"), secretscan.listed(F.col("spans")).alias("spans"))
+
+
+@query("op10_vectors")
+def op10_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import vectors
+
+    return vectors.near_duplicates(table(spark, sf, "embeddings"))
