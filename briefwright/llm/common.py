@@ -112,6 +112,17 @@ def _powers(n: int) -> np.ndarray:
 _POWERS = _powers(4096)
 
 
+def _powers_for(longest: int) -> np.ndarray:
+    global _POWERS
+    if longest > len(_POWERS):
+        _POWERS = _powers(2 * longest)
+    return _POWERS
+
+
+#: Two different values of each byte.
+_BYTES = [mixed(np.arange(1 + 256 * i, 257 + 256 * i, dtype=np.uint64)) for i in (0, 1)]
+
+
 def word_spans(raw: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of bytes for which ``word`` holds. Rows must be cut by a byte that is none."""
     edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
@@ -119,20 +130,24 @@ def word_spans(raw: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes: equal for equal bytes, wherever they stand."""
-    global _POWERS
+    """A 64-bit hash of each of the spans of bytes, which are in order and apart: equal for equal bytes, wherever they stand."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    longest = int((ends - starts).max())
-    if longest > len(_POWERS):
-        _POWERS = _powers(2 * longest)
-    place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw)))) if starts[0] == 0 else \
-        np.arange(len(raw)) - np.concatenate([np.zeros(starts[0], np.int64), np.repeat(starts, np.diff(np.append(starts, len(raw))))])
-    inside = np.zeros(len(raw) + 1, np.int8)
-    inside[starts] += 1
-    inside[ends] -= 1
-    keep = np.cumsum(inside[:-1]).astype(bool)
-    terms = np.zeros(len(raw), np.uint64)
-    terms[keep] = mixed(raw[keep].astype(np.uint64) + np.uint64(1)) * _POWERS[place[keep]]
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-    return mixed(total[ends] - total[starts] + (ends - starts).astype(np.uint64))
+    cuts = np.empty(2 * len(starts), np.int64)
+    cuts[0::2], cuts[1::2] = starts, ends
+    sizes = np.diff(np.append(cuts, len(raw)))
+    power = _powers_for(int(sizes.max()))[np.arange(cuts[0], len(raw)) - np.repeat(cuts, sizes)]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[0][raw[cuts[0] :]] * power, dtype=np.uint64)])
+    return mixed(sums[ends - cuts[0]] - sums[starts - cuts[0]] + (ends - starts).astype(np.uint64))
+
+
+def chunk_hashes(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each chunk of ``raw``; a chunk ends where the next one starts, the first at 0."""
+    sizes = np.diff(np.append(starts, len(raw)))
+    power = _powers_for(int(sizes.max()))[np.arange(len(raw)) - np.repeat(starts, sizes)]
+    out = []
+    for table in _BYTES:
+        terms = table[raw] * power
+        sums = np.add.reduceat(terms, starts)
+        out.append(mixed(sums + sizes.astype(np.uint64)))
+    return out[0], out[1]

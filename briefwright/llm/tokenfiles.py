@@ -19,9 +19,9 @@ from __future__ import annotations
 
 import re
 import struct
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,71 +29,126 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from briefwright.llm.common import chunk_hashes, steps
+
 MAGIC = b"PFOR0001"
 FOOTER = struct.Struct("<QQQQQQ8s")  # ids, blocks, ids of a block, place of the block starts, place and length of the documents
 HEAD = struct.Struct("<IIIB")
 #: Chunks that a worker remembers; then it starts anew. A bound of memory only: results don't depend on it.
-REMEMBERED = 800_000
-_CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+REMEMBERED = 3_000_000
+#: Unusual white space; texts that hold it aren't cut.
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_STOPPED = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]")
+#: The characters by which byte-level vocabularies write bytes: printable ones stand for themselves, others follow 255.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_VISIBLE = {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+#: Bytes: 1 white space, 2 ASCII letters, 3 stop and comma, 4 the first bytes of what may be unusual white space.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[9, 10, 13, 32]] = 1
+_KIND[65:91] = _KIND[97:123] = 2
+_KIND[[44, 46]] = 3
+_KIND[[11, 12, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = 4
 
 
 class Chunks:
-    """Ids of chunks, packed as unsigned 32-bit integers. ``words`` are chunks that begin with one space, by the rest."""
+    """Encodes batches of texts. A chunk's ids are kept by two hashes of its bytes, in arrays sorted by the first."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.stop = {c: self._packed([c])[0] for c in ".,"}
-
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        # arrays of type "I" are unsigned 32-bit integers in the byte order of the machine, as are numpy's below
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: set[str], chunks: set[str]) -> None:
-        if len(self.words) + len(self.chunks) > REMEMBERED:
-            self.words.clear()
-            self.chunks.clear()
-        words = {w for w in words if w not in self.words}
-        broken = {w: _CHUNK.findall(" " + w) for w in words if "\n" in w or "\t" in w or "\r" in w}
-        stopped = {w for w in words if w not in broken and _STOPPED.fullmatch(w)}
-        plain = (words - broken.keys() - stopped) | {w[:-1] for w in stopped} | {p[0][1:] for p in broken.values() if p[0][1:].strip()}
-        new = [w for w in plain if w not in self.words]
-        self.words.update(zip(new, self._packed([" " + w for w in new]), strict=True))
-        self.words.update({w: self.words[w[:-1]] + self.stop[w[-1]] for w in stopped})
-        parts = (chunks | {c for p in broken.values() for c in p}) - self.chunks.keys()
-        fresh = list(parts)
-        self.chunks.update(zip(fresh, self._packed(fresh), strict=True))
-        self.words.update({w: b"".join([self.chunks[c] for c in p]) for w, p in broken.items()})
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of whole texts."""
-        cut: list[tuple[str, list[str]] | None] = []
-        words: set[str] = set()
-        chunks: set[str] = set()
-        for t in texts:
-            if _ODD_SPACE.search(t) or self.added.search(t):
-                cut.append(None)
-            elif "  " in t or " \n" in t or "\n " in t or "\t" in t or "\r" in t or t[:1] == " " or t[-1:] == " " or not t:
-                parts = _CHUNK.findall(t)
-                chunks.update(parts)
-                cut.append(("", parts))
+        self.model = self.library.model
+        self.added = re.compile("|".join(map(re.escape, added)).encode() or rb"(?!)")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.place, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def _cuts(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Starts of the chunks: before white space that follows something else, and between a letter and a stop or comma."""
+        kind = _KIND[raw]
+        cut = np.zeros(len(raw), bool)
+        cut[1:] = ((kind[1:] == 1) & (kind[:-1] != 1)) | ((kind[1:] == 3) & (kind[:-1] == 2))
+        for row in np.unique(np.searchsorted(at, np.flatnonzero(kind == 4), "right") - 1):
+            if _ODD_SPACE.search(raw[at[row] : at[row + 1]].tobytes().decode()):
+                cut[at[row] : at[row + 1]] = False
+        for hit in self.added.finditer(raw.tobytes()):
+            row = np.searchsorted(at, hit.start(), "right") - 1
+            cut[at[row] : at[row + 1]] = False
+        cut[at[:-1][np.diff(at) > 0]] = True
+        return np.flatnonzero(cut)
+
+    def _ids(self, texts: list[bytes]) -> list[list[int]]:
+        """Ids of chunks. Letters after at most one space are one piece to the pre-tokenizer, so they go to its model at once."""
+        ids: list[list[int] | None] = []
+        for text in texts:
+            core = text.decode().removeprefix(" ")
+            if core.isalpha() and (core.isascii() or max(core) < "ɐ"):
+                ids.append([t.id for t in self.model.tokenize(text.decode("latin-1").translate(_VISIBLE))])
             else:
-                first, *rest = t.split(" ")
-                words.update(rest)
-                chunks.update(_CHUNK.findall(first))
-                cut.append((first, rest))
-        self._learn(words, chunks)
-        whole = iter(self._packed([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        word, chunk = self.words.__getitem__, self.chunks.__getitem__
-        return [next(whole) if c is None else b"".join(map(chunk, c[1])) if not c[0] else
-                b"".join([*map(chunk, _CHUNK.findall(c[0])), *map(word, c[1])]) for c in cut]
+                ids.append(None)
+        rest = iter(self.library.encode_batch_fast([t.decode() for t, i in zip(texts, ids, strict=True) if i is None], add_special_tokens=False))
+        return [next(rest).ids if i is None else i for i in ids]
+
+    def _learn(self, keys: np.ndarray, second: np.ndarray, texts: list[bytes]) -> None:
+        ids = self._ids(texts)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        n = int(size.sum())
+        while self.used + n > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
+        self.pool[self.used : self.used + n] = np.fromiter(chain.from_iterable(ids), np.uint32, n)
+        at = np.searchsorted(self.keys, keys)
+        self.place = np.insert(self.place, at, self.used + np.cumsum(size) - size)
+        self.keys, self.second, self.size = np.insert(self.keys, at, keys), np.insert(self.second, at, second), np.insert(self.size, at, size)
+        self.used += n
+
+    def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, given as bytes and offsets, and how many each text has."""
+        if not len(raw):
+            return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64)
+        starts = self._cuts(raw, at)
+        ends = np.append(starts[1:], len(raw))
+        first, second = chunk_hashes(raw, starts)
+        keys, where, back = np.unique(first, return_index=True, return_inverse=True)
+        if (second[where][back] != second).any():  # two chunks with one hash: no chunk of this batch is shared
+            return self._one_by_one(raw, at)
+        try:
+            slot = self._slots(keys, second[where])
+        except _Clash:
+            return self._one_by_one(raw, at)
+        if (new := np.flatnonzero(slot < 0)).size:
+            if len(self.keys) + len(new) > REMEMBERED or self.used > 8 * REMEMBERED:
+                self._forget()
+                new = np.arange(len(keys))
+            data, i = raw.tobytes(), where[new]
+            self._learn(keys[new], second[i], [data[a:b] for a, b in zip(starts[i].tolist(), ends[i].tolist(), strict=True)])
+            slot = self._slots(keys, second[where])
+        slot = slot[back]
+        size = self.size[slot]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool[np.arange(total[-1]) + np.repeat(self.place[slot] - total[:-1], size)]
+        return ids, np.diff(total[np.searchsorted(starts, at)])
+
+    def _slots(self, keys: np.ndarray, second: np.ndarray) -> np.ndarray:
+        slot = np.searchsorted(self.keys, keys)
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        near = np.minimum(slot, len(self.keys) - 1)
+        known = self.keys[near] == keys
+        if (known & (self.second[near] != second)).any():
+            raise _Clash
+        return np.where(known, near, -1)
+
+    def _one_by_one(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data = raw.tobytes()
+        ids = [e.ids for e in self.library.encode_batch_fast([data[a:b].decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(ids)), np.uint32), np.array(list(map(len, ids)), np.int64)
+
+
+class _Clash(Exception):
+    """A chunk has the first hash of another one."""
 
 
 @lru_cache(maxsize=2)
@@ -126,23 +181,23 @@ def unpack_block(data: bytes) -> np.ndarray:
 class _Writer:
     def __init__(self, out, block: int, percentile: float):
         self.out, self.block, self.percentile = out, block, percentile
-        self.rest, self.n, self.starts, self.docs = b"", 0, [], []
+        self.rest, self.n, self.starts, self.docs = np.zeros(0, np.uint32), 0, [], []
         out.write(MAGIC)
 
-    def add(self, docs: pa.Array, ids: list[bytes]) -> None:
-        self.docs.append(pa.record_batch([docs, pa.array([len(i) // 4 for i in ids], pa.int64())], names=["id", "n"]))
-        self.rest = b"".join([self.rest, *ids])
-        self._flush(len(self.rest) // 4 // self.block * self.block)
+    def add(self, docs: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.docs.append(pa.record_batch([docs, pa.array(counts, pa.int64())], names=["id", "n"]))
+        self.rest = np.concatenate([self.rest, ids])
+        self._flush(len(self.rest) // self.block * self.block)
 
     def _flush(self, n: int) -> None:
-        ids = np.frombuffer(self.rest, "<u4", n)
+        ids = self.rest[:n]
         for at in range(0, n, self.block):
             self.starts.append(self.out.tell())
             self.out.write(pack_block(ids[at : at + self.block], self.percentile))
-        self.rest, self.n = self.rest[4 * n :], self.n + n
+        self.rest, self.n = self.rest[n:].copy(), self.n + n
 
     def close(self) -> int:
-        self._flush(len(self.rest) // 4)
+        self._flush(len(self.rest))
         docs_at, sink = self.out.tell(), pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, self.docs[0].schema) as stream:
             for batch in self.docs:
@@ -185,20 +240,18 @@ class TokenFile:
 
 def write(df: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", block: int = 4096, percentile: float = 0.95) -> int:
     """Writes the files of ``df`` into ``folder`` (a URI that all executors see) in ascending order of id; the number of ids."""
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, task = chunks_of(tokenizer), TaskContext.get()
         system, path = pafs.FileSystem.from_uri(folder)
         system.create_dir(path, recursive=True)
         name, out, writer = f"part-{task.partitionId():08d}.tokens", None, None
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                part = batch.slice(first, 512)
+            for first, end, raw, at in steps(batch.column(1), 1 << 22):
                 if writer is None:
                     out = system.open_output_stream(f"{path}/_{name}.{task.taskAttemptId()}")
                     writer = _Writer(out, block, percentile)
-                writer.add(part.column(0), [i + end for i in chunks.encode([t or "" for t in part.column(1).to_pylist()])])
+                ids, counts = chunks.encode(raw, at)
+                writer.add(batch.column(0).slice(first, end - first), np.insert(ids, np.cumsum(counts), np.uint32(end_id)), counts + 1)
         if writer is not None:
             n = writer.close()
             out.close()
