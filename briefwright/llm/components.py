@@ -88,3 +88,13 @@ def least_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = label[label]
         if (label == before).all():
             return label
+
+
+def joined(held: DataFrame, counted: DataFrame) -> DataFrame:
+    """(c, links, component) of all classes: ``held`` has c, copies and the least id of each, ``counted`` (c, links, b) the numbers
+    of rows linked with a class, in parts, and a class that it is joined to. Copies of a row are linked with each other."""
+    linked = components(counted, "c", "b").withColumnsRenamed({"v": "c", "component": "g"})
+    links = counted.groupBy("c").agg(F.sum("links").alias("links"))
+    every = held.select("c", "copies", "least").join(links, "c", "left").join(linked, "c", "left").withColumn("g", F.coalesce("g", "c"))
+    smallest = every.groupBy("g").agg(F.min("least").alias("component"))
+    return every.join(smallest, "g").select("c", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component")

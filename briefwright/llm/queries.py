@@ -117,3 +117,23 @@ def op10_vectors(spark: SparkSession, sf: str) -> DataFrame:
     from briefwright.llm import vectors
 
     return vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 5 * shared >= 4 * (na.n + nb.n - shared)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, min(reach.b) AS class_id, CAST(any_value(coalesce(l.n_links, 0)) AS BIGINT) AS n_links, d.doc_id = min(reach.b) AS kept
+FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) l ON l.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op1_ngram_join", OP1_SQL)
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import ngramjoin
+
+    found = ngramjoin.similar(table(spark, sf, "documents"))
+    return found.select("doc_id", "class_id", "n_links", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from briefwright.llm.common import stage
-from briefwright.llm.components import block_pairs, components, least_labels, per_group
+from briefwright.llm.components import block_pairs, components, joined, least_labels, per_group
 
 #: Classes of a list that one task searches, queries that it takes, and classes of a block when links are counted.
 LIST_BLOCK, QUERY_PART, COUNT_BLOCK = 4096, 8192, 1024
@@ -200,8 +200,4 @@ def _results(held: DataFrame, dim: int, cosine: float, z: float, lists: int | No
     members = held.select("c", "v", "copies").join(groups, "c")
     pairs = block_pairs(members.withColumn("one", F.lit(1)), "g", "c", "one", COUNT_BLOCK).drop("one")
     counted = stage(per_group(pairs, ["g", "x", "y"], lambda t: _count(dim, cosine, t), "c long, links long, b long"))
-    linked = components(counted, "c", "b").withColumnsRenamed({"v": "c", "component": "g"})
-    links = counted.groupBy("c").agg(F.sum("links").alias("links"))
-    every = held.select("c", "copies", "least").join(links, "c", "left").join(linked, "c", "left").withColumn("g", F.coalesce("g", "c"))
-    smallest = every.groupBy("g").agg(F.min("least").alias("component"))
-    return every.join(smallest, "g").select("c", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component")
+    return joined(held, counted)
