@@ -137,3 +137,11 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
     found = ngramjoin.similar(table(spark, sf, "documents"))
     return found.select("doc_id", "class_id", "n_links", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"))
+
+
+@query("op8_licences")
+def op8_licences(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import licences
+
+    one = F.transform("licences", lambda x: F.concat_ws(":", x["licence"], x["first"].cast("string"), x["end"].cast("string"), F.format_number(x["coverage"], 3)))
+    return licences.scan(table(spark, sf, "documents")).select("doc_id", F.size("licences").cast("long").alias("n_found"), F.array_join(one, ",").alias("licences"))
