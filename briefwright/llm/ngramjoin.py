@@ -230,9 +230,11 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
 
 def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of ``docs`` per group, that of its smallest id, with all its columns. Texts without words stay."""
-    found = similar(docs, id_col, text_col, **options)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_id"), F.col("h").alias("_h"), "n_links").distinct()
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_h")))
-    # rows that repeat an id and its text are copies too; only they can still be more than one of a group
-    once, again = kept.where("n_links = 0"), kept.where("n_links > 0")
-    return once.unionByName(again.dropDuplicates(["_id"])).select(*docs.columns)
+    found = similar(docs, id_col, text_col, **options).where(F.col(id_col).eqNullSafe(F.col("class_id")))
+    keep = stage(found.groupBy(F.col(id_col).alias("_id"), F.col("h").alias("_h")).agg(F.count("*").alias("_rows"), F.max("n_links").alias("_links")))
+    of = lambda k: docs.join(k.select("_id", "_h"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_h")))
+    # rows that repeat an id and its text are copies too
+    again = (F.col("_rows") > 1) & (F.col("_links") > 0)
+    if keep.where(again).isEmpty():
+        return of(keep).select(*docs.columns)
+    return of(keep.where(~again)).unionByName(of(keep.where(again)).dropDuplicates(["_id", "_h"])).select(*docs.columns)

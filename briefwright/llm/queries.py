@@ -145,3 +145,10 @@ def op8_licences(spark: SparkSession, sf: str) -> DataFrame:
 
     one = F.transform("licences", lambda x: F.concat_ws(":", x["licence"], x["first"].cast("string"), x["end"].cast("string"), F.format_number(x["coverage"], 3)))
     return licences.scan(table(spark, sf, "documents")).select("doc_id", F.size("licences").cast("long").alias("n_found"), F.array_join(one, ",").alias("licences"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
