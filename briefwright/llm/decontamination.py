@@ -23,24 +23,20 @@ WINDOW = 10
 GRAM = 5
 #: Fixed: what is not part of a word, after lower-casing; letters of both cases are kept apart from it.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of the benchmark side up to which it is broadcast; a larger one is joined by shuffle, to the same result.
 BROADCAST_ROWS = 500_000
 
 
 def words(text: Column) -> Column:
-    """Words of a text, A to Z lower-cased; null for null."""
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), BETWEEN), lambda w: w != "")
-
-
-def n_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Words of a text, A to Z lower-cased; null for null. (Text of one byte a character has no other capitals.)"""
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.filter(F.split(low, BETWEEN), lambda w: w != "")
 
 
 def _hashes(df: DataFrame, text: str, *keys: str) -> DataFrame:
-    """(keys, hw): the hashes of the words of a text."""
-    cut = df.select(*keys, words(F.col(text)).alias("w")).where(F.size("w") > 0)
+    """(keys, hw): the hashes of the words of a text, none for null."""
+    cut = df.select(*keys, words(F.coalesce(F.col(text), F.lit(""))).alias("w"))
     return cut.select(*keys, F.transform("w", lambda w: F.xxhash64(w)).alias("hw"))
 
 
@@ -51,17 +47,21 @@ def _grams(hw: str, k: int) -> Column:
                        lambda i: F.xxhash64(F.slice(hw, i, k)).bitwiseAND(F.lit(~255)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(255).cast("long"))))
 
 
-def fingerprints(hashed: DataFrame, t: int, *keys: str) -> DataFrame:
-    """(keys, p, fp, first, context): the winnowed k-grams of texts of t words or more. ``p`` is the place of a k-gram, ``context``
-    the hashes of the words from place ``first`` on that belong to a window of t words around it. t must stay below 256."""
+def fingerprints(hashed: DataFrame, t: int, *keys: str, every: bool = False) -> DataFrame:
+    """(keys, p, n, fp, context): the winnowed k-grams of texts of t words or more. ``p`` is the place of a k-gram, ``context``
+    the hashes of the words that belong to a window of t words around it, the first standing at max(1, p - t + k). With ``every``,
+    each text also has a row of place 0, whose n is its number of words. t must stay below 256."""
     k = min(GRAM, t)
     span = t - k + 1
-    grams = hashed.where(F.size("hw") >= t).select(*keys, "hw", _grams("hw", k).alias("g"))
+    none = F.array().cast("array<bigint>")
+    grams = hashed.select(*keys, "hw", F.when(F.size("hw") >= t, _grams("hw", k)).otherwise(none).alias("g"))
     places = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("g") - (span - 1)), lambda i: i + F.pmod(F.array_min(F.slice("g", i, span)) - i, F.lit(256)).cast("int")))
-    kept = grams.select(*keys, "hw", "g", F.explode(places).alias("p"))
+    places = F.when(F.size("g") > 0, places).otherwise(F.array().cast("array<int>"))
+    kept = grams.select(*keys, "hw", "g", F.explode(F.concat(F.array(F.lit(0)), places) if every else places).alias("p"))
     first = F.greatest(F.lit(1), F.col("p") - (t - k))
-    return kept.select(*keys, "p", F.shiftright(F.element_at("g", F.col("p")), 8).alias("fp"), first.alias("first"),
-                       F.slice("hw", first, F.col("p") + t - first).alias("context"))
+    at = F.col("p") > 0
+    return kept.select(*keys, "p", F.when(~at, F.size("hw")).alias("n"), F.when(at, F.shiftright(F.element_at("g", F.greatest("p", F.lit(1))), 8)).otherwise(F.xxhash64(*keys)).alias("fp"),
+                       F.when(at, F.slice("hw", first, F.col("p") + t - first)).alias("context"))
 
 
 def _windows(context: DataFrame, t: int, first: Column, *keys: str) -> DataFrame:
@@ -74,40 +74,45 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def window_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(hits, item windows). Hits: (id, h, t, s, wh), one row per place of a document where a window of t words of some item stands;
-    h is the hash of the text. Item windows: (t, wh, item)."""
-    item_words = stage(_hashes(items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), "text", "item").withColumn("n", F.size("hw")))
+def window_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sizes, hits, item windows). Sizes: (id, h, n), the number of words of each row; h is the hash of the text. Hits: (id, h, t, s, wh),
+    one row per place of a document where a window of t words of some item stands. Item windows: (t, wh, item)."""
+    item_words = stage(_hashes(items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), "text", "item").withColumn("n", F.size("hw")).where("n > 0"))
     short = sorted(r.n for r in item_words.where(F.col("n") < window).select("n").distinct().collect())  # below the window: a few numbers
     hashed = _hashes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h")), "text", "id", "h")
-    sides = []
+    found, all_windows, sizes = [], [], None
     for t in [*short, window]:
         own = item_words.where(F.col("n") == t) if t < window else item_words.where(F.col("n") >= t)
-        sides.append((t, own, stage(_windows(own.select("item", F.col("hw").alias("context")), t, F.lit(1), "item").select("t", "wh", "item").distinct())))
-    found = []
-    for t, own, wins in sides:
-        prints = fingerprints(own, t).select("fp").distinct()
-        hits = fingerprints(hashed, t, "id", "h").join(_small(prints), "fp", "left_semi")
-        around = _windows(hits, t, F.col("first"), "id", "h")
+        wins = stage(_windows(own.select("item", F.col("hw").alias("context")), t, F.lit(1), "item").select("t", "wh", "item").distinct())
+        prints = stage(fingerprints(own.select("item", "hw"), t, "item").select(F.col("fp").alias("_fp")).distinct())
+        marked = fingerprints(hashed, t, "id", "h", every=t == window)
+        if t == window:
+            hits = stage(marked.join(_small(prints), F.col("fp") == F.col("_fp"), "left").where(F.col("_fp").isNotNull() | (F.col("p") == 0)).drop("fp", "_fp"))
+            sizes = hits.where("p = 0").select("id", "h", "n")
+            hits = hits.where("p > 0")
+        else:
+            hits = marked.join(_small(prints), F.col("fp") == F.col("_fp"), "left_semi")
+        around = _windows(hits, t, F.greatest(F.lit(1), F.col("p") - (t - min(GRAM, t))), "id", "h")
         found.append(around.join(_small(wins.select("wh").distinct()), "wh", "left_semi").select("id", "h", "t", "s", "wh").distinct())
-    return stage(reduce(DataFrame.unionByName, found)), reduce(DataFrame.unionByName, [w for _, _, w in sides])
+        all_windows.append(wins)
+    return sizes, stage(reduce(DataFrame.unionByName, found)), reduce(DataFrame.unionByName, all_windows)
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: id, n_words, n_hit (words inside windows of items), items (their ids as sorted strings)."""
-    hits, wins = window_hits(docs, items, id_col, text_col, item_col, item_text, window)
+    sizes, hits, wins = window_hits(docs, items, id_col, text_col, item_col, item_text, window)
     before = F.max(F.col("s") + F.col("t")).over(Window.partitionBy("id", "h").orderBy("s", "t").rowsBetween(Window.unboundedPreceding, -1))
     end = F.col("s") + F.col("t")
     covered = hits.withColumn("fresh", F.greatest(F.lit(0), end - F.greatest(F.col("s"), F.coalesce(before, F.col("s"))))).groupBy("id", "h").agg(F.sum("fresh").alias("n_hit"))
     listed = hits.select("id", "h", "t", "wh").distinct().join(wins, ["t", "wh"]).select("id", "h", F.col("item").cast("string").alias("item")).distinct()
     listed = listed.groupBy("id", "h").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), n_words(F.col(text_col)).alias("n_words"))
+    d = sizes.select("id", "h", F.col("n").cast("long").alias("n_words"))
     return with_rows(with_rows(d, covered), listed).select(
         F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no window of an item, with all their columns."""
-    hits, _ = window_hits(docs, items, id_col, text_col, **options)
+    _, hits, _ = window_hits(docs, items, id_col, text_col, **options)
     bad = hits.select(F.col("id").alias("_id"), F.col("h").alias("_h")).distinct()
     return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_h")), "left_anti")
