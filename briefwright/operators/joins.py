@@ -26,8 +26,11 @@ def unseen(items: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def with_video_stats(items: DataFrame, stats: DataFrame) -> DataFrame:
-    """Score from engagement per video; rows without statistics keep their score."""
-    s = first_per(stats, ["video_id"], [F.col("video_id")]).select(
+    """Score from engagement per video; rows without statistics keep their score. Of repeated statistics the latest
+    (``fetched_at``, if there is such a column) and then the largest counts hold."""
+    newest = [F.col("fetched_at").desc_nulls_last()] if "fetched_at" in stats.columns else []
+    counts = [F.col(c).cast("bigint").desc_nulls_last() for c in ("viewCount", "likeCount", "commentCount")]
+    s = first_per(stats, ["video_id"], [*newest, *counts]).select(
         "video_id", *[F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(c) for c in ("viewCount", "likeCount", "commentCount")],
         F.lit(True).alias("_found"))
     rate = (F.col("likeCount") + F.col("commentCount")) / F.greatest(F.col("viewCount"), F.lit(1))
@@ -107,7 +110,7 @@ def source_counts_wide(raw: DataFrame, kept: DataFrame, events: DataFrame, selec
 
 def latest_editions(editions: DataFrame) -> DataFrame:
     """Row with the largest year per conference."""
-    return editions.groupBy("name").agg(F.max_by(F.struct(*editions.columns), F.col("year")).alias("e")).select("e.*")
+    return editions.groupBy("name").agg(F.max_by(F.struct(*editions.columns), F.struct("year", *[c for c in editions.columns if c != "year"])).alias("e")).select("e.*")
 
 
 def editions_of(conferences: DataFrame, editions: DataFrame, current_year: int) -> DataFrame:

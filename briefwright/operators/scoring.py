@@ -38,7 +38,7 @@ OFFICIAL_HOSTS = [
 # Anchors of the single rules.
 RELEASE_WORDS = [
     "launch", "launches", "launched", "release", "released", "introducing", "available", "availability", "ships",
-    "shipping", "upgrade", "upgrading", "workflow", "workflows", "api",
+    "shipping", "upgrade", "upgrading", "same price", "pricing", "fast mode", "workflow", "workflows", "api",
 ]
 LAUNCH_WORDS = [
     "launch", "launches", "launched", "introducing", "release", "released", "demo", "project", "tool", "agent", "sdk",
@@ -62,14 +62,30 @@ TOKEN_MASKS = ("technical", "product", "business", "novelty", "reader_relevance"
 TEXT_MASKS = ("industrial_practice", "correction", "event_capability")
 
 
+#: Terms of one mask; a group of more terms has several.
+MASK_TERMS = 63
+
+
 def _mask(terms: Sequence[str], present) -> Column:
-    """One bit per term that is present."""
+    """One bit per term that is present, in as many longs as the group needs."""
     terms = list(terms)
-    if len(terms) > 63:
-        raise ValueError("a scoring group holds at most 63 terms; split it into two groups")
-    bits = constant([{"term": t, "bit": 1 << i} for i, t in enumerate(terms)], "array<struct<term:string,bit:bigint>>")
-    return F.aggregate(F.filter(bits, lambda x: present(x["term"])), F.lit(0).cast("bigint"),
-                       lambda acc, x: acc.bitwiseOR(x["bit"]))
+
+    def one(part: Sequence[str]) -> Column:
+        bits = constant([{"term": t, "bit": 1 << i} for i, t in enumerate(part)], "array<struct<term:string,bit:bigint>>")
+        return F.aggregate(F.filter(bits, lambda x: present(x["term"])), F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(x["bit"]))
+
+    return F.array(*[one(terms[i : i + MASK_TERMS]) for i in range(0, max(1, len(terms)), MASK_TERMS)])
+
+
+def mask_count(mask: str) -> Column:
+    """Number of terms in a mask."""
+    return F.aggregate(mask, F.lit(0), lambda n, x: n + F.bit_count(x))
+
+
+def _union(group: str, lexicon: Lexicon) -> Column:
+    """Terms that any row of a group has."""
+    parts = max(1, -(-len(lexicon[group]) // MASK_TERMS))
+    return F.array(*[F.bit_or(F.col(f"m_{group}")[i]) for i in range(parts)]).alias(f"m_{group}")
 
 
 def _masker(terms: Sequence[str], test):
@@ -223,19 +239,19 @@ def main_order(ranking: Mapping[str, Any] | None = None) -> list[Column]:
             F.coalesce("score", F.lit(0.0)) - length, T.text_or_empty(F.col("title")), -F.col("rank")]
 
 
-def event_aggregates(signals: DataFrame, event: str = "event", ranking: Mapping[str, Any] | None = None) -> DataFrame:
+def event_aggregates(signals: DataFrame, event: str | Sequence[str] = "event", ranking: Mapping[str, Any] | None = None, lexicon: Lexicon | None = None) -> DataFrame:
     """One row per event: unions, maxima and sums over its members, and its main item. Needs ``rank``, the
-    position of a member in the clustering order."""
-    key = F.struct(*main_order(ranking))
-    main = F.struct(*[F.col(c) for c in MAIN_COLUMNS])
+    position of a member in the clustering order, and staged ``signals``, which are read three times.
+
+    Numbers are summed by hash, the main item is chosen by its sort keys and rank alone, and only the chosen rows are
+    fetched whole, so no text is shuffled for the others."""
+    lexicon, event = lexicon or Lexicon(), [event] if isinstance(event, str) else list(event)
     total = lambda c: F.round(F.least(F.lit(10.0), F.sum(c)), 2)
-    return signals.groupBy(event).agg(
-        F.max_by(main, key).alias("main"),
+    numbers = signals.groupBy(*event).agg(
         F.count(F.lit(1)).alias("cluster_size"),
-        F.least(F.lit(12), F.count_distinct(F.nullif(F.col("identity"), F.lit("")))).alias("diversity"),
         F.max("heat_value").alias("heat_value"),
         F.max("influence_value").alias("influence_value"),
-        *[F.bit_or(f"m_{g}").alias(f"m_{g}") for g in (*TOKEN_MASKS, *TEXT_MASKS)],
+        *[_union(g, lexicon) for g in (*TOKEN_MASKS, *TEXT_MASKS)],
         *[F.bool_or(f"f_{g}").alias(f"f_{g}") for g in
           ("survey", "position", "benchmark", "replication", "correction", "production", "frontier", "official_release")],
         F.bool_or(F.col("release_id") != "").alias("f_named_release"),
@@ -246,6 +262,10 @@ def event_aggregates(signals: DataFrame, event: str = "event", ranking: Mapping[
         F.round(F.least(F.lit(10.0), F.greatest(F.sum("s_evidence"), F.round(F.least(F.lit(10.0), F.sum("s_official")), 2))), 2)
         .alias("evidence_signal"),
     )
+    kinds = signals.where("identity <> ''").select(*event, "identity").distinct().groupBy(*event).agg(F.count(F.lit(1)).alias("diversity"))
+    best = signals.groupBy(*event).agg(F.max_by("rank", F.struct(*main_order(ranking))).alias("rank"))
+    main = signals.join(best, [*event, "rank"], "left_semi").select(*event, F.struct(*[F.col(c) for c in MAIN_COLUMNS]).alias("main"))
+    return numbers.join(kinds, event, "left").join(main, event).withColumn("diversity", F.least(F.lit(12), F.coalesce("diversity", F.lit(0))))
 
 
 def _lookup(table: Mapping[str, float], key: Column, default: float) -> Column:
@@ -262,7 +282,7 @@ def with_dimensions(events: DataFrame, lexicon: Lexicon | None = None, ranking:
     """Adds the six dimensions (struct ``dimensions``) and the release facts of the main item."""
     lexicon = lexicon or Lexicon()
     knobs = policy("ranking", dict(ranking or {}))
-    m = lambda g: F.bit_count(F.col(f"m_{g}"))
+    m = lambda g: mask_count(f"m_{g}")
     main = lambda c: F.col(f"main.{c}")
     staged = events.withColumns({
         "release_kind": T.release_kind(main("source"), main("title"), main("url")),
@@ -360,7 +380,7 @@ SUBTYPE_FACTORS = {
 def with_paper_quality(events: DataFrame, category: Column, ranking: Mapping[str, Any] | None = None) -> DataFrame:
     """Adds ``paper`` (subtype, quality, multiplier, components); null for events that are no paper."""
     knobs = policy("ranking", dict(ranking or {}))
-    m = lambda g: F.bit_count(F.col(f"m_{g}"))
+    m = lambda g: mask_count(f"m_{g}")
     main = lambda c: F.col(f"main.{c}")
     dim = lambda d: F.col(f"dimensions.{d}")
     source, host = F.lower(T.text_or_empty(main("source"))), main("host")
@@ -476,7 +496,7 @@ def with_event_score(events: DataFrame, category: Column, ranking: Mapping[str,
                             number("hard_evidence_min_score") + F.least(F.lit(18.0), signal("evidence_signal") * 2.2))
     floor_official = F.when(signal("official_signal") > 0,
                             number("official_event_min_score") + F.least(F.lit(28.0), signal("official_signal") * 3.0))
-    floor_capability = F.when((signal("official_signal") > 0) & (F.bit_count("m_event_capability") >= 3),
+    floor_capability = F.when((signal("official_signal") > 0) & (mask_count("m_event_capability") >= 3),
                               number("official_capability_min_score") + F.least(F.lit(26.0), signal("official_signal") * 2.8))
     score = F.round(F.greatest(product, floor_evidence, floor_official, floor_capability), 3)
     breakdown = F.struct(

@@ -13,11 +13,12 @@ from briefwright.operators.ranking import first_per, top_k
 from briefwright.session import cut_lineage
 
 
-def with_terms(items: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
-    """Adds trimmed title and content, keywords (repetitions kept) and entity names."""
+def with_terms(items: DataFrame, lexicon: Lexicon | None = None, title_chars: int = 220, content_chars: int = 400) -> DataFrame:
+    """Adds title and content cut to the lengths of which the monthly rules count terms, keywords (repetitions kept) and entity
+    names. The lengths are part of the rules' definition; larger ones count further into the texts."""
     lexicon = lexicon or Lexicon()
     tags = F.array_join(F.coalesce("tags", term_array([])), " ")
-    staged = items.withColumns({"title": T.trim_text(F.col("title"), 220), "content": T.trim_text(F.col("content"), 400),
+    staged = items.withColumns({"title": T.trim_text(F.col("title"), title_chars), "content": T.trim_text(F.col("content"), content_chars),
                                 "score": F.coalesce("score", F.lit(0.0))})
     return staged.withColumns({
         "keywords": T.keywords(F.concat_ws(" ", "title", "content", tags), lexicon),

@@ -33,5 +33,5 @@ def daily(items: DataFrame, by: Sequence[str] = (), seen: DataFrame | None = Non
         rows, _ = open_links(rows, url_status)
     events, members = E.cluster_events(rows, by, lexicon, ranking, registry)
     chosen = cut_lineage(E.select_headlines(events, top_n, None, ranking))
-    return {"items": rows, "events": chosen, "members": members, "ledger": E.event_ledger(chosen, members, top_n),
+    return {"items": rows, "events": chosen, "members": members, "ledger": E.event_ledger(chosen, top_n), "supporting": E.supporting_items(members),
             "lines": reports.daily_lines(chosen, members, top_n)}

@@ -18,8 +18,8 @@ from briefwright.session import cut_lineage
 
 
 def evaluate(items: DataFrame, lexicon: Lexicon | None = None, overrides: Mapping[str, Any] | None = None,
-             ranking: Mapping[str, Any] | None = None, registry: Registry | None = None, cluster_top: int = 300) -> DataFrame:
-    """One row per day (``dt``) with counts and metrics. The cut of ``cluster_top`` is part of the metric."""
+             ranking: Mapping[str, Any] | None = None, registry: Registry | None = None, cluster_top: int | None = None) -> DataFrame:
+    """One row per day (``dt``) with counts and metrics. All rows are clustered; ``cluster_top`` limits them per day if it is given."""
     lexicon = lexicon or Lexicon()
     routed = cut_lineage(with_relevance(items, lexicon, overrides).drop("search", "low_tags", "to_investment"))
     routed = routed.withColumn("labels", negative_labels(F.col("route"), lexicon))
@@ -27,7 +27,7 @@ def evaluate(items: DataFrame, lexicon: Lexicon | None = None, overrides: Mappin
     kept = routed.where("route = 'kept'")
     raw_unique = deduplicate(items, by=by)
     unique = cut_lineage(deduplicate(kept.drop("labels"), by=by))
-    chosen = top_k(unique, by, by_score(), cluster_top)
+    chosen = unique if cluster_top is None else top_k(unique, by, by_score(), cluster_top)
     events, members = E.cluster_events(chosen, by, lexicon, ranking, registry)
     day = F.from_json("_run", "dt STRING")["dt"].alias("dt")
     events = events.join(members.select("_run", F.col("item_id"), "relevance"), (events["_run"] == members["_run"]) & (F.col("main.item_id") == members["item_id"])).drop(members["_run"])

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,30 +27,21 @@ def build_session(app: str = "briefwright", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if shared:
-        sc.setCheckpointDir(shared)
-        return
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
-    sc.setCheckpointDir(os.environ.get("BRIEFWRIGHT_CHECKPOINTS") or tempfile.mkdtemp(prefix="briefwright-"))
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share. Only a local session without that
+    setting gets a folder of its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
+        root = "file://" + tempfile.mkdtemp(prefix="briefwright-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root}/briefwright-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back, so that loops keep small plans
-    and a lost executor costs one read, not the whole history."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, *keys: str, few_files: int = 64) -> DataFrame:
-    """Rows of a table of few files over all cores. A file with one row group is read by one task, which would
-    then also run every text rule. Tables of many files are left alone: their scan is parallel already."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= min(slots, few_files):
-        return df
-    return df.repartition(slots, *keys)
+    """Write ``df`` to the shared folder as Parquet and read it back: loops keep small plans, a lost executor costs one read, not
+    the whole history, and later steps read only the columns that they need."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -90,11 +90,16 @@ def latest_state(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.max_by(F.struct(*others), F.col(order)).alias("v")).select(*by, "v.*")
 
 
-def run_to_completion(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Drain what has landed (available-now trigger) into a memory table; for checks on small data."""
-    query = (stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+def run_to_completion(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+    """Drain what has landed (available-now trigger) into Parquet files below ``folder``, beside the stream's state, and read them
+    back. An aggregate in complete mode is written anew by each batch; the last one holds."""
+    spark, out = stream.sparkSession, f"{folder}/rows"
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+    if mode == "append":
+        query = writer.format("parquet").option("path", out).start()
+    else:
+        query = writer.foreachBatch(lambda rows, batch: rows.write.mode("overwrite").parquet(out)).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return stream.sparkSession.table(name)
+    return spark.read.schema(stream.schema).parquet(out)

@@ -69,13 +69,13 @@ def engagement(spark, sf):
     return items(spark, sf).select("item_id", engagement_rate(F.col("extra"), F.col("score")).alias("rate"))
 
 
-USAGE = """u AS (SELECT conv_id, turn, 'm' || (conv_id % 12) AS model, role AS source, length(text) AS i, least(length(text), conv_id % 400) AS c, turn AS w, turn * 10 AS o FROM conversations),
+USAGE = """u AS (SELECT conv_id, turn, 'm' || (conv_id % 15) AS model, role AS source, length(text) AS i, least(length(text), conv_id % 400) AS c, turn AS w, turn * 10 AS o FROM conversations),
   e AS (SELECT *, i + o AS t FROM u)"""
 
 
 def _entries(spark, sf):
     u = table(spark, sf, "conversations")
-    raw = u.select(F.concat(F.lit("m"), F.col("conv_id") % 12).alias("model"), "role", F.parse_json(F.to_json(F.struct(
+    raw = u.select(F.concat(F.lit("m"), F.col("conv_id") % 15).alias("model"), "role", F.parse_json(F.to_json(F.struct(
         F.length("text").alias("prompt_tokens"), F.least(F.length("text").cast("bigint"), F.col("conv_id") % 400).alias("cacheRead"), F.col("turn").alias("cache_write"), (F.col("turn") * 10).alias("output")))).alias("usage"))
     entries = raw.withColumns(G.normalised_usage(F.col("usage"))).withColumns({"kind": F.lit("task_model"), "source": F.col("role")})
     return G.with_cost(entries, price_table(spark, sf))
@@ -199,6 +199,6 @@ def category_signals(spark, sf):
 @query("ag27_usage_record", f"WITH {USAGE} SELECT model, i AS input_tokens, c AS cached_input_tokens, w AS cache_write_tokens, o AS output_tokens, t AS total_tokens FROM e")
 def usage_record(spark, sf):
     u = table(spark, sf, "conversations")
-    raw = u.select(F.concat(F.lit("m"), F.col("conv_id") % 12).alias("model"), F.parse_json(F.to_json(F.struct(
+    raw = u.select(F.concat(F.lit("m"), F.col("conv_id") % 15).alias("model"), F.parse_json(F.to_json(F.struct(
         F.length("text").alias("prompt_tokens"), F.least(F.length("text").cast("bigint"), F.col("conv_id") % 400).alias("cacheRead"), F.col("turn").alias("cache_write"), (F.col("turn") * 10).alias("output")))).alias("usage"))
     return G.usage_records(raw, price_table(spark, sf)).select("model", *G.COUNTS)

@@ -10,8 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from briefwright.session import spread
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -59,11 +57,20 @@ def _array(values: list[str]) -> str:
     return "array" + _list(values).replace("[", "(").replace("]", ")")
 
 
+EVENT_TYPES = ["click", "view", "purchase", "signup"]
+
+
 def items(spark: SparkSession, sf: str) -> DataFrame:
-    d = spread(table(spark, sf, "documents"), "doc_id").select("doc_id", "text", "lang", F.substr("source", F.lit(4)).cast("int").alias("idx"))
-    e = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    """One item per document; time, kind and score follow from its id."""
+    # the tables come as one file each, which one task would read and then also run all text rules on
+    d = table(spark, sf, "documents").repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    d = d.select("doc_id", "text", "lang", F.substr("source", F.lit(4)).cast("int").alias("idx"))
+    rows = d.withColumns({
+        "ts": F.expr("timestampadd(SECOND, cast(doc_id * 104729 % 2592000 as int), timestamp'2024-01-01 00:00:00')"),
+        "event_type": F.expr(f"{_array(EVENT_TYPES)}[cast(doc_id * 31 % 7 % {len(EVENT_TYPES)} as int)]"),
+        "value": F.expr("cast(doc_id * 7919 % 1000003 as double) / 5000.0D")})
     pick = lambda values, key: F.expr(f"{_array(values)}[{key}]")
-    rows = d.join(e, "doc_id").withColumns({
+    rows = rows.withColumns({
         "source": pick(NAMES, "idx"), "phrase": pick(PHRASES, f"cast(doc_id % {len(PHRASES)} as int)"),
         "first_line": F.substring(F.substring_index("text", "\n", 1), 1, 120)})
     tail = F.expr("""case when idx = 0 and doc_id % 40 = 0 then concat('/releases/tag/v', doc_id % 3, '.', doc_id % 7, '.', doc_id % 5)
@@ -102,10 +109,12 @@ ITEMS = f"""items AS (
     (doc_id % 3) || ':' || (10 + doc_id % 50) || ':00' AS x_duration, (doc_id % 3) * 3600 + (10 + doc_id % 50) * 60 AS x_seconds,
     doc_id % 100 AS x_voteups, doc_id % 30 AS x_favorites, {_list(FEEDS)}[doc_id % 3 + 1] AS x_feed, 'memo' || (doc_id % 8) AS x_note,
     doc_id % 1000 AS x_views, doc_id % 77 AS x_vlikes, doc_id % 13 AS x_comments, strftime(ts, '%Y-%m-%d') AS dt, idx
-  FROM (SELECT d.doc_id, d.text, d.lang, CAST(substr(d.source, 4) AS INT) AS idx, e.ts, e.event_type, e.value,
+  FROM (SELECT d.doc_id, d.text, d.lang, CAST(substr(d.source, 4) AS INT) AS idx,
+          TIMESTAMP '2024-01-01 00:00:00' + to_seconds(d.doc_id * 104729 % 2592000) AS ts, {_list(EVENT_TYPES)}[d.doc_id * 31 % 7 % {len(EVENT_TYPES)} + 1] AS event_type,
+          CAST(d.doc_id * 7919 % 1000003 AS DOUBLE) / 5000.0::DOUBLE AS value,
           {_list(NAMES)}[CAST(substr(d.source, 4) AS INT) + 1] AS source, {_list(PHRASES)}[d.doc_id % {len(PHRASES)} + 1] AS phrase,
           substr(split_part(d.text, chr(10), 1), 1, 120) AS first_line
-        FROM documents d JOIN events e ON e.event_id = d.doc_id))"""
+        FROM documents d))"""
 
 
 def with_items(body: str, *ctes: str) -> str:

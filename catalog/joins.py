@@ -33,10 +33,10 @@ def videos(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.concat(F.lit("https://www.youtube.com/watch?v="), vid).alias("url"), F.col("page_id").cast("double").alias("score"))
 
 
-@query("jn02_stats_left_join", f"""WITH {VIDEOS}, stats AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 11, 'v') AS video_id, c_custkey * 3 AS v, c_custkey % 7 AS l, c_nationkey AS c FROM customer WHERE c_custkey < 100)
+@query("jn02_stats_left_join", f"""WITH {VIDEOS}, stats AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 11, 'v') AS video_id, c_custkey * 3 AS v, c_custkey % 7 AS l, c_nationkey AS c FROM customer)
     SELECT page_id, CASE WHEN v IS NULL THEN score ELSE (l + c) / CAST(greatest(v, 1) AS DOUBLE) * 1e6 END AS score FROM vids LEFT JOIN stats ON regexp_extract(url, 'v=([a-zA-Z0-9_-]{{11}})', 1) = video_id""")
 def stats_join(spark, sf):
-    c = table(spark, sf, "customer").where("c_custkey < 100")
+    c = table(spark, sf, "customer")
     stats = c.select(F.lpad(F.col("c_custkey").cast("string"), 11, "v").alias("video_id"), (F.col("c_custkey") * 3).alias("viewCount"),
                      (F.col("c_custkey") % 7).alias("likeCount"), F.col("c_nationkey").alias("commentCount"))
     return J.with_video_stats(videos(spark, sf), stats).select("page_id", "score")
@@ -77,20 +77,20 @@ def title_pairs(spark, sf):
 
 
 @query("jn08_url_status_join", """SELECT d.doc_id, u.url IS NOT NULL AND coalesce(bool_or(s BETWEEN 200 AND 399 OR s IN (401, 403, 429)), false) AS is_open FROM documents d
-    LEFT JOIN (SELECT page_id, url, [200, 301, 404, 403, 500, 429, 204, 401, 410][page_id % 9 + 1] AS s FROM pages) u ON u.page_id = d.doc_id % 400 GROUP BY d.doc_id, u.url""")
+    LEFT JOIN (SELECT page_id, url, [200, 301, 404, 403, 500, 429, 204, 401, 410][page_id % 9 + 1] AS s FROM pages) u ON u.page_id = d.doc_id % (SELECT count(*) FROM pages) GROUP BY d.doc_id, u.url""")
 def status_join(spark, sf):
     status = url_status(spark, sf)
-    docs = table(spark, sf, "documents").select("doc_id", (F.col("doc_id") % 400).alias("page_id")).join(status.select("page_id", "url"), "page_id", "left")
+    docs = table(spark, sf, "documents").select("doc_id", (F.col("doc_id") % table(spark, sf, "pages").count()).alias("page_id")).join(status.select("page_id", "url"), "page_id", "left")
     marked = J.with_link_status(docs.withColumn("url", F.coalesce("url", F.lit("http://unknown.example/"))), status.select("url", "status"))
     return marked.select("doc_id", "is_open")
 
 
 @query("fl19_link_health_filter", """WITH u AS (SELECT page_id, url, [200, 301, 404, 403, 500, 429, 204, 401, 410][page_id % 9 + 1] AS s FROM pages),
-    d AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE coalesce(url, 'http://unknown.example/') END AS url, s FROM documents LEFT JOIN u ON page_id = doc_id % 400)
+    d AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE coalesce(url, 'http://unknown.example/') END AS url, s FROM documents LEFT JOIN u ON page_id = doc_id % (SELECT count(*) FROM pages))
     SELECT doc_id FROM d WHERE url = '' OR s BETWEEN 200 AND 399 OR s IN (401, 403, 429)""")
 def health(spark, sf):
     status = url_status(spark, sf)
-    docs = table(spark, sf, "documents").select("doc_id", (F.col("doc_id") % 400).alias("page_id")).join(status.select("page_id", "url"), "page_id", "left")
+    docs = table(spark, sf, "documents").select("doc_id", (F.col("doc_id") % table(spark, sf, "pages").count()).alias("page_id")).join(status.select("page_id", "url"), "page_id", "left")
     docs = docs.withColumn("url", F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.coalesce("url", F.lit("http://unknown.example/"))))
     kept, _ = J.open_links(docs, status.select("url", "status"))
     return kept.select("doc_id")
@@ -117,32 +117,32 @@ def coverage(spark, sf):
     return J.missing_coverage(reports, rows, 4).select("report_id", "priority", "ledger_key")
 
 
-PRICES = "prices AS (SELECT 'm' || p_partkey % 12 AS model, max(p_size) AS input, max(p_size) * 3 AS output, max(CASE WHEN p_partkey % 2 = 0 THEN p_size / 2.0 ELSE 0 END) AS cache_read FROM part WHERE p_partkey % 12 < 9 GROUP BY 1)"
+PRICES = "prices AS (SELECT 'm' || p_partkey % 12 AS model, max(p_size) AS input, max(p_size) * 3 AS output, max(CASE WHEN p_partkey % 2 = 0 THEN p_size / 2.0 ELSE 0 END) AS cache_read FROM part GROUP BY 1)"
 
 
 def price_table(spark, sf):
-    p = table(spark, sf, "part").where("p_partkey % 12 < 9")
+    p = table(spark, sf, "part")
     return p.groupBy(F.concat(F.lit("m"), F.col("p_partkey") % 12).alias("model")).agg(
         F.max("p_size").cast("double").alias("input"), (F.max("p_size") * 3).cast("double").alias("output"),
         F.max(F.expr("case when p_partkey % 2 = 0 then p_size / 2.0D else 0D end")).alias("cacheRead"), F.lit(0.0).alias("cacheWrite"))
 
 
-@query("jn10_price_join", f"""WITH {PRICES}, u AS (SELECT conv_id, turn, 'm' || (conv_id % 12) AS model, length(text) AS i, least(length(text), conv_id % 400) AS c, turn * 10 AS o FROM conversations)
+@query("jn10_price_join", f"""WITH {PRICES}, u AS (SELECT conv_id, turn, 'm' || (conv_id % 15) AS model, length(text) AS i, least(length(text), conv_id % 400) AS c, turn * 10 AS o FROM conversations)
     SELECT conv_id, turn, coalesce(round(((i - c) * input + c * CASE WHEN cache_read > 0 THEN cache_read ELSE input END + o * output) / 1000000, 9), 0) AS cost_usd,
       coalesce(input > 0, false) AS price_known FROM u LEFT JOIN prices USING (model)""")
 def price_join(spark, sf):
-    u = table(spark, sf, "conversations").select("conv_id", "turn", F.concat(F.lit("m"), F.col("conv_id") % 12).alias("model"), F.length("text").alias("input_tokens"),
+    u = table(spark, sf, "conversations").select("conv_id", "turn", F.concat(F.lit("m"), F.col("conv_id") % 15).alias("model"), F.length("text").alias("input_tokens"),
                                                  (F.col("conv_id") % 400).alias("cached_input_tokens"), F.lit(0).alias("cache_write_tokens"), (F.col("turn") * 10).alias("output_tokens"))
     return with_cost(u, price_table(spark, sf)).select("conv_id", "turn", F.round("cost_usd", 9).alias("cost_usd"), "price_known")
 
 
-EDITIONS = "editions AS (SELECT n_name AS name, CAST(year(o_orderdate) AS INT) AS year, 'e' || (o_orderkey % 5) AS conf_url FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 4 <> 0)"
+EDITIONS = "editions AS (SELECT CASE WHEN n_nationkey % 4 = 0 THEN n_name || ' junior' ELSE n_name END AS name, CAST(year(o_orderdate) AS INT) AS year, 'e' || (o_orderkey % 5) AS conf_url FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"
 
 
 def editions(spark, sf):
     o, c, n = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
-    return o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).where("n_nationkey % 4 <> 0").select(
-        F.col("n_name").alias("name"), F.year("o_orderdate").alias("year"))
+    return o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).select(
+        F.when(F.col("n_nationkey") % 4 == 0, F.concat("n_name", F.lit(" junior"))).otherwise(F.col("n_name")).alias("name"), F.year("o_orderdate").alias("year"))
 
 
 @query("jn11_edition_join", f"WITH {EDITIONS} SELECT n_name AS name, coalesce(max(year), 2026) AS year FROM nation LEFT JOIN editions ON name = n_name GROUP BY n_name")
@@ -205,8 +205,9 @@ def source_category(spark, sf):
     return items(spark, sf).select("item_id", V.source_topic(F.col("source")).alias("category"))
 
 
-@query("jn17_missing_periods", with_items("SELECT month FROM (SELECT strftime(d, '%Y-%m-%d') AS month FROM (SELECT unnest(generate_series(DATE '2023-12-20', DATE '2024-02-10', INTERVAL 1 DAY)) AS d)) WHERE month NOT IN (SELECT dt FROM items GROUP BY dt HAVING count(*) % 2 = 0)"))
+@query("jn17_missing_periods", with_items("SELECT month FROM (SELECT strftime(d, '%Y-%m-%d') AS month FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM (SELECT CAST(min(published_at) AS DATE) - 12 AS lo, CAST(max(published_at) AS DATE) + 12 AS hi FROM items))) WHERE month NOT IN (SELECT dt FROM items GROUP BY dt HAVING count(*) % 2 = 0)"))
 def missing(spark, sf):
-    days = table(spark, sf, "region").limit(1).select(F.explode(F.expr("sequence(date'2023-12-20', date'2024-02-10')")).alias("d")).select(F.date_format("d", "yyyy-MM-dd").alias("month"))
+    span = items(spark, sf).agg(F.date_sub(F.min("published_at"), 12).alias("lo"), F.date_add(F.max("published_at"), 12).alias("hi"))
+    days = span.select(F.explode(F.expr("sequence(lo, hi)")).alias("d")).select(F.date_format("d", "yyyy-MM-dd").alias("month"))
     got = items(spark, sf).groupBy(F.col("dt").alias("month")).agg(F.when(F.count(F.lit(1)) % 2 == 0, 2).otherwise(1).alias("schema_version"), F.collect_list("title").alias("top_cases"))
     return J.missing_periods(days, got)

@@ -255,9 +255,9 @@ def plug(spark, sf):
     return plugin.union_sources([fn(docs(spark, sf)) for fn in chosen.values()])
 
 
-@query("ux04_text_functions", "SELECT page_id, url AS target FROM pages WHERE NOT regexp_matches(url, '[()]')")
+@query("ux04_text_functions", "SELECT page_id, url AS target FROM pages")
 def text_functions(spark, sf):
     from briefwright.functions.markdown import link_targets, plain_links
 
-    p = table(spark, sf, "pages").where(~c("url").rlike("[()]"))
+    p = table(spark, sf, "pages")
     return p.select("page_id", F.element_at(link_targets(plain_links(F.concat(F.lit("x <"), F.lit("b> [l](<"), "url", F.lit(">) y")))), 1).alias("target"))

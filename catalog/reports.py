@@ -34,12 +34,12 @@ def fault(spark, sf):
 
 
 def pages_md(spark, sf):
-    p = table(spark, sf, "pages").where(~F.col("url").rlike("[()]"))
+    p = table(spark, sf, "pages")
     return p.select(F.col("page_id").alias("report_id"), F.concat(F.lit("see [a [b] c](<"), "url", F.lit(">) and https://bare.example/"), F.col("page_id").cast("string"), F.lit(".")).alias("markdown"), "url", "page_id")
 
 
 @query("st37_normalise_markdown_links", """SELECT page_id AS report_id, CASE WHEN s BETWEEN 200 AND 399 OR s IN (401, 403, 429) THEN 'see [a b c](' || url || ')' ELSE 'see a b c' END || ' and link.' AS markdown
-    FROM (SELECT page_id, url, [200, 301, 404, 403, 500, 429, 204, 401, 410][page_id % 9 + 1] AS s FROM pages WHERE NOT regexp_matches(url, '[()]'))""")
+    FROM (SELECT page_id, url, [200, 301, 404, 403, 500, 429, 204, 401, 410][page_id % 9 + 1] AS s FROM pages)""")
 def links(spark, sf):
     from briefwright.functions.urls import heat_is_open
 

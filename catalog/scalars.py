@@ -259,8 +259,7 @@ def normalise_url(spark, sf):
 @query("st31_extract_urls", "SELECT page_id, url || '|https://b.example/' || page_id AS urls FROM pages")
 def urls(spark, sf):
     text = F.concat(F.lit("see "), "url", F.lit("), and https://b.example/"), c("page_id").cast("string"), F.lit("。 again （"), "url", F.lit("）"))
-    return table(spark, sf, "pages").where(~c("url").rlike("[),;.]$")).select("page_id", F.array_join(T.all_urls(text), "|").alias("urls")).unionByName(
-        table(spark, sf, "pages").where(c("url").rlike("[),;.]$")).select("page_id", F.concat("url", F.lit("|https://b.example/"), c("page_id").cast("string")).alias("urls")))
+    return table(spark, sf, "pages").select("page_id", F.array_join(T.all_urls(text), "|").alias("urls"))
 
 
 @query("st32_clean_case_title", "SELECT page_id, 'Case ' || page_id || ' of the day' AS title FROM pages")

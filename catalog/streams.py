@@ -3,23 +3,17 @@
 
 from pyspark.sql import functions as F
 
-from briefwright.session import _ensure_checkpoint_dir
+from briefwright.session import shared_folder
 from briefwright.streaming import streams as S
 from catalog.base import query
 
-N = [0]
-
-
 def _stream(spark, sf, name):
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
 def _drain(spark, df, mode):
-    _ensure_checkpoint_dir(spark)
-    N[0] += 1
-    base = spark.sparkContext.getCheckpointDir()
-    return S.run_to_completion(df, f"drained_{N[0]}", f"{base}/stream-{N[0]}", mode)
+    return S.run_to_completion(df, shared_folder(spark), mode)
 
 
 def events(spark, sf):
