@@ -123,14 +123,20 @@ def _powers_for(longest: int) -> np.ndarray:
 _BYTES = [mixed(np.arange(1 + 256 * i, 257 + 256 * i, dtype=np.uint64)) for i in (0, 1)]
 
 
-def word_spans(raw: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of bytes for which ``word`` holds. Rows must be cut by a byte that is none."""
-    edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+def word_spans(word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes for which ``word`` holds; a run ends with its text (``at``: offsets of the texts)."""
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    begin = at[:-1][np.diff(at) > 0]
+    first[begin] = word[begin]
+    begin = begin[begin > 0]
+    last[begin - 1] = word[begin - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each of the spans of bytes, which are in order and apart: equal for equal bytes, wherever they stand."""
+    """A 64-bit hash of each of the spans of bytes, which are in order: equal for equal bytes, wherever they stand."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     cuts = np.empty(2 * len(starts), np.int64)

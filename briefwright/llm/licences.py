@@ -99,10 +99,8 @@ def _increasing(anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of texts, and offsets of each text's."""
-    n = len(at) - 1
-    raw, at = np.insert(_LOWER[raw], at[1:-1], 32), at + np.append(np.arange(n), max(0, n - 1))
-    starts, ends = word_spans(raw, _WORD[raw])
-    return span_hashes(raw, starts, ends), np.append(np.searchsorted(starts, at[:-1]), len(starts))
+    starts, ends = word_spans(_WORD[raw], at)
+    return span_hashes(_LOWER[raw], starts, ends), np.searchsorted(starts, at)
 
 
 @lru_cache(maxsize=4)

@@ -52,11 +52,9 @@ def shingles(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     """Of texts given as bytes and offsets: hashes of all their runs of words, offsets of each text's, the number of
     words, and a hash of all words in order."""
     n = len(at) - 1
-    raw, at = np.insert(_LOWER[raw], at[1:-1], 32), at + np.append(np.arange(n), max(0, n - 1))  # a space between texts
-    starts, ends = word_spans(raw, _WORD[raw])
-    word = span_hashes(raw, starts, ends)
+    starts, ends = word_spans(_WORD[raw], at)
+    word = span_hashes(_LOWER[raw], starts, ends)
     owner = np.searchsorted(at, starts, "right") - 1
-    owner = np.minimum(owner, n - 1)
     count = np.bincount(owner, minlength=n)
     first = np.cumsum(count) - count
     total = np.zeros(n, np.uint64)

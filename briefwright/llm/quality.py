@@ -43,7 +43,7 @@ def passages(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     p = part[1:][same]
     a, b = raw[:-1][same].astype(np.int64), raw[1:][same].astype(np.int64)
     table = lambda key, k, base: np.bincount(base * k + key, minlength=total * k)[: total * k].reshape(total, k) / size
-    starts, ends = word_spans(raw, _cut(raw, at))
+    starts, ends = word_spans(_WORD[raw], at)
     words = span_hashes(raw, starts, ends)
     place = part[starts] if len(starts) else np.zeros(0, np.int64)
     n_words = np.bincount(place, minlength=total)
@@ -59,15 +59,6 @@ def passages(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.sqrt(x).astype(np.float32), bags
 
 
-def _cut(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Bytes of words; a word ends with its text (its last byte is given up where another text follows at once)."""
-    word = _WORD[raw].copy()
-    inner = at[1:-1]
-    inner = inner[(inner > 0) & (inner < len(raw))]
-    word[inner - 1] = False
-    return word
-
-
 @dataclass
 class Attention:
     """Weights: input scale, encoder, the two halves of the gate, attention, and the score of a text's code."""
