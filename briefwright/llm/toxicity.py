@@ -1,6 +1,6 @@
 """Operator 6: toxicity by a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text's features are the character n-grams (3 to 5 characters, lower case) that it holds, hashed into buckets. From labelled
+A text's features are the character n-grams (3 to 6 characters, lower case, spaces included) that it holds, hashed into buckets. From labelled
 texts, each bucket gets r = log((a + toxic) / (total toxic)) - log((a + clean) / (total clean)), with the numbers of texts that
 hold it. Buckets whose numbers differ between the classes by more than chance are kept, and a logistic regression is fitted on
 r times presence. Only kept buckets cost anything when whole texts are scored.
@@ -20,9 +20,9 @@ from pyspark.sql.functions import arrow_udf
 
 from briefwright.llm.common import labelled_sample
 
-ORDERS = (3, 4, 5)
-BUCKET_BITS = 20
-_MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
+ORDERS = (3, 4, 5, 6)
+BUCKET_BITS = 21
+_MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09], np.uint32)
 
 
 @dataclass
@@ -52,18 +52,15 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(buckets), np.concatenate(owners)) if buckets else (np.zeros(0, np.uint32), np.zeros(0, np.int32))
 
 
-def learn(rows: list[tuple[int, str]], least_z: float = 5.0, max_features: int = 2048, alpha: float = 1.0, decay: float = 0.02, rounds: int = 400) -> Linear:
+def learn(rows: list[tuple[int, str]], least_z: float = 5.0, max_features: int = 2048, alpha: float = 1.0, decay: float = 0.3, rounds: int = 250) -> Linear:
     y = np.array([label for label, _ in rows], np.float64)
     place = np.zeros(1 << BUCKET_BITS, np.int32)
     if not len(y) or y.min() == y.max():
         return Linear(place, np.zeros(1), 0.0)
-    holds = []
-    have = [np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)]
+    have = [np.zeros(1 << BUCKET_BITS, np.float32), np.zeros(1 << BUCKET_BITS, np.float32)]
     for label, text in rows:
-        own = np.unique(grams([text])[0])
-        holds.append(own)
-        have[label][own] += 1
-    n = np.array([(y == 0).sum(), (y == 1).sum()], float)
+        have[label][np.unique(grams([text])[0])] += 1
+    n = np.array([(y == 0).sum(), (y == 1).sum()], np.float32)
     share = (have[0] + have[1]) / n.sum()
     z = (have[1] / n[1] - have[0] / n[0]) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n[0] + 1 / n[1]))
     kept = np.flatnonzero((np.abs(z) >= least_z) & (have[0] + have[1] >= 5))
@@ -72,8 +69,8 @@ def learn(rows: list[tuple[int, str]], least_z: float = 5.0, max_features: int =
     counts = [alpha + h for h in have]
     ratio = (np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum()))[kept]
     x = np.zeros((len(rows), len(kept)), np.float32)
-    for i, own in enumerate(holds):
-        x[i, (at := place[own])[at > 0] - 1] = 1
+    for i, (_, text) in enumerate(rows):
+        x[i, (at := place[grams([text])[0]])[at > 0] - 1] = 1
     x *= ratio.astype(np.float32)
     w, b = np.zeros(len(kept)), 0.0
     m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
