@@ -28,7 +28,7 @@ from briefwright.llm.common import stage
 from briefwright.llm.components import block_pairs, components, joined, least_labels, per_group
 
 #: Classes of a list that one task searches, queries that it takes, and classes of a block when links are counted.
-LIST_BLOCK, QUERY_PART, COUNT_BLOCK = 4096, 8192, 1024
+LIST_BLOCK, QUERY_PART, COUNT_BLOCK = 4096, 8192, 256
 
 
 @dataclass
