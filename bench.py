@@ -28,6 +28,9 @@ def main() -> None:
     queries = load().QUERIES
     only = os.environ.get("BENCH_ONLY")
     names = only.split(",") if only else HEADLINE
+    small = os.path.join(os.path.dirname(os.path.normpath(sf)), "sf0.001")
+    if os.path.isdir(small):  # starts the session and the Python workers before the first timing
+        queries[names[0]](spark, small).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
         start = time.perf_counter()

@@ -21,8 +21,11 @@ def unseen(items: DataFrame, seen: DataFrame) -> DataFrame:
     become a nested loop."""
     rows = items if "content_hash" in items.columns else with_hash(items)
     by_hash = rows.join(seen.select("content_hash").distinct(), "content_hash", "left_anti")
-    papers = seen.where("arxiv_id is not null and arxiv_id <> ''").select("arxiv_id").distinct()
-    return by_hash.join(papers, "arxiv_id", "left_anti").select(rows.columns)
+    papers = seen.where("arxiv_id is not null and arxiv_id <> ''").select(F.col("arxiv_id").alias("_paper")).distinct()
+    # most rows have no paper id; a key of their own, which no paper has, spreads them instead of meeting in one task
+    own = F.concat(F.lit("\u0000"), F.coalesce("content_hash", F.lit("")))
+    paper = F.when(F.coalesce("arxiv_id", F.lit("")) != "", F.col("arxiv_id")).otherwise(own)
+    return by_hash.withColumn("_paper", paper).join(papers, "_paper", "left_anti").select(rows.columns)
 
 
 def with_video_stats(items: DataFrame, stats: DataFrame) -> DataFrame:
