@@ -11,9 +11,13 @@ from briefwright.schema import SEEN_DDL
 _SEEN = ["source", "url", "title", "arxiv_id"]
 
 
-def write_snapshot(items: DataFrame, path: str, date: str, run_ts: str, fmt: str = "parquet") -> None:
-    """Items of one run, below its date and run time; a run replaces only its own partition."""
-    rows = items.withColumns({"dt": F.lit(date), "run_ts": F.lit(run_ts)})
+def _value(value: str | Column) -> Column:
+    return F.lit(value) if isinstance(value, str) else value
+
+
+def write_snapshot(items: DataFrame, path: str, date: str | Column, run_ts: str | Column, fmt: str = "parquet") -> None:
+    """Items of one run, or of several, below date and run time; a run replaces only its own partition."""
+    rows = items.withColumns({"dt": _value(date), "run_ts": _value(run_ts)})
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run_ts").format(fmt).save(path)
 
 
@@ -53,9 +57,9 @@ def runs_after(runs: DataFrame, records: DataFrame) -> DataFrame:
     return merged.select("run_id", "k.*", "c.*")
 
 
-def write_ledger(ledger: DataFrame, path: str, date: str, generated_at: str) -> None:
+def write_ledger(ledger: DataFrame, path: str, date: str | Column, generated_at: str | Column) -> None:
     """Dated ledger partition; ``latest_ledger`` reads the newest one back."""
-    rows = ledger.withColumns({"dt": F.lit(date), "generated_at": F.lit(generated_at)})
+    rows = ledger.withColumns({"dt": _value(date), "generated_at": _value(generated_at)})
     rows.write.mode("append").partitionBy("dt", "generated_at").parquet(path)
 
 
@@ -64,6 +68,12 @@ def latest_ledger(ledger: DataFrame) -> DataFrame:
     return ledger.join(F.broadcast(newest), ["dt", "generated_at"], "left_semi")
 
 
+def write_evaluation(metrics: DataFrame, labels: DataFrame, path: str) -> None:
+    """Daily metrics and audit label counts; a day replaces only its own partition."""
+    for rows, name in ((metrics, "metrics"), (labels, "labels")):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{path}/{name}")
+
+
 def write_period_report(meta: DataFrame, report: DataFrame, path: str) -> None:
     """Metadata rows and report texts, one partition per period key."""
     meta.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{path}/meta")

@@ -103,10 +103,17 @@ def monthly_lines(spark, sf):
     return numbered(P.monthly_report_lines(rows, meta, parts), ["month"])
 
 
-@query("sk07_period_report_sink", with_items("SELECT strftime(published_at + to_months(CAST(day(published_at) AS INT)), '%Y-%m') AS month, count(*) AS total_items, 2 AS schema_version FROM items GROUP BY 1"))
+@query("sk07_period_report_sink", with_items("SELECT strftime(published_at + to_months(CAST(day(published_at) AS INT)), '%Y-%m') AS month, count(*) AS total_items, 2 AS schema_version, '# ' || month AS markdown FROM items GROUP BY 1"))
 def period_meta(spark, sf):
+    from briefwright.session import shared_folder
+    from briefwright.sources.sinks import write_period_report
+
     _, meta, _ = monthly(spark, sf)
-    return meta.select("month", "total_items", "schema_version")
+    folder = shared_folder(spark)
+    write_period_report(meta, meta.select("month", F.concat(F.lit("# "), "month").alias("markdown")), folder)
+    read = spark.read.schema(meta.schema).parquet(f"{folder}/meta")
+    report = spark.read.schema("markdown string, month string").parquet(f"{folder}/text")
+    return read.join(report, "month").select("month", "total_items", "schema_version", "markdown")
 
 
 @query("rp10_higher_period_lines")

@@ -132,6 +132,15 @@ def health(spark, sf):
     return P.health_section(h)
 
 
-@query("sk06_eval_sinks", with_items("SELECT dt, count(*) AS raw_items FROM items GROUP BY dt"))
+@query("sk06_eval_sinks", with_items("""SELECT dt, count(*) AS raw_items, count(*) FILTER (WHERE item_id % 3 = 0) AS labels FROM items GROUP BY dt"""))
 def eval_rows(spark, sf):
-    return items(spark, sf).groupBy("dt").agg(F.count(F.lit(1)).alias("raw_items"))
+    from briefwright.session import shared_folder
+    from briefwright.sources.sinks import write_evaluation
+
+    folder, rows = shared_folder(spark), items(spark, sf)
+    metrics = rows.groupBy("dt").agg(F.count(F.lit(1)).alias("raw_items"))
+    labels = rows.groupBy("dt").agg(F.count_if(F.col("item_id") % 3 == 0).alias("labels"))
+    write_evaluation(metrics, labels, folder)
+    write_evaluation(metrics, labels, folder)  # days that are written again replace themselves
+    read = lambda name, kind: spark.read.schema(f"{kind} long, dt string").parquet(f"{folder}/{name}")
+    return read("metrics", "raw_items").join(read("labels", "labels"), "dt").select("dt", "raw_items", "labels")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from briefwright.operators import registry as R, usage as G
 from briefwright.operators.joins import with_hash
 from briefwright.plans.periods import compact_months
+from briefwright.session import shared_folder
 from briefwright.sources import scans as S, sinks as W
 from catalog.aggregates import FB
 from catalog.base import items, query, s, table, with_items
@@ -123,7 +124,12 @@ def queue_drain(spark, sf):
 
 @query("sk01_items_snapshot_sink", with_items("SELECT dt, lpad(CAST((item_id % 3) * 700 AS VARCHAR), 4, '0') AS run_ts, count(*) AS n FROM items GROUP BY 1, 2"))
 def snapshot_rows(spark, sf):
-    return files(spark, sf).groupBy("dt", F.regexp_extract("file", S.SNAPSHOT_NAME, 2).alias("run_ts")).agg(F.count(F.lit(1)).alias("n"))
+    rows, folder = items(spark, sf), shared_folder(spark)
+    run_ts = F.lpad(((F.col("item_id") % 3) * 700).cast("string"), 4, "0")
+    W.write_snapshot(rows, folder, F.col("dt"), run_ts)
+    W.write_snapshot(rows.where("item_id % 3 = 1"), folder, F.col("dt"), run_ts)  # a run that is written again replaces itself
+    written = spark.read.option("basePath", folder).schema("item_id long, dt string, run_ts string").parquet(folder)
+    return written.groupBy("dt", "run_ts").agg(F.count("item_id").alias("n"))
 
 
 @query("sk02_source_health_sink", with_items("SELECT source, min(score) >= 1 AS success FROM items GROUP BY source"))
@@ -149,9 +155,13 @@ def run_upsert(spark, sf):
     return W.runs_after(old, new).select("run_id", "date", "phase", "status")
 
 
-@query("sk05_event_ledger_sink", with_items("SELECT item_id FROM items WHERE dt = (SELECT max(dt) FROM items)"))
+@query("sk05_event_ledger_sink", with_items("SELECT item_id, title FROM items WHERE item_id % 7 = 0"))
 def latest_ledger(spark, sf):
-    return W.latest_ledger(items(spark, sf).withColumn("generated_at", F.concat("dt", F.lit("T09")))).select("item_id")
+    folder = shared_folder(spark)
+    W.write_ledger(items(spark, sf).select("item_id", "title"), folder, F.date_format(F.expr("timestampadd(DAY, item_id % 5, timestamp'2024-01-01')"), "yyyy-MM-dd"), F.lit("2024-01-09T09"))
+    W.write_ledger(items(spark, sf).where("item_id % 7 = 0").select("item_id", "title"), folder, "2024-01-05", "2024-01-09T10")
+    written = spark.read.schema("item_id long, title string, dt string, generated_at string").parquet(folder)
+    return W.latest_ledger(written).select("item_id", "title")
 
 
 @query("sk08_manual_suggestions_sink", with_items("SELECT title, url, source, x_duration AS duration, 'large_download (>30 min)' AS reason FROM items WHERE x_seconds > 1800"))

@@ -8,8 +8,9 @@ from briefwright.operators import ranking as K, relevance as V
 from briefwright.plans import calendar as C, ledger as D
 from briefwright.sources.plugin import union_sources
 from catalog.base import host, items, query, table, with_items
-from catalog.filters import RUNS, runs
+from catalog.filters import RELEVANT, RUNS, runs
 from catalog.joins import REG, tier_sql, weight_sql
+from catalog.scoring import VOTES, topic_sql
 
 L = Lexicon()
 
@@ -137,7 +138,8 @@ def exclusion(spark, sf):
     return items(spark, sf).join(table(spark, sf, "labels").select(F.col("doc_id").alias("item_id")), "item_id", "left_anti").select("item_id")
 
 
-@query("ag18_group_by_category")
+@query("ag18_group_by_category", with_items("""SELECT topic AS category, item_id, row_number() OVER (PARTITION BY topic ORDER BY score DESC, pos) AS category_rank
+    FROM (SELECT item_id, score, pos, topic FROM topics)""", RELEVANT, VOTES, topic_sql()))
 def group_by_category(spark, sf):
     return V.group_by_category(items(spark, sf), L).select("category", "category_rank", "item_id")
 
