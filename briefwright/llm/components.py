@@ -16,18 +16,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round, a vertex moves to its smallest neighbour, twice, and the edges are drawn anew between where their ends have moved;
     every component at least halves. Only minima are grouped, so a vertex with very many edges costs no task more than a number."""
-    left = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi <> lo").distinct()
-    left = stage(left)
-    found = stage(left.select(F.explode(F.array("hi", "lo")).alias("v")).distinct().withColumn("component", F.col("v")))
+    left = stage(edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi <> lo").distinct())
+    found = left.select(F.explode(F.array("hi", "lo")).alias("v")).distinct().withColumn("component", F.col("v"))
     while not left.isEmpty():
         to = left.groupBy("hi").agg(F.min("lo").alias("up"))
-        to = stage(to)
         further = to.select(F.col("hi").alias("up"), F.col("up").alias("up2"))
         to = stage(to.join(further, "up", "left").select("hi", F.coalesce("up2", "up").alias("up")))
-        moved = lambda df, c: df.join(to.select(F.col("hi").alias(c), F.col("up").alias("_up")), c, "left").withColumn(c, F.coalesce("_up", c)).drop("_up")
-        found = stage(moved(found, "component"))
+        moved = lambda df, c, to=to: df.join(to.select(F.col("hi").alias(c), F.col("up").alias("_up")), c, "left").withColumn(c, F.coalesce("_up", c)).drop("_up")
+        found = moved(found, "component")  # one join a round, and a handful of rounds
         left = stage(moved(moved(left, "hi"), "lo").where("hi <> lo").select(F.greatest("hi", "lo").alias("hi"), F.least("hi", "lo").alias("lo")).distinct())
-    return found
+    return stage(found)
 
 
 def block_pairs(members: DataFrame, group: str, member: str, weight: str, target: int) -> DataFrame:

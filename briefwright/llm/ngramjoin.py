@@ -5,7 +5,7 @@ a text of fewer words is one run). Texts with the same words in the same order a
 
 Each class gets a signature of minima under ``SIGNATURE`` hash functions; equal places of two signatures are shared tokens, sampled
 in proportion to their Jaccard similarity. A run splits the root by two sampled places, so a class goes to two buckets. Small
-buckets are compared by brute force. In a larger one, all are compared with its smallest class; those so close to it that
+buckets are compared by brute force on their signatures. In a larger one, all are compared with its smallest class; those so close to it that
 the triangle inequality leads all their partners to it too are done, the others are split further by sampled places, 1.25 on average,
 so that a pair at the threshold shares one more bucket on average. Runs are repeated until the chance to miss a pair at the threshold
 is below 1 - ``recall``, given how deep the splitting went.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,13 @@ from briefwright.llm.components import block_pairs, components, joined, least_la
 
 SHINGLE = 5
 SIGNATURE = 64
-#: Classes of a bucket that are compared by brute force.
-BUCKET = 24
-#: Agreement from which a pair is a candidate, and from which a class is done with its bucket (the threshold being 0.8).
-CANDIDATE, DONE = 0.6, 0.9
+#: Classes of a bucket that are compared by brute force, and of one that a task splits by itself.
+BUCKET, IN_TASK = 1024, 4096
+#: Agreement from which a pair is a candidate, and from which a class is done with its bucket: a partner of it, at 0.8, has at least 0.6
+#: in common with what it agrees with in 0.8, as 1 - similarity obeys the triangle inequality; the rest is room for the estimate.
+CANDIDATE, DONE = 0.5, 0.8
+#: How deep the splitting is expected to go when the number of runs is planned.
+PLANNED_DEPTH = 4
 #: Shingles of a block when sets are compared; a set counts as LEAST at least, so that a block has a bounded number of sets.
 BLOCK, LEAST = 400_000, 256
 
@@ -105,6 +109,41 @@ def agreement(a: str, b: str) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e)) / F.lit(float(SIGNATURE))
 
 
+def places(path: int) -> list[int]:
+    """The one or two places by which a bucket is split, 1.25 on average."""
+    salt = int(mixed(np.array([path], np.int64).view(np.uint64))[0])
+    return list({salt >> 8 & SIGNATURE - 1, salt >> 24 & SIGNATURE - 1 if salt & 3 == 0 else salt >> 8 & SIGNATURE - 1})
+
+
+def inside(path: int, c: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Candidate edges (i, j) between the classes of one bucket, in order of c, and how deep the splitting went."""
+    work, found_i, found_j, deepest = [(path, np.arange(len(c)), 0)], [], [], 0
+    short = sig.astype(np.uint16)  # enough to compare by
+    while work:
+        path, own, depth = work.pop()
+        deepest = max(deepest, depth)
+        if len(own) <= BUCKET:
+            for at in range(0, len(own) - 1, 128):
+                agree = (short[own[at : at + 128]][:, None] == short[own[at:]][None]).sum(axis=2, dtype=np.uint8)
+                i, j = np.nonzero(np.triu(agree >= CANDIDATE * SIGNATURE, 1))
+                found_i.append(own[at + i])
+                found_j.append(own[at + j])
+            continue
+        agree = (short[own[1:]] == short[own[0]]).mean(axis=1)
+        near = own[1:][agree >= CANDIDATE]
+        found_i.append(np.full(len(near), own[0]))
+        found_j.append(near)
+        rest = own[1:][agree < DONE]
+        for p in places(path):
+            order = rest[np.argsort(sig[rest, p], kind="stable")]
+            cuts = np.flatnonzero(np.diff(sig[order, p])) + 1
+            for part in np.split(order, cuts):
+                if len(part) > 1:
+                    child = mixed(np.array([path, p, sig[part[0], p]]).view(np.uint64))
+                    work.append((int((child[0] ^ child[1] * np.uint64(3) ^ child[2]).view(np.int64)), np.sort(part), depth + 1))
+    return np.concatenate(found_i), np.concatenate(found_j), deepest
+
+
 def miss(depth: int, similarity: float) -> float:
     """The chance that one run misses a pair of this similarity if its buckets are small only after ``depth`` further splits."""
     share = 1.0
@@ -113,52 +152,55 @@ def miss(depth: int, similarity: float) -> float:
     return (1 - similarity * share) ** 2
 
 
-def _run(signed: DataFrame, first_run: int, runs: int) -> tuple[list[DataFrame], int]:
+def _run(signed: DataFrame, first_run: int, runs: int) -> tuple[DataFrame, int]:
     """Candidate edges (a, b) of some runs, and how deep they went."""
     place = lambda r, i: int(mixed(np.array([r * 2 + i + 7], np.uint64))[0] % np.uint64(SIGNATURE))
     roots = [(r, p) for r in range(first_run, first_run + runs) for p in (place(r, 0), (place(r, 0) + 1 + place(r, 1) % (SIGNATURE - 1)) % SIGNATURE)]
     rows = signed.select("c", F.explode(F.array(*[F.xxhash64(F.lit(r), F.lit(p), F.col("sig")[p]) for r, p in roots])).alias("path"))
-    pairs, depth, alive = [], 0, None
+    small, near, depth, alive = [], [], 0, None
     while True:
-        rows = stage(rows)
         sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("c").alias("pivot")).where("n > 1")
         live = stage(rows.join(sizes, "path"))
         if alive is None:
             alive = stage(signed.join(live.select("c").distinct(), "c", "left_semi"))
-        # buckets up to BUCKET are gathered, larger ones never
-        members = live.where(F.col("n") <= BUCKET).groupBy("path").agg(F.sort_array(F.collect_list("c")).alias("m"))
-        listed = members.select(F.explode(F.flatten(F.transform("m", lambda a, i: F.transform(F.slice("m", i + 2, F.size("m")), lambda b: F.struct(a.alias("a"), b.alias("b")))))).alias("p"))
-        pairs.append(_agreeing(listed.select("p.*").distinct(), alive).select("a", "b"))
-        large = live.where((F.col("n") > BUCKET) & (F.col("c") != F.col("pivot"))).select("path", "c", "pivot")
-        large = stage(_agreeing(large.withColumnsRenamed({"c": "a", "pivot": "b"}), alive, 0.0))
+        small.append(live.where(F.col("n") <= IN_TASK).select("path", "c", F.lit(depth).alias("depth")))
+        large = live.where((F.col("n") > IN_TASK) & (F.col("c") != F.col("pivot"))).select("path", "c", "pivot")
         if large.isEmpty():
-            return pairs, depth
-        pairs.append(large.where(F.col("agree") >= CANDIDATE).select("a", "b"))
+            break
+        pivots = alive.select(F.col("c").alias("pivot"), F.col("sig").alias("_sig"))
+        compared = stage(large.join(alive, "c").join(pivots, "pivot").withColumn("agree", agreement("sig", "_sig")).drop("_sig"))
+        near.append(compared.where(F.col("agree") >= CANDIDATE).select(F.col("c").alias("a"), F.col("pivot").alias("b"), F.lit(depth).alias("depth")))
         salt = F.xxhash64("path", F.lit("place"))
-        places = F.when(F.pmod(salt, F.lit(4)) == 0, F.array(F.pmod(F.shiftright(salt, 8), F.lit(SIGNATURE)), F.pmod(F.shiftright(salt, 24), F.lit(SIGNATURE)))).otherwise(F.array(F.pmod(F.shiftright(salt, 8), F.lit(SIGNATURE))))
-        split = large.where(F.col("agree") < DONE).withColumn("p", F.explode(F.array_distinct(places)))
-        rows = split.select(F.col("a").alias("c"), F.xxhash64("path", "p", F.element_at("sig", (F.col("p") + 1).cast("int"))).alias("path"))
+        first = F.pmod(F.shiftright(salt, 8), F.lit(SIGNATURE))
+        both = F.when(F.pmod(salt, F.lit(4)) == 0, F.array(first, F.pmod(F.shiftright(salt, 24), F.lit(SIGNATURE)))).otherwise(F.array(first))
+        split = compared.where(F.col("agree") < DONE).withColumn("p", F.explode(F.array_distinct(both)))
+        rows = split.select("c", F.xxhash64("path", "p", F.element_at("sig", (F.col("p") + 1).cast("int"))).alias("path"))
         depth += 1
 
+    def work(table: pa.Table) -> pa.RecordBatch:
+        c, kept = np.unique(table["c"].to_numpy(), return_index=True)
+        sig = table["sig"].combine_chunks().flatten().to_numpy().reshape(-1, SIGNATURE)[kept]
+        i, j, further = inside(int(table["path"][0].as_py()), c, sig)
+        label = least_labels(len(c), i, j)
+        moved = np.append(0, np.flatnonzero(label != np.arange(len(c))))  # the first row only tells the depth
+        at = int(table["depth"][0].as_py()) + further
+        return pa.RecordBatch.from_arrays([pa.array(c[moved]), pa.array(c[label[moved]]), pa.array(np.full(len(moved), at), pa.int32())], names=["a", "b", "depth"])
 
-def _agreeing(pairs: DataFrame, signed: DataFrame, least: float = CANDIDATE) -> DataFrame:
-    """``pairs`` (a, b, ...) with agree, and sig of a, where the signatures agree in a share of at least ``least``."""
-    left, right = signed.select(F.col("c").alias("a"), "sig"), signed.select(F.col("c").alias("b"), F.col("sig").alias("sig_b"))
-    return pairs.join(left, "a").join(right, "b").withColumn("agree", agreement("sig", "sig_b")).where(F.col("agree") >= least).drop("sig_b")
+    # buckets are bounded here
+    solved = per_group(reduce(DataFrame.unionByName, small).join(alive, "c"), ["path"], work, "a long, b long, depth int")
+    edges = stage(reduce(DataFrame.unionByName, [solved, *near]).distinct())
+    return edges.select("a", "b"), edges.agg(F.coalesce(F.max("depth"), F.lit(0))).first()[0]
 
 
 def candidates(signed: DataFrame, similarity: float, recall: float) -> DataFrame:
     """Edges (a, b) of candidate pairs of classes."""
-    runs = max(1, math.ceil(math.log(1 - recall) / math.log(miss(2, similarity))))
+    runs = max(1, math.ceil(math.log(1 - recall) / math.log(miss(PLANNED_DEPTH, similarity))))
     pairs, depth = _run(signed, 0, runs)
     while (left := miss(depth, similarity) ** runs) > 1 - recall:
         more = math.ceil(math.log((1 - recall) / left) / math.log(miss(depth, similarity)))
         found, deeper = _run(signed, runs, more)
-        pairs, depth, runs = pairs + found, max(depth, deeper), runs + more
-    out = pairs[0]
-    for p in pairs[1:]:
-        out = out.unionByName(p)
-    return out
+        pairs, depth, runs = pairs.unionByName(found), max(depth, deeper), runs + more
+    return pairs
 
 
 def _compare(table: pa.Table, times: int, over: int) -> pa.RecordBatch | None:
@@ -178,7 +220,7 @@ def _compare(table: pa.Table, times: int, over: int) -> pa.RecordBatch | None:
     both = np.zeros((len(sets), len(sets)), np.float64)
     order = np.argsort(place, kind="stable")
     owner, place = owner[order], place[order]
-    width = max(256, (1 << 24) // len(sets))
+    width = max(1, min(int(shared.sum()), max(256, (1 << 24) // len(sets))))
     for low in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(place, [low, low + width])
         hold = np.zeros((len(sets), width), np.float32)
