@@ -48,12 +48,15 @@ def of_source(items: DataFrame, source: str) -> DataFrame:
 
 
 def _first_hit(text: Column, patterns: Sequence[str], label: str) -> Column:
-    """Label and matched text of the first pattern, in list order, that is found."""
+    """Label and matched text of the first pattern, in list order, that is found. One search for any of them comes first, so a
+    text without a match, as most are, is read once."""
+    if not patterns:
+        return F.lit(None).cast("string")
     out = F.lit(None).cast("string")
     for pattern in reversed(patterns):
         found = F.regexp_substr(text, F.lit(f"(?iu){pattern}"))
         out = F.coalesce(F.concat(F.lit(f"{label}: "), found), out)
-    return out
+    return F.when(text.rlike("(?iu)" + "|".join(f"(?:{p})" for p in patterns)), out)
 
 
 def ad_keyword_reason(patterns: Sequence[str] = ()) -> Column:
