@@ -1,38 +1,20 @@
-"""What the operators share: the shared folder, staging, and texts as byte arrays."""
+"""What the operators share: staging, samples, keys, and texts as byte arrays."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from briefwright.session import cut_lineage as stage, shared_folder  # noqa: F401 - the operators take both from here
 
 #: Bytes of text that one numpy step handles at a time; a longer text is a step of its own.
 STEP = 1 << 21
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``. Only a local session without that setting gets a folder of its own."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = "file://" + tempfile.mkdtemp(prefix="briefwright-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root}/briefwright-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: later steps have a short lineage and read only their columns."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def with_rows(df: DataFrame, more: DataFrame) -> DataFrame:
     """``df`` with the other columns of ``more`` for the same (id, h): a key, which may be null, and the hash of the text."""
     more = more.withColumnsRenamed({"id": "_id", "h": "_h"})
