@@ -57,9 +57,12 @@ def nearest_position(targets: DataFrame, values: DataFrame, key: str, window: in
 def with_link_status(items: DataFrame, url_status: DataFrame) -> DataFrame:
     """Adds ``is_open``: null for rows without link, false for links with no known status."""
     status = url_status.groupBy("url").agg(F.bool_or(heat_is_open(F.col("status"))).alias("_open"))
-    keyed = items.withColumn("_u", F.trim(F.coalesce("url", F.lit(""))))
+    keyed = items.withColumn("_link", F.trim(F.coalesce("url", F.lit(""))))
+    # rows without link get keys that no link has, spread over the tasks
+    plain = [c for c, kind in items.dtypes if not kind.startswith(("map", "variant"))]
+    keyed = keyed.withColumn("_u", F.when(F.col("_link") != "", F.col("_link")).otherwise(F.concat(F.lit("\u0000"), F.xxhash64(*plain).cast("string"))))
     joined = keyed.join(status.withColumnRenamed("url", "_u"), "_u", "left")
-    return joined.withColumn("is_open", F.when(F.col("_u") != "", F.coalesce("_open", F.lit(False)))).drop("_u", "_open")
+    return joined.withColumn("is_open", F.when(F.col("_link") != "", F.coalesce("_open", F.lit(False)))).drop("_u", "_link", "_open")
 
 
 def open_links(items: DataFrame, url_status: DataFrame) -> tuple[DataFrame, DataFrame]:

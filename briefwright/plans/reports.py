@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from briefwright.functions import markdown as M, text as T
 from briefwright.lexicon import Lexicon
 from briefwright.operators.aggregates import category_signals, health_lines, platform_statistics
-from briefwright.operators.ranking import top_k
+from briefwright.operators.ranking import ranked, top_k
 from briefwright.plans.calendar import PERIOD_NAMES
 from briefwright.plans.ledger import chunk_rows
 
@@ -52,9 +52,8 @@ def to_text(lines: DataFrame, run: Sequence[str]) -> DataFrame:
 
 
 def numbered(lines: DataFrame, run: Sequence[str]) -> DataFrame:
-    """(run, ord, line) with a plain line number. A report is a bounded number of lines."""
-    w = Window.partitionBy(*run).orderBy(*ORD, "line")
-    return lines.withColumn("ord", F.row_number().over(w)).select(*run, "ord", "line")
+    """(run, ord, line) with a plain line number; a report may have any number of lines."""
+    return ranked(lines, [*[F.col(c) for c in ORD], F.col("line")], run, "ord").select(*run, "ord", "line")
 
 
 # Headings and notes of the reports.
