@@ -243,7 +243,6 @@ def write(df: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, task = chunks_of(tokenizer), TaskContext.get()
         system, path = pafs.FileSystem.from_uri(folder)
-        system.create_dir(path, recursive=True)
         name, out, writer = f"part-{task.partitionId():08d}.tokens", None, None
         for batch in batches:
             for first, end, raw, at in steps(batch.column(1), 1 << 22):
@@ -258,6 +257,8 @@ def write(df: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: s
             system.move(f"{path}/_{name}.{task.taskAttemptId()}", f"{path}/{name}")
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
+    system, path = pafs.FileSystem.from_uri(folder)
+    system.create_dir(path, recursive=True)  # shared by all; an empty table leaves it empty
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     rows = rows.repartitionByRange("id", "h").sortWithinPartitions("id", "h").drop("h")
     return rows.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

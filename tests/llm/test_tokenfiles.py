@@ -56,7 +56,8 @@ def test_files_hold_all_documents_in_order(spark, tmp_path, block):
 
 
 def test_empty_table(spark, tmp_path):
-    (tmp_path / "none").mkdir()
     folder = f"file://{tmp_path}/none"
     assert tokenfiles.write(nothing(spark), folder, BPE) == 0
     assert tokenfiles.read(spark, folder).collect() == []
+    folder = f"file://{tmp_path}/no-partition"
+    assert tokenfiles.write(spark.createDataFrame([], documents(spark).schema), folder, BPE) == 0 and tokenfiles.read(spark, folder).collect() == []
