@@ -8,6 +8,7 @@ from briefwright.lexicon import Lexicon
 from briefwright.operators import events as E, relevance as V, scoring as S
 from briefwright.operators.ranking import ranked
 from briefwright.policy import DIMENSIONS, policy
+from briefwright.session import cut_lineage
 from catalog.base import TEXT, any_of, common, hits, host, items, parts, query, s, table, with_items, words
 from catalog.filters import KINDS, LOW, RELEVANT
 from catalog.joins import REG, tier_sql, weight_sql
@@ -115,7 +116,7 @@ for _name, _column in (("sr07_expert_media_signal", "s_media"), ("sr08_generic_l
     FROM (SELECT item_id, kind, {hits('t', L['architecture_release'])} AS n, {any_of('t', ['breaking', 'migration guide', 'backward incompatible'])} AS b FROM (SELECT *, {TEXT} AS t FROM kinds)) WHERE kind IS NOT NULL""", KINDS))
 def architecture(spark, sf):
     rows = signals(spark, sf).withColumns({"_run": F.lit(""), "event": c("item_id"), "rank": c("item_id")})
-    events = S.with_dimensions(S.event_aggregates(rows, "event", RANKING), L, RANKING)
+    events = S.with_dimensions(S.event_aggregates(cut_lineage(rows), "event", RANKING), L, RANKING)
     return events.where("release_kind is not null").select(c("event").alias("item_id"), c("architecture_signal").alias("signal"))
 
 
@@ -123,7 +124,7 @@ def architecture(spark, sf):
     OR {any_of('txt', ['available today', 'same price'])}))) AS frontier FROM sig GROUP BY 1""", FEATURES))
 def frontier(spark, sf):
     rows = signals(spark, sf).withColumns({"event": F.expr("item_id div 3"), "rank": c("item_id")})
-    return S.with_dimensions(S.event_aggregates(rows, "event", RANKING), L, RANKING).select("event", c("frontier_release").alias("frontier"))
+    return S.with_dimensions(S.event_aggregates(cut_lineage(rows), "event", RANKING), L, RANKING).select("event", c("frontier_release").alias("frontier"))
 
 
 SUBTYPE = f"""CASE WHEN {hits('txt', L['correction'])} > 0 AND {any_of('txt', S.CORRECTION_ANCHORS)} THEN 'correction' WHEN {hits('txt', L['industrial_practice'])} >= 2 AND {any_of('txt', S.PRODUCTION_ANCHORS)} THEN 'production' WHEN {any_of('txt', L['survey'])} THEN 'survey'
@@ -171,7 +172,7 @@ EVENTS = (f"members AS (SELECT *, item_id // 3 AS event, lower({identity_sql()})
 @query("sr05_event_signals", with_items("SELECT event, n, div, heat, media, learning, practice, commentary FROM ev0", FEATURES, EVENTS))
 def event_signals(spark, sf):
     rows = signals(spark, sf).withColumns({"event": F.expr("item_id div 3"), "rank": c("item_id")})
-    return S.event_aggregates(rows, "event", RANKING).select("event", c("cluster_size").alias("n"), c("diversity").alias("div"), c("heat_value").alias("heat"), c("media_signal").alias("media"),
+    return S.event_aggregates(cut_lineage(rows), "event", RANKING).select("event", c("cluster_size").alias("n"), c("diversity").alias("div"), c("heat_value").alias("heat"), c("media_signal").alias("media"),
                                                              c("learning_signal").alias("learning"), c("practice_signal").alias("practice"), c("commentary_signal").alias("commentary"))
 
 
