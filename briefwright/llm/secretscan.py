@@ -5,11 +5,9 @@ asks of every long run of key characters whether it looks drawn at random from i
 that holds it: chi-squared for equal shares of the symbols, runs above and below the middle of the alphabet, and correlation of
 neighbours. The three p-values are joined by Fisher's method.
 
-Ordinary words must not pass for random ones, so a run is only judged if it is long enough: ordinary text repeats some letters so
-often that at that length the chi-squared sum must exceed its expectation by ``POWER``. Among the judged runs of
-one encoding and length band, random ones have p-values that are spread evenly, so those above one half tell how many there are;
-the cut is the smallest at which the surplus of passing runs over that number, the expected false discoveries, is at most ``FDR``.
-The runs are counted in bins before that, so the state is a few numbers per band.
+Ordinary words must not pass for random ones. Among the judged runs of one encoding and length band, random ones have p-values that
+are spread evenly, so those above one half tell how many there are; the cut is the smallest at which the surplus of passing runs over
+that number, the expected false discoveries, is at most ``FDR``. The runs are counted in bins before that, so the state is a few numbers per band.
 
 Cases: null texts count as empty and have no spans; places are code points, ends exclusive; repeated rows and ids are each answered, ids
 may be null; long texts are whole; other columns are ignored. A random run that meets a span of the patterns adds nothing.
@@ -30,21 +28,20 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ["assign", "access", "hex", "random"]
 
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: '=' only pads the end of a run; after a name it stands between two runs.
+RUN = r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?"
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Encodings: name, what a run must be, its alphabet in the order of its values, and how often two characters of ordinary text in
-#: it are equal (letters as in prose; hexadecimal numbers are often padded or counted up).
+#: Encodings: name, what a run must be, and its alphabet in the order of its values.
 ENCODINGS = [
-    ("hex", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", _DIGITS + "ABCDEF", 0.2),
-    ("base32", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", _UPPER + "234567", 0.065),
-    ("base36", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$", _DIGITS + _LOWER, 0.065),
-    ("base36", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", _DIGITS + _UPPER, 0.065),
-    ("base62", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z]+$", _UPPER + _LOWER + _DIGITS, 0.065),
-    ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z+/]+=*$", _UPPER + _LOWER + _DIGITS + "+/", 0.065),
-    ("base64url", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z_-]+=*$", _UPPER + _LOWER + _DIGITS + "-_", 0.065),
+    ("hex", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", _DIGITS + "ABCDEF"),
+    ("hex", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", _DIGITS + "abcdef"),
+    ("base32", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", _UPPER + "234567"),
+    ("base36", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$", _DIGITS + _LOWER),
+    ("base36", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", _DIGITS + _UPPER),
+    ("base62", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z]+$", _UPPER + _LOWER + _DIGITS),
+    ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z+/]+=*$", _UPPER + _LOWER + _DIGITS + "+/"),
+    ("base64url", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z_-]+=*$", _UPPER + _LOWER + _DIGITS + "-_"),
 ]
-#: By how much the chi-squared sum of ordinary text must exceed its expectation for a run to be judged.
-POWER = 60.0
 FDR = 0.05
 BINS = 200
 
@@ -88,11 +85,10 @@ def _upper_tail(z: Column) -> Column:
 
 
 def battery(runs: DataFrame) -> DataFrame:
-    """``runs`` (with a column v) whose alphabet is known and whose length gives the tests power, with encoding, n and p."""
-    encoding = F.coalesce(*[F.when(F.col("v").rlike(shape), F.struct(F.lit(name).alias("encoding"), F.lit(alphabet).alias("alphabet"), F.lit(equal).alias("equal"))) for name, shape, alphabet, equal in ENCODINGS])
+    """``runs`` (with a column v) whose alphabet is known, with encoding, n and p."""
+    encoding = F.coalesce(*[F.when(F.col("v").rlike(shape), F.struct(F.lit(name).alias("encoding"), F.lit(alphabet).alias("alphabet"))) for name, shape, alphabet in ENCODINGS])
     known = runs.withColumn("x", encoding).where(F.col("x").isNotNull()).select("*", "x.*").drop("x")
     known = known.withColumn("body", F.regexp_replace("v", "=+$", "")).withColumns({"n": F.length("body"), "a": F.length("alphabet").cast("double")})
-    known = known.where(F.col("n") * (F.col("a") * F.col("equal") - 1) >= POWER)
     chars = F.split("body", "")
     values = known.withColumn("c", chars).withColumn("i", F.transform("c", lambda c: F.instr(F.col("alphabet"), c) - 1))
     n, a = F.col("n").cast("double"), F.col("a")
@@ -111,7 +107,7 @@ def battery(runs: DataFrame) -> DataFrame:
     ps = tested.withColumns({"p_chi": least(_upper_tail(F.col("z_chi"))), "p_runs": least(F.least(F.lit(1.0), 2 * _upper_tail(F.abs("z_runs")))),
                              "p_serial": least(F.least(F.lit(1.0), 2 * _upper_tail(F.abs("z_serial"))))})
     half_sum = -(F.log("p_chi") + F.log("p_runs") + F.log("p_serial"))
-    return ps.withColumn("w", half_sum).withColumn("p", F.exp(-F.col("w")) * (1 + F.col("w") + F.col("w") * F.col("w") / 2)).drop("body", "a", "equal", "alphabet", "q", "changes", "products", "w")
+    return ps.withColumn("w", half_sum).withColumn("p", F.exp(-F.col("w")) * (1 + F.col("w") + F.col("w") * F.col("w") / 2)).drop("body", "a", "alphabet", "q", "changes", "products", "w")
 
 
 def passing(tested: DataFrame, fdr: float = FDR) -> DataFrame:

@@ -50,6 +50,24 @@ def test_the_battery_is_calibrated(spark):
         assert 0.05 < below < 0.17, (p, below)
 
 
+def test_values_after_names_and_keys_of_short_alphabets_are_judged(spark):
+    rng = random.Random(8)
+    base64, base32, base36 = string.ascii_letters + string.digits + "+/", string.ascii_uppercase + "234567", string.digits + string.ascii_lowercase
+    shapes = [("AWS_SECRET_ACCESS_KEY=", base64, 40, ""), ("AccountKey=", base64, 86, "=="), ("see ", base32, 32, ""), ("seed=", base32, 32, ""), ("key=", base36, 40, ""), ("see ", "0123456789abcdef", 22, "")]
+    docs, want = [], {}
+    for k, (name, alphabet, n, pad) in enumerate(shapes):
+        for i in range(40):
+            value = "".join(rng.choice(alphabet) for _ in range(n)) + pad
+            docs.append((100 * k + i, f"{name}{value} there"))
+            want[100 * k + i] = (len(name), 3, len(name) + len(value))
+    words = ["".join(rng.choice(["the", "tion", "er", "ing", "and", "re", "ed", "es", "20", "in"]) for _ in range(n)) for n in (9, 13) for _ in range(100)]
+    docs += [(1000 + i, f"see {w} and name={w.upper()} there") for i, w in enumerate(words)]
+    found = {r.doc_id: [tuple(x) for x in r.spans] for r in secretscan.scan(documents(spark, docs)).collect()}
+    for k in range(len(shapes)):
+        assert sum(want[100 * k + i] in found[100 * k + i] for i in range(40)) >= 34, shapes[k]
+    assert sum(len(found[1000 + i]) for i in range(len(words))) <= 8
+
+
 def test_masking_keeps_rows_and_columns(spark):
     rows = [(1, "a password=hunter22 b AKIA" + "Z" * 16 + " c"), (1, "a password=hunter22 b AKIA" + "Z" * 16 + " c"), (2, "token: " + "a" * 30), (3, "clean"), (None, "secret=abcdefg!"), (4, None)]
     out = secretscan.masked(documents(spark, rows))
