@@ -5,9 +5,11 @@ asks of every long run of key characters whether it looks drawn at random from i
 that holds it: chi-squared for equal shares of the symbols, runs above and below the middle of the alphabet, and correlation of
 neighbours. The three p-values are joined by Fisher's method.
 
-Ordinary words must not pass for random ones. Among the judged runs of one encoding and length band, random ones have p-values that
-are spread evenly, so those above one half tell how many there are; the cut is the smallest at which the surplus of passing runs over
-that number, the expected false discoveries, is at most ``FDR``. The runs are counted in bins before that, so the state is a few numbers per band.
+Ordinary words must not pass for random ones. Among the different runs of one encoding and length band (copies count once), random
+ones have p-values that are spread evenly, so those above one half tell how many there are; the cut is the smallest at which the
+surplus of passing runs over that number, the expected false discoveries, is at most ``FDR``, give or take the error of that number.
+Where it rests on few runs, up to ``FEW`` may be surplus, but they need a p-value of ``LEVEL``; so a lone random run passes.
+The runs are counted in bins before that, so the state is a few numbers per band.
 
 Cases: null texts count as empty and have no spans; places are code points, ends exclusive; repeated rows and ids are each answered, ids
 may be null; long texts are whole; other columns are ignored. A random run that meets a span of the patterns adds nothing.
@@ -44,6 +46,8 @@ ENCODINGS = [
 ]
 FDR = 0.05
 BINS = 200
+#: In a band whose count of random runs is within ``FEW`` of none: how many may pass beyond it, and the p-value they need.
+FEW, LEVEL = 4.0, 0.05
 
 
 def _found(text: Column, pattern: str, group: int) -> tuple[Column, Column]:
@@ -115,13 +119,16 @@ def passing(tested: DataFrame, fdr: float = FDR) -> DataFrame:
     banded = tested.withColumns({"band": F.floor(F.log2("n") * 2).cast("int"), "bin": F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int")})
     from pyspark.sql import Window
 
-    counts = banded.groupBy("encoding", "band", "bin").agg(F.count("*").alias("m"))  # a few hundred numbers per band
+    different = banded.select("encoding", "band", "bin", "v").distinct()
+    counts = different.groupBy("encoding", "band", "bin").agg(F.count("*").alias("m"))  # a few hundred numbers per band
     up = Window.partitionBy("encoding", "band").orderBy(F.col("bin").desc())
     all_of = Window.partitionBy("encoding", "band")
     upper = F.sum(F.when(F.col("bin") >= BINS // 2, F.col("m")).otherwise(0)).over(all_of) * 2.0
     above = counts.withColumns({"above": F.sum("m").over(up), "random": upper})
     surplus = F.col("above") - F.col("random") * (1 - F.col("bin") / BINS)
-    cut = above.where((F.col("random") > 0) & (surplus <= fdr * F.col("above") + F.sqrt("random"))).groupBy("encoding", "band").agg(F.min("bin").alias("cut"))
+    sure = F.sqrt("random") >= FEW
+    held = surplus <= fdr * F.col("above") + F.greatest(F.sqrt("random"), F.lit(FEW))
+    cut = above.where(held & (sure | (F.col("bin") >= int(LEVEL * BINS)))).groupBy("encoding", "band").agg(F.min("bin").alias("cut"))
     # the lowest bin holds what is surely not random; it never passes
     return banded.join(cut, ["encoding", "band"]).where((F.col("bin") >= F.col("cut")) & (F.col("bin") > 0)).drop("band", "bin", "cut")
 

@@ -68,6 +68,26 @@ def test_values_after_names_and_keys_of_short_alphabets_are_judged(spark):
     assert sum(len(found[1000 + i]) for i in range(len(words))) <= 8
 
 
+def passed(spark, rows):
+    return {r.v for r in secretscan.passing(spark.createDataFrame(rows, "encoding string, n int, v string, p double")).collect()}
+
+
+def test_lone_keys_pass_and_copies_count_once(spark):
+    assert passed(spark, [("base62", 40, "a", 0.3), ("base64", 40, "b", 0.06), ("base64", 90, "c", 1e-9)]) == {"a", "b"}
+    keys = [("base62", 40, f"k{i}", (i + 0.5) / 100) for i in range(100)]
+    words = [("base62", 40, f"w{i}", 0.003 + 0.0001 * i) for i in range(400)]
+    alone = passed(spark, keys + words)
+    assert {f"k{i}" for i in range(5, 100)} <= alone and len([v for v in alone if v[0] == "w"]) <= 25
+    for p in (0.3, 0.7):
+        assert passed(spark, keys + words + [("base62", 40, "copy", p)] * 2000) - {"copy"} == alone
+    many = [("base36", 20, f"w{i}", 0.1 * i / 1000) for i in range(1000)]  # no random run among them
+    assert len(passed(spark, many)) <= 5
+    rng = random.Random(12)
+    one = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    rows = secretscan.scan(documents(spark, [(1, f"see {one} there"), *[(i, f"again {one}") for i in range(2, 60)]])).collect()
+    assert all(len(r.spans) == 1 for r in rows)
+
+
 def test_masking_keeps_rows_and_columns(spark):
     rows = [(1, "a password=hunter22 b AKIA" + "Z" * 16 + " c"), (1, "a password=hunter22 b AKIA" + "Z" * 16 + " c"), (2, "token: " + "a" * 30), (3, "clean"), (None, "secret=abcdefg!"), (4, None)]
     out = secretscan.masked(documents(spark, rows))
