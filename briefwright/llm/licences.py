@@ -4,15 +4,20 @@ Where a stretch of a text holds enough of a template's words, the two are aligne
 occur once on both sides are anchors, the longest increasing run of anchors (found by dealing them on piles) is kept, and the gaps
 between them are aligned in the same way. A template is found where its aligned words are at least ``COVERAGE`` of it.
 
+Words of a template in braces tell it from its neighbours (name, version, a clause of its own): they must be aligned, and a match holds
+no word of ``APART`` that its template lacks. Statements that name a licence ("released under ...", SPDX lines) are read by rule: a verb,
+"under", and a name with its version and its further parts, so that neighbours get their own names and unknown names none.
+
 A stretch has ``SPREAD`` times the template's words, so a match may hold that many words in all. Stretches are tried from left to right;
 the next one begins after a match. Words are runs of ASCII letters, digits and characters outside ASCII, in lower case.
 
-Cases: null texts count as empty; texts without words have no licence; a licence that is repeated is found each time, one that fits several
-templates is found for each; repeated rows are each answered; long texts are whole; other columns are ignored.
+Cases: null texts count as empty; texts without words have no licence; a licence that is repeated is found each time; of
+matches that overlap the one with the most aligned words is kept; repeated rows are each answered; long texts are whole; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +32,7 @@ from briefwright.llm.ngramjoin import _LOWER, _WORD
 
 COVERAGE, SPREAD = 0.8, 1.5
 
-#: Fixed texts: grant and notice texts of common licences, and the statements by which texts name them.
+#: Fixed texts: grant and notice texts of common licences, their telling words in braces.
 TEMPLATES = {
     "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
         (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
@@ -37,18 +42,67 @@ TEMPLATES = {
         above copyright notice and this permission notice appear in all copies.""",
     "bsd-text": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are
         met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.""",
-    "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may
+    "apache-2.0-notice": """Licensed under the {Apache} License, Version {2.0} (the "License"); you may not use this file except in compliance with the License. You may
         obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0""",
-    "gpl-notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the
-        Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
-    "mit-named": "Released under the MIT License.",
-    "apache-2.0-named": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0-named": "This work is licensed under the GNU General Public License, version 3.",
-    "cc-by-named": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-nc-4.0-named": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0-named": "Licensed under CC BY 4.0.",
+    "gpl-3.0-notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the
+        Free Software Foundation, either version {3} of the License, or (at your option) any later version.""",
 }
 
+#: Words that make another licence of a text.
+APART = ["lesser", "affero", "noncommercial", "sharealike", "noderivatives"]
+
+_LICENCE = rb"(?:(?:\s+|-)(?:public\s+)?licen[sc]e)?"
+#: A version with its dots, and "or later"; neither is taken from the next sentence.
+_VERSION = rb"(?:(?:[\s,\"'(-]*version\s+|[ \t,\"'(-]*(?:v\.?\s?)?)(?P<v>[0-9]{1,2}(?:\.[0-9]{1,2})?)(?![0-9a-z]))?"
+_LATER = rb"(?P<later>\+|,?(?:\s+|-)or(?:\s+|-)(?:\(at\s+your\s+option\)\s+)?(?:any\s+)?(?:later|newer)(?:\s+version)?)?"
+_COMMONS = rb"(?P<nc>[\s-]+(?:nc|non-?commercial)(?![a-z]))?(?P<sa>[\s-]+(?:sa|share-?alike)(?![a-z]))?(?P<nd>[\s-]+(?:nd|no-?deriv(?:ative)?s)(?![a-z]))?"
+_PORT = rb"(?:\s+(?:international|unported|generic|universal))?"
+#: How licences are named, and what they are called; the first that fits counts.
+NAMES = [(name, re.compile(pattern + rb"(?![0-9a-z])")) for name, pattern in [
+    ("mit", rb"(?:mit|expat)(?!-0|\s+press)" + _LICENCE), ("isc", rb"isc" + _LICENCE), ("zlib", rb"zlib" + _LICENCE), ("unlicense", rb"unlicense"),
+    ("0bsd", rb"(?:0bsd|(?:0|zero)[\s-]clause\s+bsd|bsd[\s-](?:0|zero)[\s-]clause)" + _LICENCE),
+    ("bsd-2-clause", rb"(?:(?:(?:2|two)[\s-]clause|simplified)\s+bsd|bsd[\s-](?:2|two)[\s-]clause)" + _LICENCE),
+    ("bsd-3-clause", rb"(?:(?:(?:3|three)[\s-]clause|new|modified|revised)\s+bsd|bsd[\s-](?:3|three)[\s-]clause)" + _LICENCE),
+    ("bsd-4-clause", rb"(?:(?:(?:4|four)[\s-]clause|original)\s+bsd|bsd[\s-](?:4|four)[\s-]clause)" + _LICENCE),
+    ("bsd", rb"bsd" + _LICENCE), ("apache", rb"apache(?:\s+software)?(?=[\s-]+(?:licen[sc]e|v|[0-9]))" + _LICENCE + _VERSION + _LICENCE),
+    ("agpl", rb"(?:(?:gnu\s+)?affero\s+general\s+public\s+licen[sc]e|(?:gnu\s+)?agpl)" + _VERSION + _LATER),
+    ("lgpl", rb"(?:(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+licen[sc]e|(?:gnu\s+)?lgpl)" + _VERSION + _LATER),
+    ("gpl", rb"(?:(?:gnu\s+)?general\s+public\s+licen[sc]e|(?:gnu\s+)?gpl)" + _VERSION + _LATER),
+    ("mpl", rb"(?:mozilla\s+public\s+licen[sc]e|mpl)" + _VERSION), ("epl", rb"(?:eclipse\s+public\s+licen[sc]e|epl)" + _VERSION),
+    ("bsl", rb"(?:boost\s+software\s+licen[sc]e|bsl)" + _VERSION),
+    ("cc0", rb"(?:creative\s+commons\s+(?:zero|cc0)|cc0|cc\s+zero)" + _VERSION + _PORT + _LICENCE),
+    ("cc-by", rb"(?:creative\s+commons\s+attribution|cc[\s-]by)" + _COMMONS + rb"(?:\s+licen[sc]e)?" + _VERSION + _PORT + _LICENCE),
+]]
+_MORE = re.compile(rb"\s*(?:/|\b(?:or|and)\b)\s*(?:under\s+)?(?:the\s+)?")
+_VERB = re.compile(rb"(?:\bthis\s+[a-z]+\s+is\s+)?(?:\b(?:dual|also)[\s-]+)?\b(?:licen[sc]ed|released|distributed|published|available|provided|covered|issued|shared)\s+\Z")
+_CUE = re.compile(rb"\bunder\s+(?:the\s+(?:terms|conditions)\s+of\s+)?(?:(?:the|an?)\s+)?|spdx-license-identifier:\s*")
+
+
+def named(low: bytes, a: int, b: int) -> list[tuple[str, int, int]]:
+    """Names of licences in the statements of low[a:b], in lower case, with first byte and byte after the last."""
+    out = []
+    for cue in _CUE.finditer(low, a, b):
+        s = cue.start()
+        if low.startswith(b"under", s):
+            verb = _VERB.search(low[max(a, s - 80):s])
+            if not verb:
+                continue
+            s -= len(verb[0])
+        at = cue.end()
+        while at is not None:  # a statement may name several
+            fits = ((name, m) for name, pattern in NAMES if (m := pattern.match(low, at, b)))
+            name, m = next(fits, (None, None))
+            at = None
+            if m:
+                parts = m.groupdict()
+                version = (parts.get("v") or b"").decode()
+                extra = [x for x in ("nc", "sa", "nd") if parts.get(x)]
+                later = ["or-later"] if parts.get("later") else []
+                out.append(("-".join([name, *extra, *([version if "." in version else f"{version}.0"] if version else []), *later, "named"]), s, m.end()))
+                more = _MORE.match(low, m.end(), b)
+                s = at = more.end() if more else None
+    return out
+
 
 def align(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned places of two word lists, in order."""
@@ -104,26 +158,32 @@ def _words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=4)
-def _prepared(templates: tuple) -> tuple[np.ndarray, list[tuple[str, list[int], np.ndarray]]]:
-    """The words of all templates, and of each one its words by number and which numbers it has."""
-    texts = [t.encode() for _, t in templates]
-    words, offsets = _words(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+def _prepared(templates: tuple) -> tuple[np.ndarray, list[tuple[str, list[int], np.ndarray, set[int], set[int]]]]:
+    """The words of all templates, and of each one its words by number, which numbers it has, places of telling words, numbers it forbids."""
+    texts = [t.encode() for _, t in templates] + [" ".join(APART).encode()]
+    raw, at = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    words, offsets = _words(raw, at)
+    starts, _ = word_spans(_WORD[raw], at)
+    inside = np.cumsum(raw == ord("{")) > np.cumsum(raw == ord("}"))
     known, number = np.unique(words, return_inverse=True)
+    apart = set(number[offsets[-2]:].tolist())
     out = []
-    for (name, _), a, b in zip(templates, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+    for (name, _), a, b in zip(templates, offsets[:-2].tolist(), offsets[1:-1].tolist(), strict=True):
         own = number[a:b]
-        out.append((name, own.tolist(), np.isin(np.arange(len(known) + 1), own)))
+        out.append((name, own.tolist(), np.isin(np.arange(len(known) + 1), own), set(np.flatnonzero(inside[starts[a:b]]).tolist()), apart - set(own.tolist())))
     return known, out
 
 
 def found(raw: np.ndarray, at: np.ndarray, templates: tuple, coverage: float = COVERAGE, spread: float = SPREAD) -> list[list[dict]]:
-    """Of each text, the templates in it: name, first word, word after the last, and coverage."""
+    """Of each text, the licences in it: name, first word, word after the last, and coverage."""
     known, prepared = _prepared(templates)
-    words, offsets = _words(raw, at)
+    low = _LOWER[raw]
+    starts, ends = word_spans(_WORD[raw], at)
+    words, offsets = span_hashes(low, starts, ends), np.searchsorted(starts, at)
     place = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
     number = np.where(known[place] == words, place, len(known)) if len(known) else np.zeros(len(words), np.int64)
-    out: list[list[dict]] = [[] for _ in range(len(at) - 1)]
-    for name, template, has in prepared:
+    out: list[list[tuple[int, dict]]] = [[] for _ in range(len(at) - 1)]
+    for name, template, has, telling, apart in prepared:
         if not template:
             continue
         member = has[number]
@@ -139,10 +199,24 @@ def found(raw: np.ndarray, at: np.ndarray, templates: tuple, coverage: float = C
             if i < free:
                 continue
             pairs = align(number[i:end].tolist(), template)
-            if len(pairs) >= need and pairs[0][0] == 0:
+            if len(pairs) >= need and pairs[0][0] == 0 and telling <= {j for _, j in pairs} and apart.isdisjoint(number[i:i + pairs[-1][0] + 1].tolist()):
                 free = i + pairs[-1][0] + 1
-                out[r].append({"licence": name, "first": i - int(offsets[r]), "end": free - int(offsets[r]), "coverage": len(pairs) / len(template)})
-    return [sorted(x, key=lambda m: (m["first"], m["licence"])) for x in out]
+                out[r].append((len(pairs), {"licence": name, "first": i - int(offsets[r]), "end": free - int(offsets[r]), "coverage": len(pairs) / len(template)}))
+    text, cuts = low.tobytes(), at.tolist()
+    for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        for name, s, e in named(text, a, b):
+            first, end = int(np.searchsorted(starts, s)), int(np.searchsorted(starts, e))
+            out[r].append((end - first, {"licence": name, "first": first - int(offsets[r]), "end": end - int(offsets[r]), "coverage": 1.0}))
+    return [_apart(x) for x in out]
+
+
+def _apart(matches: list[tuple[int, dict]]) -> list[dict]:
+    """The matches with the most aligned words, then the highest coverage, that do not overlap; in order."""
+    kept: list[dict] = []
+    for _, m in sorted(matches, key=lambda x: (-x[0], -x[1]["coverage"], x[1]["first"], x[1]["licence"])):
+        if all(m["end"] <= k["first"] or k["end"] <= m["first"] for k in kept):
+            kept.append(m)
+    return sorted(kept, key=lambda m: (m["first"], m["licence"]))
 
 
 def scan(df: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:

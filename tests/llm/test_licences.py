@@ -57,6 +57,40 @@ def test_templates_are_found_whole_edited_and_repeated(spark):
         assert one.coverage == 1.0 and one.first == 30
 
 
+NEAR = {
+    "Released under the MIT License.": "mit", "Released under the BSD License.": "bsd", "released under the BSD 2-Clause License": "bsd-2-clause", "Licensed under the 3-clause BSD license.": "bsd-3-clause",
+    "Released under the Foo License.": None, "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "Licensed under CC BY 4.0.": "cc-by-4.0", "Licensed under CC BY-SA 4.0.": "cc-by-sa-4.0",
+    "Licensed under CC BY 3.0.": "cc-by-3.0", "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa-4.0", "Licensed under CC BY-ND 4.0.": "cc-by-nd-4.0", "Released under CC0 1.0 Universal.": "cc0-1.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "cc-by-nc-sa-4.0",
+    "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0", "This work is licensed under the GNU General Public License, version 2.": "gpl-2.0",
+    "licensed under the GNU Lesser General Public License v2.1 or later": "lgpl-2.1-or-later", "Distributed under the GNU Affero General Public License, version 3.": "agpl-3.0", "released under GPLv2": "gpl-2.0",
+    "Licensed under the Apache License, Version 2.0.": "apache-2.0", "Licensed under the Apache License, Version 1.1.": "apache-1.1", "Licensed under the Mozilla Public License 2.0": "mpl-2.0",
+    "released under the Unlicense": "unlicense", "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0-or-later", "Licensed under the GPL. 4 items": "gpl", "Buried under the MIT License": None,
+    "Published under MIT Press": None, "Licensed under the Apache License\n2 files": "apache", "Licensed under a Creative Commons Attribution License 3.0": "cc-by-3.0",
+}
+
+
+def test_neighbouring_names_are_told_apart(spark):
+    rows = {r.doc_id: r for r in licences.scan(documents(spark, [(k, f"the is {t}\n4 words after") for k, t in enumerate(NEAR)])).collect()}
+    for k, (text, name) in enumerate(NEAR.items()):
+        assert names(rows[k]) == ([f"{name}-named"] if name else []), text
+        assert not name or (rows[k].licences[0].first, rows[k].licences[0].coverage) == (2, 1.0)
+
+
+def test_a_statement_may_name_several(spark):
+    row = licences.scan(documents(spark, [(1, "Licensed under the MIT license or the Apache License, Version 2.0, as you like")])).first()
+    assert names(row) == ["mit-named", "apache-2.0-named"]
+
+
+def test_neighbouring_notices_are_told_apart(spark):
+    gpl, apache = licences.TEMPLATES["gpl-3.0-notice"], licences.TEMPLATES["apache-2.0-notice"]
+    docs = [(0, gpl), (1, gpl.replace("3", "2")), (2, gpl.replace("General", "Lesser General")), (3, gpl.replace("General", "Affero General")), (4, apache), (5, apache.replace("2.0", "1.1"))]
+    rows = {r.doc_id: names(r) for r in licences.scan(documents(spark, docs)).collect()}
+    assert rows[0] == ["gpl-3.0-notice"] and rows[4] == ["apache-2.0-notice"]
+    assert not any("gpl-3.0-notice" in rows[k] for k in (1, 2, 3)) and "apache-2.0-notice" not in rows[5]
+
+
 def test_edge_cases(spark):
     rows = licences.scan(documents(spark)).collect()
     assert len(rows) == len(TEXTS) and not any(r.licences for r in rows)
