@@ -91,6 +91,18 @@ def test_neighbouring_notices_are_told_apart(spark):
     assert not any("gpl-3.0-notice" in rows[k] for k in (1, 2, 3)) and "apache-2.0-notice" not in rows[5]
 
 
+def test_whole_texts_are_told_apart_and_excerpts_are_not_whole(spark):
+    rng = random.Random(13)
+    filler = " ".join(rng.choice(["the", "er", "is", "of", "ing"]) for _ in range(40))
+    docs = [(k, f"{filler} {text} {filler}") for k, text in enumerate(licences.TEMPLATES.values())]
+    short = licences.TEMPLATES["mit-text"].split(" THE SOFTWARE IS")[0]
+    rows = {r.doc_id: r for r in licences.scan(documents(spark, [*docs, (99, short)])).collect()}
+    for k, name in enumerate(licences.TEMPLATES):
+        assert [(x.licence, x.first, x.coverage) for x in rows[k].licences] == [(name, 40, 1.0)], name
+    assert names(rows[99]) == ["mit-excerpt"]
+    assert {"bsd-3-clause-text", "lgpl-2.1-notice", "agpl-3.0-notice", "mpl-2.0-notice", "unlicense-text", "cc0-1.0-notice"} <= set(licences.TEMPLATES)
+
+
 def test_edge_cases(spark):
     rows = licences.scan(documents(spark)).collect()
     assert len(rows) == len(TEXTS) and not any(r.licences for r in rows)
