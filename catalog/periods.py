@@ -123,12 +123,13 @@ def higher(spark, sf):
     return numbered(P.higher_period_lines(P.compact_months(keyed), "quarterly"), ["period_key"])
 
 
-def reports(spark, sf):
-    """Daily reports written from the documents: sections, bullets with links, follow-up lines."""
+def reports(spark, sf, chars=None):
+    """Daily reports written from the documents, whole or so many characters: sections, bullets with links, follow-up lines."""
     d = table(spark, sf, "documents")
+    text = F.substring("text", 1, chars) if chars else F.coalesce("text", F.lit(""))
     n = F.col("doc_id").cast("string")
     line = F.concat_ws("\n", F.lit("# Digest\n## 1. Today's Top Headlines\n\n> note"),
-                       F.concat(F.lit("- **["), F.substring("text", 1, 30), F.lit("](https://a.example/"), (F.col("doc_id") % 300).cast("string"), F.lit(")** （来源）")),
+                       F.concat(F.lit("- **["), text, F.lit("](https://a.example/"), (F.col("doc_id") % 300).cast("string"), F.lit(")** （来源）")),
                        F.lit("  - 摘要：short words here"), F.concat(F.lit("2. Second "), "source", F.lit(" item")), F.concat(F.lit("  - 原文：https://b.example/"), n, F.lit("。")),
                        F.lit("  - 提示：later hint"), F.lit("### Platform Statistics"), F.concat(F.lit("- stats https://c.example/"), n), F.lit("| table |"), F.lit("## 2. More"), F.lit("- no link here"), F.lit("- 原文：https://d.example/1"))
     return d.select(F.concat(F.lit("digest-2026-01-01-"), F.lpad(n, 8, "0"), F.lit(".md")).alias("report_id"), F.translate(line, "[]", "[]").alias("markdown"), "doc_id", "text", "source")
@@ -139,12 +140,17 @@ CASES = """lines AS (SELECT doc_id, 'digest-2026-01-01-' || lpad(CAST(doc_id AS
 
 @query("st34_case_extraction", f"""WITH {CASES} SELECT report_id, 'Second ' || source || ' item' AS title, 'https://b.example/' || doc_id AS url, '1. Today''s Top Headlines' AS section, '  ' AS pad, '提示：later hint' AS snippet FROM lines""")
 def cases(spark, sf):
-    r = reports(spark, sf)
+    r = reports(spark, sf, 30)  # SQL says the plain cases only; the next query has all of them
     ok = ~F.substring("text", 1, 30).contains("\n") & ~F.substring("text", 1, 30).rlike(r"[\[\]`*()（）：:链原讨详技更]")
     found = M.extract_cases(r.where(ok))
     return found.where(F.col("title").startswith("Second ")).select("report_id", "title", "url", "section", F.lit("  ").alias("pad"), "snippet")
 
 
+@query("st34_case_extraction_whole")
+def whole_cases(spark, sf):
+    return M.extract_cases(reports(spark, sf)).select("report_id", "pos", "title", "url", "section", "snippet")
+
+
 @query("ag22_period_keywords")
 def period_keywords(spark, sf):
     return A.report_keyword_counts(M.extract_cases(reports(spark, sf)), L).orderBy(F.col("n").desc(), "first_seen").limit(8).select("word", "n")
