@@ -21,6 +21,29 @@ def with_rows(df: DataFrame, more: DataFrame) -> DataFrame:
     return df.join(more, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left").drop("_id", "_h")
 
 
+def column(name: str) -> Column:
+    """The column of that very name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+#: A key with at least one of so many rows is heavy; there are at most so many heavy keys.
+HEAVY = 20_000
+
+
+def with_keyed(rows: DataFrame, table: DataFrame, heavy: DataFrame, keys: list[str], spread: Column, value: str) -> DataFrame:
+    """``rows`` with the column ``value`` of ``table``, which has one row for each of its ``keys``; null where there is none. The
+    rows of the keys that ``heavy`` lists (at most ``HEAVY``, so they are broadcast, with their values) stay where they are: for the join by
+    shuffle they get a key of their own, from ``spread``. The columns of ``rows`` must not begin with an underscore."""
+    hot = F.broadcast(heavy.select(*keys, F.struct(F.col(value).alias("x")).alias("_hot")))
+    flagged = rows.join(hot, keys, "left")
+    first, *others = [F.col(k) for k in keys]
+    keyed = flagged.withColumns({"_k0": F.when(F.col("_hot").isNotNull(), spread).otherwise(first), "_light": F.col("_hot").isNull()})
+    cold = table.select(F.col(keys[0]).alias("_k0"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys[1:], 1)], F.lit(True).alias("_light"), F.col(value).alias("_cold"))
+    on = [keyed["_k0"] == cold["_k0"], keyed["_light"] == cold["_light"], *[keyed[k] == cold[f"_k{i}"] for i, k in enumerate(keys[1:], 1)]]
+    joined = keyed.join(cold, on, "left")
+    return joined.select(*rows.columns, F.coalesce("_hot.x", "_cold").alias(value))
+
+
 def remainder(key: Column | str, modulus: int) -> Column:
     """crc32 of a key as text, modulo ``modulus``; null for a null key."""
     return F.crc32((F.col(key) if isinstance(key, str) else key).cast("string").cast("binary")) % modulus

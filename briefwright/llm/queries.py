@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and of the pipeline, with SQL where SQL can say it."""
+"""Registered queries of the operators and of the pipeline, with SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -147,6 +147,73 @@ def op8_licences(spark: SparkSession, sf: str) -> DataFrame:
     return licences.scan(table(spark, sf, "documents")).select("doc_id", F.size("licences").cast("long").alias("n_found"), F.array_join(one, ",").alias("licences"))
 
 
+OP11_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (SELECT doc_id, part, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails FROM w),
+m AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+k AS (SELECT part, fails, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (good = 1) AS BIGINT) AS good, CAST(count(*) FILTER (toxic = 1) AS BIGINT) AS toxic FROM f LEFT JOIN m USING (doc_id) GROUP BY ALL),
+l AS (SELECT unnest([1, 2, 3, 4, 5]) AS x),
+o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT o, step, list_slice(o, 1, step - 1) AS before, o[step] AS own FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+j AS (SELECT part, o, step, own, n, good, toxic, fails[own] AS hit, len(list_filter(before, lambda x: fails[x])) > 0 AS gone, len(list_filter([1, 2, 3, 4, 5], lambda x: fails[x])) = 1 AS alone FROM s, k),
+r AS (SELECT part, o, step, own, sum(n) FILTER (NOT hit AND NOT gone) AS kept, sum(n) FILTER (hit AND NOT gone) AS removed, sum(n) FILTER (hit AND gone) AS redundant, sum(n) FILTER (hit AND alone) AS unique_fails,
+    sum(good) FILTER (hit AND NOT gone) AS good_lost, sum(toxic) FILTER (hit AND NOT gone) AS toxic_lost FROM j GROUP BY ALL)
+SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import filteraudit
+
+    return filteraudit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+OP12_SQL = r"""
+WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 50 = 0),
+pos AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+neg AS (SELECT anchor_id, positive_id, positive_score, p.id AS negative_id, score AS negative_score, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, p.id) AS INT) AS rank
+  FROM pos JOIN p USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import hardnegatives
+
+    rows, key = table(spark, sf, "embeddings"), F.col("vec_id")
+    rows = rows.select("vec_id", F.when(key % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"), "embedding")
+    return hardnegatives.mine(rows, key % 50 == 0)
+
+
+OP13_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+k AS (SELECT doc_id, line, i, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.key IS NULL), '')) AS kept_sha256 FROM k LEFT JOIN c USING (key) GROUP BY doc_id
+"""
+
+#: Groups of files that operator 13 takes as batches.
+LINE_BATCHES = 6
+
+
+@query("op13_line_dedup", OP13_SQL)
+def op13_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from briefwright.llm import linededup
+
+    docs = table(spark, sf, "documents")
+    files = sorted(docs.inputFiles())
+    batches = [spark.read.schema(docs.schema).parquet(*files[i::LINE_BATCHES]) for i in range(min(LINE_BATCHES, len(files)))]
+    return linededup.dedup_lines(docs, batches).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
