@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from briefwright.functions import markdown as M, text as T
 from briefwright.functions.urls import heat_is_open, video_id
 from briefwright.operators.ranking import first_per, top_k
-from briefwright.operators.similarity import similar_within, signatures
+from briefwright.operators.similarity import similar_within
 
 
 def with_hash(items: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def published_duplicates(reports: DataFrame, published: DataFrame, threshold: fl
     by_head = b.groupBy(F.col("head").alias("y")).agg(F.min("y_id").alias("y_id"))
     same = a.join(by_title, "title").select("x_id", "y_id")
     heads = a.select("head").unionByName(b.select("head")).distinct().select(F.lit("").alias("_run"), F.col("head").alias("_title"), F.col("head").alias("_tid"))
-    edges = similar_within(heads, signatures(heads, threshold), threshold).select("x", "y").unionByName(
+    edges = similar_within(heads, threshold).select("x", "y").unionByName(
         heads.select(F.col("_tid").alias("x"), F.col("_tid").alias("y")))
     # the new report's text is the first argument of the ratio
     by_text = edges.join(by_head, "y").groupBy("x").agg(F.min("y_id").alias("y_id"))

@@ -40,6 +40,24 @@ def ranked(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), name:
             .drop("_pid", "_p", "_local", "_shift", *[f"_g_{c}" for c in by]))
 
 
+def running_total(df: DataFrame, value: str, order: Sequence[Column], by: Sequence[str], total: str, rank: str) -> DataFrame:
+    """Adds, in groups of any size, the sum of ``value`` over the rows before (``total``) and the rank from 1. Range partitions are summed up
+    by themselves and shifted by what earlier partitions hold."""
+    by = list(by)
+    placed = cut_lineage(df.repartitionByRange(*[F.col(c) for c in by], *order).withColumn("_pid", F.spark_partition_id()))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_pid", *by).agg(F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    earlier = before(Window.partitionBy(*by).orderBy("_pid"))
+    shifts = sums.select(F.col("_pid").alias("_p"), *[F.col(c).alias(f"_g_{c}") for c in by],
+                         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_shift{c}") for c in ("_s", "_n")])
+    match = F.col("_pid") == F.col("_p")
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    local = Window.partitionBy("_pid", *by).orderBy(*order)
+    inside = placed.withColumns({"_here": F.coalesce(F.sum(value).over(before(local)), F.lit(0)), "_row": F.row_number().over(local)})
+    return inside.join(shifts, match).select(*df.columns, (F.col("_here") + F.col("_shift_s")).cast("bigint").alias(total), (F.col("_row") + F.col("_shift_n")).cast("bigint").alias(rank))
+
+
 def by_score(descending: bool = True) -> list[Column]:
     return [F.col("score").desc() if descending else F.col("score").asc(), F.col("pos")]
 

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from briefwright.functions.text import text_or_empty
 from briefwright.operators.joins import ledger_key
 from briefwright.operators.ranking import first_per, top_k
+from briefwright.plans.chunks import size_bounded_chunks  # noqa: F401 - part of the ledger's plans
 
 RUN = ["_run"]
 
@@ -43,39 +42,6 @@ def row_size(*columns: str) -> Column:
     return F.length(F.to_json(F.struct(*columns)))
 
 
-def _pack(max_chars: int, key: str):
-    """Greedy packing of rows that arrive in order: a chunk is a JSON object of category -> array, and a row
-    opens a new chunk when it would not fit. Only the running size is carried from batch to batch."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, chunk, size, open_categories = None, 0, 0, set()
-        for pdf in batches:
-            numbers = []
-            for g, category, chars in zip(pdf[key], pdf["category"], pdf["chars"]):
-                header = len(json.dumps(category, ensure_ascii=False)) + 3
-                if g != group:
-                    group, chunk, size, open_categories = g, 0, 0, set()
-                grown = size + chars + (1 if category in open_categories else header + (1 if open_categories else 2))
-                if chunk == 0 or grown > max_chars:
-                    chunk, open_categories, grown = chunk + 1, set(), 2 + header + chars
-                open_categories.add(category)
-                size = grown
-                numbers.append(chunk)
-            yield pdf.assign(chunk=pd.Series(numbers, dtype="int64", index=pdf.index))[[key, "ord", "chunk"]]
-
-    return run
-
-
-def size_bounded_chunks(rows: DataFrame, max_chars: int, key: str = "_run", order: str = "ord") -> DataFrame:
-    """Adds ``chunk`` (from 1): ordered rows packed into chunks of at most ``max_chars`` characters. Packing is
-    sequential within a report; tasks stream over (report, place, category, size) only, never over texts.
-    Needs the columns category, ``chars`` and ``order``."""
-    slim = rows.select(key, F.col(order).cast("bigint").alias("ord"), "category", F.col("chars").cast("bigint").alias("chars"))
-    key_type = dict(rows.dtypes)[key]
-    placed = slim.repartition(key).sortWithinPartitions(key, "ord").mapInPandas(
-        _pack(max_chars, key), f"`{key}` {key_type}, ord BIGINT, chunk BIGINT")
-    return rows.join(placed.withColumnRenamed("ord", order), [key, order])
-
-
 def chunk_rows(rows: DataFrame, by: Sequence[str], best: int = 12, per_category: int = 3) -> DataFrame:
     """Rows a chunk summary shows: ``kind`` best (by score and weight) and ``category`` (first of each)."""
     order = [F.coalesce("score", F.lit(0.0)).desc(), F.coalesce("source_weight", F.lit(0.0)).desc(), F.col("ord")]

@@ -7,7 +7,7 @@ from briefwright.lexicon import Lexicon
 from briefwright.operators import ranking as K, relevance as V
 from briefwright.plans import calendar as C, ledger as D
 from briefwright.sources.plugin import union_sources
-from catalog.base import host, items, query, table, with_items
+from catalog.base import ITEMS, host, items, query, table, with_items
 from catalog.filters import RELEVANT, RUNS, runs
 from catalog.joins import REG, tier_sql, weight_sql
 from catalog.scoring import VOTES, topic_sql
@@ -219,7 +219,16 @@ def ledger_key(spark, sf):
     return items(spark, sf).select("item_id", key(F.lit(""), F.col("url"), F.col("title"), F.col("source")).alias("ledger_key"))
 
 
-@query("rp03_size_bounded_chunks")
+RP03_SQL = "WITH RECURSIVE " + ITEMS + """, d AS (SELECT row_number() OVER (ORDER BY pos) AS i, source_type AS category, length(content) AS chars, length(source_type) + 5 AS header FROM items),
+    r AS (SELECT i, 1 AS chunk, 2 + header + chars AS size, [category] AS cats, chars FROM d WHERE i = 1
+      UNION ALL SELECT i, CASE WHEN fits THEN chunk ELSE chunk + 1 END, CASE WHEN fits THEN grown ELSE 2 + header + chars END, CASE WHEN fits THEN list_distinct(cats || [category]) ELSE [category] END, chars
+      FROM (SELECT d.i, d.header, d.chars, d.category, r.chunk, r.cats, r.size + 1 + d.chars + CASE WHEN list_contains(r.cats, d.category) THEN 0 ELSE d.header END AS grown,
+        r.size + 1 + d.chars + CASE WHEN list_contains(r.cats, d.category) THEN 0 ELSE d.header END <= 20000 AS fits FROM r JOIN d ON d.i = r.i + 1))
+    SELECT CAST(chunk AS BIGINT) AS chunk, count(*) AS rows_in, CAST(sum(chars) AS BIGINT) AS chars FROM r GROUP BY chunk"""
+
+
+@query("rp03_size_bounded_chunks", RP03_SQL)
 def chunks(spark, sf):
-    rows = items(spark, sf).select(F.col("dt").alias("_run"), F.col("pos").alias("ord"), F.col("source_type").alias("category"), F.length("title").alias("chars"))
-    return D.size_bounded_chunks(rows, 2000).groupBy("_run", "chunk").agg(F.count(F.lit(1)).alias("rows_in"), F.sum("chars").alias("chars"))
+    """One report of all rows, by the sizes of whole texts."""
+    rows = items(spark, sf).select(F.lit("all").alias("_run"), F.col("pos").alias("ord"), F.col("source_type").alias("category"), F.length("content").alias("chars"))
+    return D.size_bounded_chunks(rows, 20_000).groupBy("chunk").agg(F.count(F.lit(1)).alias("rows_in"), F.sum("chars").alias("chars"))
