@@ -27,12 +27,16 @@ ENRICHMENT_SOURCES = ["anthropic", "openai", "google_blog", "manual_urls", "yout
 ARTICLE_SOURCES = ["anthropic", "openai", "google_blog", "manual_urls"]
 
 
-def lookback(items: DataFrame, as_of: Column, hours: Mapping[str, int], default_hours: int = 24) -> DataFrame:
-    """Rows inside the look-back window of their source."""
+def lookback_hours(hours: Mapping[str, int], default_hours: int = 24) -> Column:
+    """The look-back of a row's source, as an interval."""
     table = F.create_map(*[x for s, h in hours.items() for x in (F.lit(s), F.lit(int(h)))]) if hours else None
     own = F.try_element_at(table, F.col("source")) if table is not None else F.lit(None)
-    window = F.make_interval(hours=F.coalesce(own, F.lit(default_hours)))
-    return items.where(F.col("published_at") >= as_of - window)
+    return F.make_interval(hours=F.coalesce(own, F.lit(default_hours)))
+
+
+def lookback(items: DataFrame, as_of: Column, hours: Mapping[str, int], default_hours: int = 24) -> DataFrame:
+    """Rows inside the look-back window of their source."""
+    return items.where(F.col("published_at") >= as_of - lookback_hours(hours, default_hours))
 
 
 def score_threshold(items: DataFrame, threshold: float | Mapping[str, float]) -> DataFrame:

@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from briefwright.operators.filters import lookback
 from briefwright.operators.joins import unseen, with_hash
 from briefwright.schema import ITEM_DDL
 from briefwright.sources.sinks import seen_after
 
 
-def landed_items(spark: SparkSession, path: str, hours: Mapping[str, int], default_hours: int = 24, fmt: str = "parquet",
-                 schema: str = ITEM_DDL, files_per_trigger: int = 1000) -> DataFrame:
-    """Items as they land, with the widest look-back as watermark and the look-back of each source as filter."""
-    widest = max([default_hours, *hours.values()])
-    raw = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger).load(path)
-    marked = raw.withWatermark("published_at", f"{widest} hours")
-    return lookback(marked, F.current_timestamp(), hours, default_hours)
+def landed_items(spark: SparkSession, path: str, fmt: str = "parquet", schema: str = ITEM_DDL, files_per_trigger: int = 1000) -> DataFrame:
+    """Items as they land. ``state.look_back_step`` judges them by the look-back of their source."""
+    return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
 def once_per_hash(items: DataFrame) -> DataFrame:
-    """First arrival per content hash inside the watermark."""
+    """First arrival per content hash inside the watermark; ``state.first_ever`` has no such bound."""
     rows = items if "content_hash" in items.columns else with_hash(items)
     return rows.dropDuplicatesWithinWatermark(["content_hash"])
 
