@@ -62,10 +62,10 @@ class LineRuns:
         self.levels[level].append(name)
 
     def _merged(self, names: list[str]) -> DataFrame:
-        """The runs as one, counts added. The bits of h are turned on the way: Spark 4.1 takes a union of bucketed tables for a
-        bucketed one, and then does not bring equal keys together."""
-        turned = [self.spark.table(n).select(F.bitwise_not("h").alias("k"), "g", "n") for n in names]
-        return reduce(DataFrame.unionByName, turned).groupBy("k", "g").agg(F.sum("n").alias("n")).select(F.bitwise_not("k").alias("h"), "g", "n")
+        """The runs as one, counts added, dealt as the buckets are. The bits of h are turned over and back: Spark 4.1 takes a union of
+        bucketed tables for a bucketed one, and then does not bring equal keys together."""
+        rows = [self.spark.table(n).select(F.bitwise_not(F.bitwise_not("h")).alias("h"), "g", "n") for n in names]
+        return reduce(DataFrame.unionByName, rows).groupBy("h", "g").agg(F.sum("n").alias("n"))
 
     def _all(self) -> list[str]:
         return [n for level in self.levels for n in level]

@@ -201,7 +201,7 @@ SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped, sha256(coalesce(s
 """
 
 #: Groups of files that operator 13 takes as batches.
-LINE_BATCHES = 6
+LINE_BATCHES = 4
 
 
 @query("op13_line_dedup", OP13_SQL)
