@@ -26,6 +26,16 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct: whatever their names, they clash with no helper column; ``select("row.*")`` brings them back."""
+    return F.struct(*map(column, df.columns)).alias("row")
+
+
+def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, text, row): the key, the hash of the text, the text, and the whole row."""
+    return df.select(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("h"), column(text_col).alias("text"), whole_row(df))
+
+
 #: A key with at least one of so many rows is heavy; there are at most so many heavy keys.
 HEAVY = 20_000
 
@@ -52,11 +62,11 @@ def remainder(key: Column | str, modulus: int) -> Column:
 def labelled_sample(df: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, str]]:
     """(label, whole text) of about ``per_class`` rows of each of the labels 0 and 1 among the label rows for which ``learn``
     holds, chosen by a hash of their id: the bounded sample that a classifier is fitted on. Null texts count as empty."""
-    rows = labels.where(learn & F.col(label).isin(0, 1)).select(F.col(id_col).alias("key"), F.col(label).cast("int").alias("y")).distinct()
+    rows = labels.where(learn & column(label).isin(0, 1)).select(column(id_col).alias("key"), column(label).cast("int").alias("y")).distinct()
     counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = F.coalesce(*[F.when(F.col("y") == y, F.lit(min(1.0, per_class / n))) for y, n in sorted(counts.items())], F.lit(0.0))
     chosen = rows.where(F.pmod(F.xxhash64("key", F.lit(label)), F.lit(1_000_000)) < share * 1_000_000)
-    texts = df.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = df.select(column(id_col).alias("key"), F.coalesce(column(text_col), F.lit("")).alias("text"))
     # the chosen ids are few by construction, so they may be broadcast
     found = texts.join(F.broadcast(chosen), "key").select("y", "text", F.xxhash64("key").alias("h")).collect()
     return [(r.y, r.text) for r in sorted(found, key=lambda r: (r.h, r.y, r.text))]

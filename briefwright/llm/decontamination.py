@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from briefwright.llm.common import stage, with_rows
+from briefwright.llm.common import column, identified, stage, with_rows
 
 WINDOW = 10
 GRAM = 5
@@ -77,9 +77,9 @@ def _small(df: DataFrame) -> DataFrame:
 def window_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sizes, hits, item windows). Sizes: (id, h, n), the number of words of each row; h is the hash of the text. Hits: (id, h, t, s, wh),
     one row per place of a document where a window of t words of some item stands. Item windows: (t, wh, item)."""
-    item_words = stage(_hashes(items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")), "text", "item").withColumn("n", F.size("hw")).where("n > 0"))
+    item_words = stage(_hashes(items.select(column(item_col).alias("item"), column(item_text).alias("text")), "text", "item").withColumn("n", F.size("hw")).where("n > 0"))
     short = sorted(r.n for r in item_words.where(F.col("n") < window).select("n").distinct().collect())  # below the window: a few numbers
-    hashed = _hashes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h")), "text", "id", "h")
+    hashed = _hashes(docs.select(column(id_col).alias("id"), column(text_col).alias("text"), F.xxhash64(column(text_col)).alias("h")), "text", "id", "h")
     found, all_windows, sizes = [], [], None
     for t in [*short, window]:
         own = item_words.where(F.col("n") == t) if t < window else item_words.where(F.col("n") >= t)
@@ -114,5 +114,6 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no window of an item, with all their columns."""
     _, hits, _ = window_hits(docs, items, id_col, text_col, **options)
-    bad = hits.select(F.col("id").alias("_id"), F.col("h").alias("_h")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_h")), "left_anti")
+    bad = hits.select(F.col("id").alias("bad_id"), F.col("h").alias("bad_h")).distinct()
+    rows = identified(docs, id_col, text_col).drop("text")
+    return rows.join(bad, F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("h") == F.col("bad_h")), "left_anti").select("row.*")

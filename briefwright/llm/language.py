@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from briefwright.llm.common import steps
+from briefwright.llm.common import column, steps
 
 UNDETERMINED = "und"
 
@@ -147,7 +147,7 @@ def _shared(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
 
 def sample(df: DataFrame, text_col: str, lang_col: str, key_col: str, docs_per_language: int) -> dict[str, list[bytes]]:
     """Whole texts of about ``docs_per_language`` rows of each language, chosen by a hash of the key."""
-    rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(key_col).alias("key"))
+    rows = df.where(column(lang_col).isNotNull() & column(text_col).isNotNull()).select(column(lang_col).alias("lang"), column(text_col).alias("text"), column(key_col).alias("key"))
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
         return {}

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from briefwright.llm.common import span_hashes, steps, word_spans
+from briefwright.llm.common import column, span_hashes, steps, word_spans
 from briefwright.llm.ngramjoin import _LOWER, _WORD
 
 COVERAGE, SPREAD = 0.8, 1.5
@@ -317,5 +317,5 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, id_col: str = "
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(found(raw, at, wanted, coverage), kind)], names=["id", "licences"])
 
     id_kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = df.select(column(id_col).alias("id"), column(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {id_kind}, licences array<struct<licence:string,first:int,end:int,coverage:double>>").withColumnRenamed("id", id_col)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from briefwright.llm.common import _powers_for, mixed, span_hashes, stage, steps, word_spans
+from briefwright.llm.common import _powers_for, column, identified, mixed, span_hashes, stage, steps, word_spans
 from briefwright.llm.components import block_pairs, components, joined, least_labels, per_group
 
 SHINGLE = 5
@@ -101,7 +101,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                                   pa.array(order.view(np.int64), mask=none.to_numpy(zero_copy_only=False)), lists], names=["id", "h", "c", "sig"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, h long, c long, sig array<long>")
+    return docs.select(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("h"), column(text_col).alias("text")).mapInArrow(run, f"id {kind}, h long, c long, sig array<long>")
 
 
 def agreement(a: str, b: str) -> Column:
@@ -246,7 +246,7 @@ def _sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> Da
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array([s.tobytes() for s in sets], pa.binary()),
                                                   pa.array([max(LEAST, len(s)) for s in sets], pa.int64())], names=["g", "c", "copies", "tokens", "weight"])
 
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    texts = docs.select(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("h"), column(text_col).alias("text"))
     wanted = members.select("g", "c", "copies", F.col("row.id").alias("_id"), F.col("row.h").alias("_h"))
     found = texts.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))).select("g", "c", "copies", "text")
     return found.mapInArrow(run, "g long, c long, copies long, tokens binary, weight long")
@@ -270,11 +270,12 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
 
 def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of ``docs`` per group, that of its smallest id, with all its columns. Texts without words stay."""
-    found = similar(docs, id_col, text_col, **options).where(F.col(id_col).eqNullSafe(F.col("class_id")))
-    keep = stage(found.groupBy(F.col(id_col).alias("_id"), F.col("h").alias("_h")).agg(F.count("*").alias("_rows"), F.max("n_links").alias("_links")))
-    of = lambda k: docs.join(k.select("_id", "_h"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_h")))
+    found = similar(docs, id_col, text_col, **options).select(column(id_col).alias("id"), "h", "class_id", "n_links").where(F.col("id").eqNullSafe(F.col("class_id")))
+    keep = stage(found.groupBy("id", "h").agg(F.count("*").alias("rows"), F.max("n_links").alias("links")))
+    rows = identified(docs, id_col, text_col)
+    of = lambda k: rows.join(k.select(F.col("id").alias("kept_id"), F.col("h").alias("kept_h")), F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("h") == F.col("kept_h")))
     # rows that repeat an id and its text are copies too
-    again = (F.col("_rows") > 1) & (F.col("_links") > 0)
+    again = (F.col("rows") > 1) & (F.col("links") > 0)
     if keep.where(again).isEmpty():
-        return of(keep).select(*docs.columns)
-    return of(keep.where(~again)).unionByName(of(keep.where(again)).dropDuplicates(["_id", "_h"])).select(*docs.columns)
+        return of(keep).select("row.*")
+    return of(keep.where(~again)).unionByName(of(keep.where(again)).dropDuplicates(["id", "h"])).select("row.*")

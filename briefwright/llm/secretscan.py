@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from briefwright.llm.common import stage, with_rows
+from briefwright.llm.common import column, identified, stage, with_rows
 
 #: Fixed patterns, and the order of kinds. "Letters in either case" holds for the names only.
 NAMES = ["password", "passwd", "secret", "token"]
@@ -55,23 +55,46 @@ def _found(text: Column, pattern: str, group: int) -> tuple[Column, Column]:
     return F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Items of an array that are taken in one go: lists of so many numbers are copied once per item, and a list with one number per block once per block.
+FOLD = 256
+
+
+def _before(items: Column, at: Column, advance) -> Column:
+    """array<int>: the state before each item, which ``advance`` takes from item to item. Only numbers are gathered, in blocks, as
+    Spark copies the state of an aggregate with each item."""
+    def gather(x: Column, start: Column, step) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("list"))
+        return F.aggregate(x, first, lambda s, v: F.struct(step(s["at"], v).alias("at"), F.concat(s["list"], F.array(s["at"])).alias("list")), lambda s: s["list"])
+
+    def gathered(x: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / FOLD).cast("int")), lambda i: F.slice(x, i * FOLD + 1, F.lit(FOLD)))
+        starts = lambda b: gather(b, at, lambda a, block: F.aggregate(block, a, advance))
+        return _let(blocks, lambda b: _let(starts(b), lambda first: F.flatten(F.transform(b, lambda block, i: gather(block, F.get(first, i), advance)))))
+
+    return F.when(F.size(items) > 0, gathered(items)).otherwise(F.array().cast("array<int>"))
+
+
+def _with_state(items: Column, at: Column, advance, give) -> Column:
+    """``give`` (state before, item) of all items, without nulls."""
+    return _let(items, lambda x: _let(_before(x, at, advance), lambda states: F.filter(F.transform(x, lambda v, i: give(F.get(states, i), v)), lambda v: v.isNotNull())))
+
+
 def spans(text: Column, pattern: str, value: int | None = None, least: int = 0) -> Column:
     """array<struct<s, e, v>>: places and texts of all matches, leftmost first and apart; those whose group ``value`` has fewer
     than ``least`` characters are dropped."""
     between, whole = _found(text, pattern, 0)
     kept = F.regexp_extract_all(text, F.lit(pattern), F.lit(value)) if value else whole
+    length = lambda c: F.coalesce(F.length(c), F.lit(0))
+    # the last gap has no match: its row has null as match and gives nothing
     pieces = F.arrays_zip(between.alias("gap"), whole.alias("m"), kept.alias("v"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,v:string>>").alias("out"))
-
-    def add(state: Column, p: Column) -> Column:
-        s = state["at"] + F.length(p["gap"])
-        e = s + F.coalesce(F.length(p["m"]), F.lit(0))
-        one = F.when(F.length(p["v"]) >= least, F.array(F.struct(s.alias("s"), e.alias("e"), p["v"].alias("v")))).otherwise(F.array().cast("array<struct<s:int,e:int,v:string>>"))
-        return F.struct(e.alias("at"), F.concat(state["out"], one).alias("out"))
-
-    none = F.array().cast("array<struct<s:int,e:int,v:string>>")
-    # the last gap has no match: its row has null as match and drops out of the comparison above
-    return F.when(text.rlike(pattern), F.aggregate(pieces, start, add, lambda state: state["out"])).otherwise(none)
+    one = lambda at, p: F.struct((at + length(p["gap"])).alias("s"), (at + length(p["gap"]) + length(p["m"])).alias("e"), p["v"].alias("v"))
+    found = _with_state(pieces, F.lit(0), lambda at, p: at + length(p["gap"]) + length(p["m"]), lambda at, p: F.when(F.length(p["v"]) >= least, one(at, p)))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<s:int,e:int,v:string>>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -135,14 +158,22 @@ def passing(tested: DataFrame, fdr: float = FDR) -> DataFrame:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, h (hash of the text), base and all: array<struct<s, k, e>> of the patterns, and with the random runs."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), text.alias("text"))
+    text = F.coalesce(column(text_col), F.lit(""))
+    d = docs.select(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("h"), text.alias("text"))
     base = d.select("id", "h", base_spans(F.col("text")).alias("base"))
     runs = d.where(F.col("text").rlike(RUN)).select("id", "h", F.explode(spans(F.col("text"), RUN)).alias("x")).select("id", "h", "x.*").distinct()
     random = passing(stage(battery(runs))).groupBy("id", "h").agg(F.collect_list(F.struct("s", F.lit(3).alias("k"), "e")).alias("extra"))
     joined = with_rows(base, random)
-    apart = F.filter("extra", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    return joined.select("id", "h", "base", F.array_sort(F.concat("base", F.coalesce(apart, F.array().cast("array<struct<s:int,k:int,e:int>>")))).alias("spans")).withColumnRenamed("id", id_col)
+    return joined.select("id", "h", "base", F.when(F.col("extra").isNull(), F.col("base")).otherwise(_with_extra(F.col("base"), F.col("extra"))).alias("spans")).withColumnRenamed("id", id_col)
+
+
+def _with_extra(base: Column, extra: Column) -> Column:
+    """The base spans and those of the others that meet none, in order: one way from the left, which knows how far the base spans reach, and
+    one from the right, which knows where the next one begins."""
+    is_base = lambda x: x["k"] < 3
+    left = _with_state(F.array_sort(F.concat(base, extra)), F.lit(0), lambda at, x: F.when(is_base(x), F.greatest(at, x["e"])).otherwise(at),
+                       lambda at, x: F.when(is_base(x) | (x["s"] >= at), x))
+    return F.reverse(_with_state(F.reverse(left), F.lit(2**31 - 1), lambda at, x: F.when(is_base(x), x["s"]).otherwise(at), lambda at, x: F.when(is_base(x) | (x["e"] <= at), x)))
 
 
 def listed(spans: Column) -> Column:
@@ -151,17 +182,30 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
+#: Characters of a block of a text that is cut at many places.
+BLOCK = 1024
+
+
+def _masked(text: Column, spans: Column, mark: str) -> Column:
+    """A text whose spans are replaced; a span that begins inside the last one only lengthens it. The text is taken in blocks, so that a place far
+    behind is not counted out from its beginning."""
+    gaps = _with_state(spans, F.lit(0), lambda at, x: F.greatest(at, x["e"]), lambda at, x: F.when(x["s"] >= at, F.struct(at.alias("a"), x["s"].alias("b"))))
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def piece(parts: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / BLOCK).cast("int")
+        here = F.array_join(F.slice(parts, first + 1, F.floor(b / BLOCK).cast("int") - first + 1), "")
+        return F.substring(here, a - first * BLOCK + 1, b - a)
+
+    pieces = _let(blocks, lambda parts: F.transform(gaps, lambda g: piece(parts, g["a"], g["b"])))
+    last = _let(blocks, lambda parts: piece(parts, F.aggregate(spans, F.lit(0), lambda m, x: F.greatest(m, x["e"])), F.length(text)))
+    return F.concat(F.array_join(pieces, mark), F.lit(mark), last)
+
+
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "<secret>") -> DataFrame:
     """``docs`` with all spans of its texts replaced by ``mark``; all columns and rows stay."""
-    found = scan(docs, id_col, text_col).select(F.col(id_col).alias("id"), "h", "spans").where(F.size("spans") > 0).dropDuplicates(["id", "h"])
-    found = found.select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("spans").alias("_spans"))
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def add(state: Column, x: Column) -> Column:  # a span that begins inside the last one only lengthens it
-        gap = F.substring(text, state["at"] + 1, F.greatest(x["s"] - state["at"], F.lit(0)))
-        return F.struct(F.greatest(state["at"], x["e"]).alias("at"), F.when(x["s"] >= state["at"], F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"))
-
-    cut = F.aggregate("_spans", start, add, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_h")), "left")
-    return joined.select(*[F.when(F.col("_spans").isNull(), text).otherwise(cut).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    found = scan(docs, id_col, text_col).select(column(id_col).alias("of"), F.col("h").alias("of_h"), "spans").where(F.size("spans") > 0).dropDuplicates(["of", "of_h"])
+    joined = identified(docs, id_col, text_col).join(found, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
+    out = joined.select("row", F.when(F.col("spans").isNull(), F.col("text")).otherwise(_masked(F.col("text"), F.col("spans"), mark)).alias("changed"))
+    # fields are named by the type of the row, so no name of a column can clash
+    return out.select(*[(F.col("changed") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

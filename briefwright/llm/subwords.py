@@ -19,6 +19,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+from briefwright.llm.common import column
 from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"
@@ -210,7 +211,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                      pa.array([d for _, d in done], pa.binary()).cast(pa.string())], names=["id", "n_tokens", "ids", "decoded"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids binary, decoded string").withColumnRenamed("id", id_col)
+    return df.select(column(id_col).alias("id"), column(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids binary, decoded string").withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -223,7 +224,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
+    return df.select(column(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
 def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

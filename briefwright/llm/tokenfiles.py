@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from briefwright.llm.common import chunk_hashes, steps
+from briefwright.llm.common import chunk_hashes, column, steps
 
 MAGIC = b"PFOR0001"
 FOOTER = struct.Struct("<QQQQQQ8s")  # ids, blocks, ids of a block, place of the block starts, place and length of the documents
@@ -259,7 +259,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: s
 
     system, path = pafs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)  # shared by all; an empty table leaves it empty
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = df.select(column(id_col).alias("id"), column(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     rows = rows.repartitionByRange("id", "h").sortWithinPartitions("id", "h").drop("h")
     return rows.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from briefwright.llm.common import stage
+from briefwright.llm.common import column, stage
 from briefwright.llm.components import block_pairs, components, joined, least_labels, per_group
 
 #: Classes of a list that one task searches, queries that it takes, and classes of a block when links are counted.
@@ -84,12 +84,12 @@ def build(sample: np.ndarray, n: int, lists: int | None = None, parts: int = 8)
 
 def classes(df: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame, int]:
     """(rows: id, c; classes: c, vector, copies, least id; the dimension). c is null for vectors that can't be compared."""
-    v = F.col(vector_col).cast("array<double>")
-    sizes = df.where(F.size(vector_col) > 0).groupBy(F.size(vector_col).alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    v = column(vector_col).cast("array<double>")
+    sizes = df.where(F.size(column(vector_col)) > 0).groupBy(F.size(column(vector_col)).alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     dim = sizes[0].d if sizes else 0
     norm = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
     good = v.isNotNull() & (F.size(v) == dim) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & (norm > 0) & (norm < float("inf"))
-    rows = stage(df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"), F.coalesce(good, F.lit(False)).alias("good")).withColumn("c", F.when(F.col("good"), F.xxhash64("v"))))
+    rows = stage(df.select(column(id_col).alias("id"), column(vector_col).alias("v"), F.coalesce(good, F.lit(False)).alias("good")).withColumn("c", F.when(F.col("good"), F.xxhash64("v"))))
     held = rows.where("good").groupBy("c").agg(F.first("v").alias("v"), F.count("*").alias("copies"), F.min("id").alias("least"))
     return rows.select("id", "c"), stage(held), dim
 

@@ -1,7 +1,11 @@
 """Documents to tokens: language, near duplicates, benchmark passages, secrets, SentencePiece ids.
 
 Each stage takes all rows that its predecessor kept, written as Parquet and read again. All but the last return the columns of
-``documents``, and any others that the rows have.
+``documents``, and any others that the rows have, whatever their names: a row is carried as one struct.
+
+Cases, in every stage: null and empty texts have no language and go with the first stage; rows that repeat an id and a text are copies, of which
+``near_duplicates`` keeps one (texts without words all stay); ids may be null; long texts are whole; an empty table gives an empty table; other
+columns, also ones named like the helpers' own, keep their values.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from briefwright.llm import decontamination, language, ngramjoin, secretscan, subwords
-from briefwright.llm.common import stage
+from briefwright.llm.common import stage, whole_row
 from briefwright.llm.queries import table, tokenizer
 
 #: A language is taken for undetermined, and its text rejected, if the winner is less likely than this.
@@ -18,8 +22,8 @@ LEAST_SCORE = 0.5
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language is determined. Null texts, texts without letters and even contests go."""
-    found = docs.withColumn("_language", language.predict(F.col("text"), language.fit(docs), spark))
-    return found.where((F.col("_language.lang_pred") != language.UNDETERMINED) & (F.col("_language.score") >= LEAST_SCORE)).select(*docs.columns)
+    found = docs.select(whole_row(docs), language.predict(F.col("text"), language.fit(docs), spark).alias("language"))
+    return found.where((F.col("language.lang_pred") != language.UNDETERMINED) & (F.col("language.score") >= LEAST_SCORE)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

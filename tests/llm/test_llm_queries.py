@@ -74,3 +74,27 @@ def test_stages_bear_all_rows_and_keep_columns(spark):
             assert name == "tokens" or out.columns == docs.columns
             assert out.count() <= len(TEXTS)
     assert language.UNDETERMINED == "und"
+
+
+NAMES = ["_id", "_h", "_spans", "_rows", "_links", "_language", "id", "h", "row", "of", "spans", "changed", "language", "bad_id", "kept_id", "a.b", "a`b", "c d"]
+
+
+@pytest.mark.parametrize("names", [NAMES, ["_" + n for n in NAMES]])
+def test_stages_keep_columns_of_any_name(spark, names):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "The quick brown fox jumps over the lazy dog and runs away from here."), (1, "The quick brown fox jumps over the lazy dog and runs away from here."),
+            (2, "Another text with a password=hunter22 in it, and enough plain words to see that it is written in English."), (None, "A row without an id whose words nobody else has, all of them plain English ones.")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.concat(F.lit(f"{k}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for k, n in enumerate(names)])
+    for name, step in corpus_pipeline.STAGES[1:-1]:
+        out = step(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert len(got) == (3 if name == "near_duplicates" else 4)
+        for r in got:
+            assert list(r)[5:] == [f"{k}:{'none' if r.doc_id is None else r.doc_id}" for k in range(len(names))], name
+    assert any("<secret>" in r.text for r in corpus_pipeline.secrets(spark, docs, SF).collect())
+    first = corpus_pipeline.languages(spark, docs, SF)
+    assert first.columns == docs.columns and all(list(r)[5:] == [f"{k}:{'none' if r.doc_id is None else r.doc_id}" for k in range(len(names))] for r in first.collect())
+    assert corpus_pipeline.tokens(spark, docs, SF).count() == 4

@@ -101,3 +101,35 @@ def test_edge_cases(spark):
     assert secretscan.scan(nothing(spark)).collect() == []
     many = secretscan.scan(documents(spark, [(1, "token=abcdef1 " * 3000)])).first()
     assert len(many.base) == 3000 and tuple(many.base[-1]) == (14 * 2999, 0, 14 * 2999 + 13)
+
+
+def test_time_and_results_of_many_spans_in_one_text(spark):
+    import time
+
+    took = []
+    for n in (10_000, 100_000):
+        text = "".join(f"{i % 10}{'0a1b2c3d' * 3} {'é' * (i % 3)}" for i in range(n))
+        docs = documents(spark, [(1, text)]).repartition(1)
+        start = time.time()
+        row = secretscan.scan(docs).first()
+        took.append(time.time() - start)
+        assert [tuple(x) for x in row.base] == brute(text) and len(row.base) == n
+        start = time.time()
+        out = secretscan.masked(docs).first().text
+        took.append(time.time() - start)
+        assert out == "".join(f"<secret> {'é' * (i % 3)}" for i in range(n))
+    print(took)
+    assert took[2] < 40 and took[3] < 60
+
+
+def test_random_runs_beside_pattern_spans(spark):
+    rng = random.Random(3)
+    cases = []
+    for _ in range(300):
+        base = sorted((s := rng.randrange(60), rng.randrange(3), s + rng.randrange(1, 9)) for _ in range(rng.randrange(6)))
+        cuts = sorted(rng.sample(range(70), 2 * rng.randrange(1, 5)))
+        extra = [(s, 3, e) for s, e in zip(cuts[::2], cuts[1::2], strict=True)]
+        cases.append((base, extra, sorted(base + [x for x in extra if not any(b[0] < x[2] and x[0] < b[2] for b in base)])))
+    rows = spark.createDataFrame([(i, b, x) for i, (b, x, _) in enumerate(cases)], "i int, base array<struct<s:int,k:int,e:int>>, extra array<struct<s:int,k:int,e:int>>")
+    for r in rows.select("i", secretscan._with_extra(F.col("base"), F.col("extra")).alias("got")).collect():
+        assert [tuple(x) for x in r.got] == cases[r.i][2], cases[r.i]
