@@ -59,17 +59,33 @@ def remainder(key: Column | str, modulus: int) -> Column:
     return F.crc32((F.col(key) if isinstance(key, str) else key).cast("string").cast("binary")) % modulus
 
 
+#: Bytes of text that a classifier is fitted on at most, and of one such text.
+SAMPLE_BYTES, TEXT_BYTES = 64 << 20, 4 << 20
+
+
+def bounded(chosen: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> list:
+    """The rows (h, text, ...) of a sample, as many as fit into ``sample_bytes`` by the order of their hash h. The sample has a
+    bounded number of rows, each of at most ``TEXT_BYTES``; it is staged, so that the driver receives no more than fits."""
+    rows = stage(chosen)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > sample_bytes:  # a share of the hashes holds that share of the bytes, but for one text or so
+        low = F.pmod(F.xxhash64("h", F.lit("bytes")), F.lit(1_000_000))
+        rows = rows.where(low < int(1_000_000 * sample_bytes / size))
+    return rows.collect()
+
+
 def labelled_sample(df: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, str]]:
     """(label, whole text) of about ``per_class`` rows of each of the labels 0 and 1 among the label rows for which ``learn``
-    holds, chosen by a hash of their id: the bounded sample that a classifier is fitted on. Null texts count as empty."""
+    holds, chosen by a hash of their id: the bounded sample that a classifier is fitted on. Null texts count as empty; of rows that repeat an id the
+    smallest text is taken; texts of over ``TEXT_BYTES`` are not learned from, and all of them together are at most about ``SAMPLE_BYTES``."""
     rows = labels.where(learn & column(label).isin(0, 1)).select(column(id_col).alias("key"), column(label).cast("int").alias("y")).distinct()
     counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = F.coalesce(*[F.when(F.col("y") == y, F.lit(min(1.0, per_class / n))) for y, n in sorted(counts.items())], F.lit(0.0))
     chosen = rows.where(F.pmod(F.xxhash64("key", F.lit(label)), F.lit(1_000_000)) < share * 1_000_000)
-    texts = df.select(column(id_col).alias("key"), F.coalesce(column(text_col), F.lit("")).alias("text"))
+    texts = df.select(column(id_col).alias("key"), F.coalesce(column(text_col), F.lit("")).alias("text")).where(F.octet_length("text") <= TEXT_BYTES)
     # the chosen ids are few by construction, so they may be broadcast
-    found = texts.join(F.broadcast(chosen), "key").select("y", "text", F.xxhash64("key").alias("h")).collect()
-    return [(r.y, r.text) for r in sorted(found, key=lambda r: (r.h, r.y, r.text))]
+    found = texts.join(F.broadcast(chosen), "key").groupBy("key", "y").agg(F.min("text").alias("text"))
+    return [(r.y, r.text) for r in sorted(bounded(found.select("y", "text", F.xxhash64("key").alias("h"))), key=lambda r: (r.h, r.y, r.text))]
 
 
 def byte_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

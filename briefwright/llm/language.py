@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from briefwright.llm.common import column, steps
+from briefwright.llm.common import TEXT_BYTES, bounded, column, steps
 
 UNDETERMINED = "und"
 
@@ -145,16 +145,22 @@ def _shared(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.where(seen, counts / total, escape * shorter / np.where(rest > 0, rest, 1))
 
 
+#: Languages that trees are grown for at most: those with the most rows.
+LANGUAGES = 500
+
+
 def sample(df: DataFrame, text_col: str, lang_col: str, key_col: str, docs_per_language: int) -> dict[str, list[bytes]]:
-    """Whole texts of about ``docs_per_language`` rows of each language, chosen by a hash of the key."""
+    """Whole texts of about ``docs_per_language`` rows of each language, chosen by a hash of the key. Of more than ``LANGUAGES`` values, as a dirty column has them,
+    the most frequent ones count; the bytes are bounded as for any sample."""
     rows = df.where(column(lang_col).isNotNull() & column(text_col).isNotNull()).select(column(lang_col).alias("lang"), column(text_col).alias("text"), column(key_col).alias("key"))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    often = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    counts = {r.lang: r.n for r in often.collect()}
     if not counts:
         return {}
-    share = F.coalesce(*[F.when(F.col("lang") == l, F.lit(min(1.0, docs_per_language / n))) for l, n in sorted(counts.items())])
-    chosen = rows.where(F.pmod(F.xxhash64("key", F.lit("language")), F.lit(1_000_000)) < share * 1_000_000)
+    shares = df.sparkSession.createDataFrame([(l, min(1.0, docs_per_language / n)) for l, n in sorted(counts.items())], "lang string, share double")
+    chosen = rows.where(F.octet_length("text") <= TEXT_BYTES).join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("key", F.lit("language")), F.lit(1_000_000)) < F.col("share") * 1_000_000)
     out: dict[str, list[tuple]] = {}
-    for r in chosen.select("lang", F.col("text").cast("binary").alias("text"), F.xxhash64("key").alias("h")).collect():
+    for r in bounded(chosen.select("lang", F.col("text").cast("binary").alias("text"), F.xxhash64("key").alias("h"))):
         out.setdefault(r.lang, []).append((r.h, bytes(r.text)))
     return {l: [t for _, t in sorted(rows)] for l, rows in out.items()}
 

@@ -276,7 +276,8 @@ def found(raw: np.ndarray, at: np.ndarray, templates: tuple, coverage: float = C
         member = has[number]
         total = np.concatenate([[0], np.cumsum(member)])
         stretch = max(len(template), int(spread * len(template)))
-        begins = np.flatnonzero(member)
+        # a match begins with a word of the template, before which no more than may be lacking is left out
+        begins = np.flatnonzero(np.isin(number, template[: int((1 - coverage) * len(template)) + 1]))
         row = np.searchsorted(offsets, begins, "right") - 1
         until = np.minimum(begins + stretch, offsets[row + 1])
         need = coverage * len(template)
@@ -300,10 +301,13 @@ def found(raw: np.ndarray, at: np.ndarray, templates: tuple, coverage: float = C
 def _apart(matches: list[tuple[int, dict]]) -> list[dict]:
     """The matches with the most aligned words, then the highest coverage, that do not overlap; in order."""
     kept: list[dict] = []
+    firsts: list[int] = []
     for _, m in sorted(matches, key=lambda x: (-x[0], -x[1]["coverage"], x[1]["first"], x[1]["licence"])):
-        if all(m["end"] <= k["first"] or k["end"] <= m["first"] for k in kept):
-            kept.append(m)
-    return sorted(kept, key=lambda m: (m["first"], m["licence"]))
+        at = bisect_left(firsts, m["first"])  # those kept are apart, so only the neighbours can meet it
+        if (at == len(kept) or m["end"] <= kept[at]["first"]) and (at == 0 or kept[at - 1]["end"] <= m["first"]):
+            firsts.insert(at, m["first"])
+            kept.insert(at, m)
+    return kept
 
 
 def scan(df: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:

@@ -3,8 +3,9 @@
 Adjacent symbol pairs wait in an agenda ordered by score, leftmost first on ties; the best pair is merged and its new
 neighbours join the agenda. No vocabulary entry has a space mark after another character, so a merge never crosses the
 start of a run of space marks: texts are cut there and each different chunk is solved once per worker.
-The sentencepiece library supplies the vocabulary and the normaliser; its own encoder is only used by the tests, and by
-``encode(check=True)``, which compares every Arrow batch.
+The sentencepiece library supplies the vocabulary and the normaliser, and checks every Arrow batch: what the batch brought that is new to the
+worker is encoded and decoded by the library too, and a difference fails the task. Chunks that the library can't be given alone are
+checked with their whole texts.
 
 Cases: a null text counts as empty; an empty text has only begin and end ids; rows and ids may repeat, each row is
 encoded on its own; an empty table gives an empty table; other columns are ignored. Unknown characters become byte pieces.
@@ -19,12 +20,13 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from briefwright.llm.common import column
 from pyspark.sql import DataFrame, functions as F
 
+from briefwright.llm.common import column
+
 SPACE = "▁"
-#: Chunks that a worker remembers; then it starts anew. A bound of memory only: results don't depend on it.
-REMEMBERED = 600_000
+#: Chunks, and bytes of them, that a worker remembers; then it starts anew. A bound of memory only: results don't depend on it.
+REMEMBERED, REMEMBERED_BYTES = 600_000, 128 << 20
 #: Chunks of up to so many characters have a list as agenda; NEVER is no rank.
 SHORT, NEVER = 48, 1 << 60
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -59,6 +61,8 @@ class Pieces:
         self.alone = not any("\n" in p and len(p) > 1 for p in self.id)
         self.chunks = _Chunks(self)
         self.words = _Words(self.chunks)
+        self.fresh: list[tuple[str, bytes, bytes]] = []
+        self.used = 0
         self.edge = [self.packed[i] if i >= 0 else b"" for i in (self.begin, self.end)]
 
     def merged(self, chunk: str) -> list[str]:
@@ -109,14 +113,42 @@ class Pieces:
                 one = b"".join([self.packed[i] for i in some]), b"".join([self.bytes[i] for i in some])
             ids.append(one[0])
             text.append(one[1])
-        return b"".join(ids), b"".join(text)
+        found = b"".join(ids), b"".join(text)
+        self.fresh.append((chunk, *found))
+        self.used += 200 + 4 * len(chunk) + len(found[0]) + len(found[1])
+        return found
+
+    def check(self, texts: list[str], done: list[tuple[bytes, bytes]]) -> None:
+        """Compares all chunks solved since the last check, of these texts, with the library's encoder and decoder."""
+        fresh, self.fresh = self.fresh, []
+        library = self.library
+        # a mark in front is what the normaliser adds; a chunk from inside a line follows a line break, which stands alone
+        alone = [(c[1:].replace(SPACE, " "), c, i, d) for c, i, d in fresh if c[:1] == SPACE]
+        inside = [("\n" + c, c, i, d) for c, i, d in fresh if c[:1] != SPACE]
+        before = np.array(library.encode("\n"), "<u4").tobytes()
+        whole = bool(inside) and not self.alone
+        for rows, prefix, lead in ((alone, b"", ""), (inside, before, SPACE + "\n")):
+            plain = library.normalize([t for t, *_ in rows]) if rows else []
+            able = [r for r, n in zip(rows, plain, strict=True) if n == lead + r[1]]
+            whole |= len(able) < len(rows)
+            for (_, c, i, d), ids in zip(able, library.encode([t for t, *_ in able]) if able else [], strict=True):
+                if np.array(ids, "<u4").tobytes() != prefix + i:
+                    raise ValueError(f"the library encodes otherwise: {c[:80]!r}")
+            back = library.decode([np.frombuffer(i, "<u4").tolist() for _, _, i, _ in able]) if able else []
+            for (_, c, _, d), text in zip(able, back, strict=True):
+                if text.encode() != (d[1:] if d[:1] == b" " else d):
+                    raise ValueError(f"the library decodes otherwise: {c[:80]!r}")
+        if whole:
+            for text, (i, d), ids in zip(texts, done, library.encode(texts, add_bos=True, add_eos=True, num_threads=1), strict=True):
+                if np.array(ids, "<u4").tobytes() != i or library.decode(ids).encode() != d:
+                    raise ValueError(f"the library encodes or decodes otherwise: {text[:80]!r}")
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids (little-endian, unsigned, 32 bits) with begin and end ids, and the text they decode to."""
-        if len(self.chunks) > REMEMBERED:
+        if max(len(self.chunks), len(self.words)) > REMEMBERED or self.used > REMEMBERED_BYTES:
             self.chunks.clear()
-        if len(self.words) > REMEMBERED:
             self.words.clear()
+            self.used = 0
         plain = self.library.normalize(text)
         if plain.startswith(SPACE) and SPACE + SPACE not in plain and not plain.endswith(SPACE):
             solved = list(map(self.words.__getitem__, plain.split(SPACE)[1:]))
@@ -190,9 +222,9 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", check: bool = False) -> DataFrame:
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", check: bool = True) -> DataFrame:
     """(id, n_tokens, ids, decoded) per row: ids as little-endian unsigned 32-bit integers with begin and end ids, and the
-    text that they decode to. ``check`` compares each Arrow batch with the library's encoder and fails on a difference."""
+    text that they decode to. ``check`` compares each Arrow batch with the library and fails on a difference."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
@@ -202,10 +234,8 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 done = [model.encode(t) for t in texts]
                 if check:
-                    want = model.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)
-                    bad = [t[:80] for t, (i, _), w in zip(texts, done, want, strict=True) if np.frombuffer(i, "<u4").tolist() != w]
-                    if bad:
-                        raise ValueError(f"the library encodes otherwise: {bad[:3]}")
+                    model.check(texts, done)
+                model.fresh.clear()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(i) // 4 for i, _ in done], pa.int64()), pa.array([i for i, _ in done], pa.binary()),
                      pa.array([d for _, d in done], pa.binary()).cast(pa.string())], names=["id", "n_tokens", "ids", "decoded"])

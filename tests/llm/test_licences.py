@@ -108,3 +108,56 @@ def test_edge_cases(spark):
     assert len(rows) == len(TEXTS) and not any(r.licences for r in rows)
     assert licences.scan(nothing(spark)).collect() == []
     assert names(licences.scan(documents(spark, [(1, "one"), (2, None)]), {"one": "one", "none": ""}).where("doc_id = 1").first()) == ["one"]
+
+
+def test_many_matches_and_near_misses_in_one_text():
+    import time
+
+    import numpy as np
+
+    def found(text, templates=None):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        start = time.time()
+        out = licences.found(raw, np.array([0, len(raw)]), tuple(sorted((templates or licences.TEMPLATES).items())))[0]
+        return out, time.time() - start
+
+    took = []
+    for n in (4_000, 32_000):
+        out, seconds = found("x released under the MIT License. y " * n)
+        assert len(out) == n and [m["first"] for m in out] == [1 + 7 * k for k in range(n)]
+        took.append(seconds)
+    assert took[1] < 20 * took[0] + 1
+    near = " ".join(w if i % 3 else "not" for i, w in enumerate(licences.TEMPLATES["bsd-3-clause-text"].split()))
+    out, seconds = found((near + " ") * 40)
+    assert not out and seconds < 20
+
+
+def test_whole_long_licences_from_a_table():
+    import os
+
+    import numpy as np
+    import pytest
+
+    folder = "/usr/share/common-licenses"
+    known = {n: open(f"{folder}/{n}").read() for n in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "MPL-2.0") if os.path.exists(f"{folder}/{n}")}
+    if len(known) < 2:
+        pytest.skip("the texts are not here")
+    templates = tuple(sorted(known.items()))
+    for name, text in known.items():
+        words = text.split()
+        edited = " ".join("X" if i % 15 == 4 else w for i, w in enumerate(words))
+        for body in (text, "some words before " + edited + " and after"):
+            raw = np.frombuffer(body.encode(), np.uint8)
+            out = licences.found(raw, np.array([0, len(raw)]), templates)[0]
+            assert [m["licence"] for m in out] == [name] and out[0]["coverage"] >= 0.85
+
+
+def test_overlapping_matches():
+    rng = random.Random(4)
+    for _ in range(300):
+        some = [(rng.randrange(9), {"licence": "x", "first": (s := rng.randrange(50)), "end": s + rng.randrange(1, 9), "coverage": rng.choice([0.8, 1.0])}) for _ in range(rng.randrange(12))]
+        kept = []
+        for _, m in sorted(some, key=lambda x: (-x[0], -x[1]["coverage"], x[1]["first"], x[1]["licence"])):
+            if all(m["end"] <= k["first"] or k["end"] <= m["first"] for k in kept):
+                kept.append(m)
+        assert licences._apart(some) == sorted(kept, key=lambda m: m["first"])

@@ -47,3 +47,27 @@ def test_edge_cases(spark):
     back = {r.doc_id: r.text for r in subwords.decode(subwords.encode(documents(spark), PIECES), PIECES).collect() if r.doc_id}
     assert back[8] == TEXTS[7][1] and back[3] == "" and back[6] == TEXTS[5][1]
     assert subwords.digests(subwords.encode(nothing(spark), PIECES)).collect() == []
+
+
+def test_every_batch_is_checked_with_the_library(monkeypatch):
+    import pytest
+
+    texts = [t or "" for _, t in TEXTS] + ["a  b\nc\n\nd   e", " lead", "trail ", "x\ty", "▁mark", "日本語\n日本語", "\n\n", "one\r\ntwo"]
+    model = subwords.Pieces(PIECES)
+    done = [model.encode(t) for t in texts]
+    assert model.fresh
+    model.check(texts, done)
+    assert not model.fresh
+    wrong = subwords.Pieces(PIECES)
+    monkeypatch.setattr(wrong, "merged", lambda chunk: list(chunk))  # no merge at all
+    done = [wrong.encode(t) for t in texts]
+    with pytest.raises(ValueError, match="otherwise"):
+        wrong.check(texts, done)
+
+
+def test_a_memory_that_is_full_of_long_chunks_changes_nothing(monkeypatch):
+    texts = ["日本語" * 400 + str(i) for i in range(20)]
+    want = [subwords.Pieces(PIECES).encode(t) for t in texts]
+    monkeypatch.setattr(subwords, "REMEMBERED_BYTES", 10_000)
+    model = subwords.Pieces(PIECES)
+    assert [model.encode(t) for t in texts] == want and model.used < 40_000
