@@ -14,6 +14,7 @@ encoded on its own; an empty table gives an empty table; other columns are ignor
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -26,7 +27,9 @@ from briefwright.llm.common import column
 
 SPACE = "▁"
 #: Chunks, and bytes of them, that a worker remembers; then it starts anew. A bound of memory only: results don't depend on it.
-REMEMBERED, REMEMBERED_BYTES = 600_000, 128 << 20
+REMEMBERED, REMEMBERED_BYTES = 400_000, 96 << 20
+#: Longer chunks, as whole paragraphs of texts without spaces, are hardly met twice and are not remembered.
+LONG = 64
 #: Chunks of up to so many characters have a list as agenda; NEVER is no rank.
 SHORT, NEVER = 48, 1 << 60
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -115,7 +118,6 @@ class Pieces:
             text.append(one[1])
         found = b"".join(ids), b"".join(text)
         self.fresh.append((chunk, *found))
-        self.used += 200 + 4 * len(chunk) + len(found[0]) + len(found[1])
         return found
 
     def check(self, texts: list[str], done: list[tuple[bytes, bytes]]) -> None:
@@ -125,19 +127,18 @@ class Pieces:
         # a mark in front is what the normaliser adds; a chunk from inside a line follows a line break, which stands alone
         alone = [(c[1:].replace(SPACE, " "), c, i, d) for c, i, d in fresh if c[:1] == SPACE]
         inside = [("\n" + c, c, i, d) for c, i, d in fresh if c[:1] != SPACE]
-        before = np.array(library.encode("\n"), "<u4").tobytes()
+        before = array("I", library.encode("\n")).tobytes()
         whole = bool(inside) and not self.alone
         for rows, prefix, lead in ((alone, b"", ""), (inside, before, SPACE + "\n")):
-            plain = library.normalize([t for t, *_ in rows]) if rows else []
-            able = [r for r, n in zip(rows, plain, strict=True) if n == lead + r[1]]
-            whole |= len(able) < len(rows)
-            for (_, c, i, d), ids in zip(able, library.encode([t for t, *_ in able]) if able else [], strict=True):
-                if np.array(ids, "<u4").tobytes() != prefix + i:
-                    raise ValueError(f"the library encodes otherwise: {c[:80]!r}")
-            back = library.decode([np.frombuffer(i, "<u4").tolist() for _, _, i, _ in able]) if able else []
-            for (_, c, _, d), text in zip(able, back, strict=True):
-                if text.encode() != (d[1:] if d[:1] == b" " else d):
-                    raise ValueError(f"the library decodes otherwise: {c[:80]!r}")
+            found = library.encode([t for t, *_ in rows]) if rows else []
+            back = library.decode(found) if rows else []
+            for (t, c, i, d), ids, text in zip(rows, found, back, strict=True):
+                d = prefix and b"\n" + d or d
+                if array("I", ids).tobytes() == prefix + i and text.encode() == (d[1:] if d[:1] == b" " else d):
+                    continue
+                if library.normalize(t) == lead + c:
+                    raise ValueError(f"the library encodes or decodes otherwise: {c[:80]!r}")
+                whole = True  # alone, the chunk is another one
         if whole:
             for text, (i, d), ids in zip(texts, done, library.encode(texts, add_bos=True, add_eos=True, num_threads=1), strict=True):
                 if np.array(ids, "<u4").tobytes() != i or library.decode(ids).encode() != d:
@@ -200,7 +201,9 @@ class _Chunks(dict):
             found = b"".join(p[0] for p in parts), b"".join(p[1] for p in parts)
         else:
             found = self.pieces.solve(chunk)
-        self[chunk] = found
+        if len(chunk) <= LONG:
+            self[chunk] = found
+            self.pieces.used += 200 + 6 * len(chunk) + len(found[0])
         return found
 
 
@@ -213,7 +216,10 @@ class _Words(dict):
     def __missing__(self, word: str) -> tuple[bytes, bytes]:
         if "\n" in word:  # rarely met twice
             return self.chunks.__missing__(SPACE + word)
-        found = self[word] = self.chunks.pieces.solve(SPACE + word)
+        found = self.chunks.pieces.solve(SPACE + word)
+        if len(word) <= LONG:
+            self[word] = found
+            self.chunks.pieces.used += 200 + 6 * len(word) + len(found[0])
         return found
 
 

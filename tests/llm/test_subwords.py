@@ -66,7 +66,7 @@ def test_every_batch_is_checked_with_the_library(monkeypatch):
 
 
 def test_a_memory_that_is_full_of_long_chunks_changes_nothing(monkeypatch):
-    texts = ["日本語" * 400 + str(i) for i in range(20)]
+    texts = ["日本語" * 400 + str(i) for i in range(20)] + [f"w{i} " + "é" * 40 + str(i) for i in range(300)]
     want = [subwords.Pieces(PIECES).encode(t) for t in texts]
     monkeypatch.setattr(subwords, "REMEMBERED_BYTES", 10_000)
     model = subwords.Pieces(PIECES)
