@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-from briefwright.lexicon import Lexicon, any_substring, constant, let, substring_hits, term_array
+from briefwright.lexicon import Lexicon, TermFinder, any_substring, constant, let, substring_hits, term_array
 
 EMPTY = F.lit  # readability: EMPTY("") is the empty string
 
@@ -102,9 +102,8 @@ TOKEN_PATTERN = r"([a-zA-Z][a-zA-Z0-9_+.-]{2,}|[一-鿿]{2,})"
 
 def tokens(text: Column, stopwords: Iterable[str]) -> Column:
     """Distinct Latin words and CJK runs of three or more characters, in order of first appearance."""
-    stop = term_array(stopwords)
     words = F.regexp_extract_all(F.lower(text_or_empty(text)), F.lit(TOKEN_PATTERN), F.lit(1))
-    kept = F.filter(words, lambda w: ~F.array_contains(stop, w))
+    kept = F.array_except(words, term_array(stopwords))  # by hash, and in order
     bare = F.transform(kept, lambda w: F.btrim(w, F.lit("._-")))
     return F.array_distinct(F.filter(bare, lambda w: F.length(w) >= 3))
 
@@ -145,16 +144,19 @@ NEGATED_NEXT_TOKEN_CJK = r"(?iu)(?:放弃|不再|不是|并非|无需).{0,12}预
 
 
 def route_signal(text: Column, lexicon: Lexicon) -> Column:
-    """The text is about an alternative to the mainstream scaling route."""
-    def decide(flat: Column, dense: Column) -> Column:
-        named = phrase_hits(flat, dense, lexicon["route_strong"]) > 0
-        in_context = any_substring(flat, lexicon["route_context"])
-        anchored = (phrase_hits(flat, dense, lexicon["route_phrase"]) >= 2) & (phrase_hits(flat, dense, ROUTE_ANCHORS) > 0)
-        negated = flat.rlike(NEGATED_NEXT_TOKEN) | flat.rlike(NEGATED_NEXT_TOKEN_CJK)
-        return named | (in_context & (anchored | negated))
-
-    one_line = F.regexp_replace(F.lower(text_or_empty(text)), r"(?U)\s+", " ")
-    return let(one_line, lambda flat: let(compact(flat), lambda dense: decide(flat, dense)))
+    """The text is about an alternative to the mainstream scaling route. All phrases are looked up in one pass over the text on one line
+    and over its compact form."""
+    strong, phrase, anchor = (list(dict.fromkeys(p.lower() for p in g)) for g in (lexicon["route_strong"], lexicon["route_phrase"], ROUTE_ANCHORS))
+    forms: dict[str, list[str]] = {}
+    for p in [*strong, *phrase, *anchor]:
+        forms.setdefault(_compact_term(p), []).append(p)
+    finder = TermFinder([*strong, *phrase, *anchor], forms)
+    context = TermFinder(lexicon["route_context"])
+    flat = F.regexp_replace(F.lower(text_or_empty(text)), r"(?U)\s+", " ")
+    found = finder.hits(flat, compact(flat))
+    anchored = (finder.count(found, phrase) >= 2) & (finder.count(found, anchor) > 0)
+    negated = flat.rlike(NEGATED_NEXT_TOKEN) | flat.rlike(NEGATED_NEXT_TOKEN_CJK)
+    return (finder.count(found, strong) > 0) | (context.any(context.hits(flat), lexicon["route_context"]) & (anchored | negated))
 
 
 def says_unrelated(text: Column) -> Column:

@@ -1,12 +1,19 @@
-"""Lexicon argument of the rules: default word lists, overlaid by the user's (group, term) rows."""
+"""Lexicon argument of the rules: default word lists, overlaid by the user's (group, term) rows.
+
+Rules with many terms look them up with one automaton (``TermFinder``): a text is read once, whatever the number of terms and groups.
+A table of any number of terms is joined (``lexicon_hits``).
+"""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import arrow_udf
 
 from briefwright.lexicons import TERMS, TOPIC_KEYWORDS
 
@@ -31,10 +38,11 @@ class Lexicon:
     @classmethod
     def from_table(cls, table: DataFrame, max_terms: int = 20_000) -> "Lexicon":
         """Overlay the defaults with a (group, term) table. The table is a dimension: its size is checked
-        before it is read to the driver, where it becomes literals of the plan."""
+        before it is read to the driver, where it becomes literals of the plan. A larger table stays a table: ``lexicon_hits`` finds
+        its terms by joins, with the same hits."""
         rows = table.select("group", "term").distinct().limit(max_terms + 1).collect()
         if len(rows) > max_terms:
-            raise ValueError(f"lexicon table has more than {max_terms} terms; use lexicon_hits_join instead")
+            raise ValueError(f"lexicon table has more than {max_terms} terms; lexicon_hits takes tables of any size")
         found: dict[str, list[str]] = {}
         for row in rows:
             found.setdefault(row["group"], []).append(row["term"])
@@ -76,3 +84,76 @@ def any_substring(text: Column, terms: Iterable[str]) -> Column:
 def token_hits(tokens: Column, terms: Iterable[str]) -> Column:
     """Number of distinct terms that are members of the token set."""
     return F.size(F.array_intersect(tokens, term_array(terms)))
+
+
+# --- many terms at once -----------------------------------------------------------------------------------
+
+
+@lru_cache(maxsize=16)
+def _automaton(words: tuple[tuple[str, tuple[int, ...]], ...]):
+    import ahocorasick
+
+    out = ahocorasick.Automaton()
+    for word, numbers in words:
+        out.add_word(word, numbers)
+    out.make_automaton()
+    return out
+
+
+class TermFinder:
+    """Numbers terms, and finds which of them a text holds: an automaton over all terms reads the text once, in Arrow batches. A term
+    counts wherever it stands, also inside a word or another term. ``forms`` are words of a second text, each with the terms that it stands for."""
+
+    def __init__(self, terms: Iterable[str], forms: Mapping[str, Iterable[str]] | None = None):
+        own, forms = sorted({t for t in terms if t}), {w: sorted(set(t)) for w, t in (forms or {}).items() if w}
+        self.number = {t: i for i, t in enumerate(sorted({*own, *[t for some in forms.values() for t in some]}))}
+        self.words = [tuple((t, (self.number[t],)) for t in own), tuple((w, tuple(self.number[t] for t in some)) for w, some in sorted(forms.items()))]
+
+    def hits(self, text: Column, second: Column | None = None) -> Column:
+        """array<int>: the numbers of the terms that are in the text, or have a form in the second one; each once."""
+        words = self.words
+
+        def search(columns: list[pa.Array]) -> pa.Array:
+            out: list[set[int]] = [set() for _ in range(len(columns[0]))]
+            for some, column in zip(words, columns, strict=False):
+                if not some:
+                    continue
+                find = _automaton(some).iter
+                for found, value in zip(out, column.to_pylist(), strict=True):
+                    if value:
+                        for _, numbers in find(value):
+                            found.update(numbers)
+            return pa.array([sorted(x) for x in out], pa.list_(pa.int32()))
+
+        def one(a: pa.Array) -> pa.Array:
+            return search([a])
+
+        def two(a: pa.Array, b: pa.Array) -> pa.Array:
+            return search([a, b])
+
+        return arrow_udf(one, "array<int>")(text) if second is None else arrow_udf(two, "array<int>")(text, second)
+
+    def numbers(self, terms: Iterable[str]) -> Column:
+        return constant([self.number[t] for t in dict.fromkeys(terms) if t], "array<int>")
+
+    def count(self, hits: Column, terms: Iterable[str]) -> Column:
+        """Number of distinct terms among the hits."""
+        return F.size(F.array_intersect(hits, self.numbers(terms)))
+
+    def any(self, hits: Column, terms: Iterable[str]) -> Column:
+        return F.arrays_overlap(hits, self.numbers(terms))
+
+
+def lexicon_hits(texts: DataFrame, table: DataFrame, id_col: str = "item_id", text_col: str = "text", gram: int = 4) -> DataFrame:
+    """(id, group, hits): how many distinct terms of each group of a (group, term) table of any size are in each text, for those that hold
+    any. The first ``gram`` characters of a term (all of a shorter one) are its key; the distinct runs of so many characters of the texts are joined
+    with the keys, and what meets is searched in the text. Empty terms count for nothing; a repeated id counts once per text."""
+    rows = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text <> ''").withColumn("h", F.xxhash64("text"))
+    terms = table.select("group", "term").where("term <> ''").distinct().withColumn("key", F.substring("term", 1, gram))
+    sizes = F.array(*[F.lit(n) for n in range(1, gram + 1)])
+    runs = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("text") - n + 1)), lambda i: F.substr("text", i, n))
+    grams = rows.select("id", "h", F.explode(F.array_distinct(F.flatten(F.transform(sizes, runs)))).alias("key"))
+    met = grams.join(terms, "key").select(F.col("id").alias("of"), F.col("h").alias("of_h"), "group", "term")
+    both = rows.join(met, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")))
+    found = both.where(F.contains("text", "term")).select("id", "h", "group", "term").distinct()
+    return found.groupBy("id", "h", "group").agg(F.count(F.lit(1)).cast("int").alias("hits")).select(F.col("id").alias(id_col), "group", "hits")

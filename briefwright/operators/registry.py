@@ -97,10 +97,20 @@ class Registry:
 def _bounded(df: DataFrame, max_rows: int):
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        raise ValueError(f"registry table has more than {max_rows} rows")
+        raise ValueError(f"registry table has more than {max_rows} rows; weights_by_join takes tables of any size")
     return rows
 
 
+def weights_by_join(items: DataFrame, weights: DataFrame, default: float = 1.0, id_col: str = "item_id") -> DataFrame:
+    """(id, weight) of every row, from a (key, weight) table of any size, which stays a table: the weight of the first candidate key of a source that the
+    table lists. ``Registry`` does the same with a table that fits into the plan. Of repeated keys the largest weight holds."""
+    keys = items.select(F.col(id_col).alias("id"), F.posexplode(source_candidates(F.col("source"), F.col("url"))).alias("place", "key")).distinct()
+    listed = registry_overlay(weights).groupBy("key").agg(F.max("weight").alias("weight"))
+    first = keys.join(listed, "key").groupBy("id").agg(F.min_by("weight", "place").alias("weight"))
+    rows = items.select(F.col(id_col).alias("of")).distinct()
+    return rows.join(first, F.col("of").eqNullSafe(F.col("id")), "left").select(F.col("of").alias(id_col), F.coalesce("weight", F.lit(float(default))).alias("weight"))
+
+
 def registry_overlay(weights: DataFrame) -> DataFrame:
     """Usable override rows: key normalised, weight a number."""
     return weights.select(

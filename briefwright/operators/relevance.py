@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from briefwright.functions import text as T
-from briefwright.lexicon import Lexicon, any_substring, constant_map, substring_hits, term_array, token_hits
+from briefwright.lexicon import Lexicon, TermFinder, any_substring, constant_map, substring_hits, term_array, token_hits
 from briefwright.operators.ranking import by_score, ranked
 from briefwright.policy import policy
 
@@ -61,12 +61,17 @@ def source_topic(source: Column) -> Column:
     return F.try_element_at(constant_map(SOURCE_TOPIC), source)
 
 
-def with_routing_text(items: DataFrame) -> DataFrame:
-    """Adds the search text and lower-case tags, computed once for all rules below."""
-    return items.withColumns({
+def _terms(lexicon: Lexicon) -> TermFinder:
+    return TermFinder([*lexicon["relevance_terms"], *lexicon["finance_relevant"]])
+
+
+def with_routing_text(items: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
+    """Adds the search text, lower-case tags and the terms in the text (``found``), computed once for all rules below."""
+    texts = items.withColumns({
         "search": T.search_text(F.col("source"), F.col("title"), F.col("content"), F.col("tags"), F.col("author"), F.col("extra")),
         "low_tags": F.transform(F.coalesce("tags", term_array([])), F.lower),
     })
+    return texts.withColumn("found", _terms(lexicon or Lexicon()).hits(F.col("search")))
 
 
 def _is_finance() -> Column:
@@ -74,7 +79,7 @@ def _is_finance() -> Column:
 
 
 def finance_is_relevant(lexicon: Lexicon) -> Column:
-    return _is_finance() & any_substring(F.col("search"), lexicon["finance_relevant"])
+    return _is_finance() & _terms(lexicon).any(F.col("found"), lexicon["finance_relevant"])
 
 
 def goes_to_investment(lexicon: Lexicon) -> Column:
@@ -85,7 +90,7 @@ def relevance(lexicon: Lexicon) -> Column:
     """Relevance in [0, 1], three decimals. Needs ``with_routing_text``."""
     text, tags, source = F.col("search"), F.col("low_tags"), F.col("source")
     tagged = F.arrays_overlap(tags, term_array(lexicon["relevance_tags"]))
-    hits = substring_hits(text, lexicon["relevance_terms"])
+    hits = _terms(lexicon).count(F.col("found"), lexicon["relevance_terms"])
     points = lambda condition, value: F.when(condition, F.lit(value)).otherwise(0.0)
     total = (
         points(T.route_signal(text, lexicon), 0.35)
@@ -106,7 +111,7 @@ def with_relevance(items: DataFrame, lexicon: Lexicon | None = None, overrides:
     """Adds ``relevance`` and ``route`` (kept, investment, filtered)."""
     lexicon = lexicon or Lexicon()
     settings = policy("prefilter", dict(overrides or {}))
-    staged = with_routing_text(items).withColumns({
+    staged = with_routing_text(items, lexicon).withColumns({
         "relevance": relevance(lexicon), "to_investment": goes_to_investment(lexicon)})
     kept = F.lit(True) if not settings["enabled"] else F.col("relevance") >= float(settings["min_score"])
     return staged.withColumn(
@@ -150,7 +155,7 @@ def with_topic(items: DataFrame, lexicon: Lexicon | None = None, overrides: Mapp
     parsed = F.try_parse_json("extra")
     given = lambda path, kind="string": F.try_variant_get(parsed, path, kind)
     valid = lambda value: F.when(F.trim(value).isin(*TOPICS), F.trim(value))
-    staged = with_routing_text(items).withColumns({
+    staged = with_routing_text(items, lexicon).withColumns({
         "_explicit": F.coalesce(*[valid(given(p)) for p in ("$.topic_classifier.topic", "$.ai_topic", "$.topic", "$.category")]),
         "_confidence": F.coalesce(F.nullif(given("$.topic_classifier.confidence", "double"), F.lit(0.0)), F.lit(1.0)),
         "_method": F.coalesce(F.nullif(given("$.topic_classifier.method"), F.lit("")), F.lit("explicit_override")),
@@ -200,7 +205,7 @@ def with_topic(items: DataFrame, lexicon: Lexicon | None = None, overrides: Mapp
         plain = F.coalesce("_by_tag", "_default")
         out = out.otherwise(_decision(plain["topic"], plain["confidence"], "legacy_deterministic", plain["reason"]))
     scratch = ["_explicit", "_confidence", "_method", "_reason", "_model", "_scores", "_by_tag", "_best", "_best_topic",
-               "_margin", "_default", "search", "low_tags"]
+               "_margin", "_default", "search", "low_tags", "found"]
     return staged.withColumn("topic_info", out).drop(*[c for c in scratch if c not in items.columns])
 
 

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from briefwright.functions import identity, text as T, urls as U
-from briefwright.lexicon import Lexicon, any_substring, constant, constant_map, let, substring_hits, token_hits
+from briefwright.lexicon import Lexicon, TermFinder, any_substring, constant, constant_map, let, substring_hits, term_array, token_hits
 from briefwright.operators.registry import Registry, is_discovered_primary, is_project_host, item_tier, item_weight
 from briefwright.policy import DIMENSIONS, policy
 
@@ -66,13 +66,13 @@ TEXT_MASKS = ("industrial_practice", "correction", "event_capability")
 MASK_TERMS = 63
 
 
-def _mask(terms: Sequence[str], present) -> Column:
-    """One bit per term that is present, in as many longs as the group needs."""
+def _mask(terms: Sequence[str], present: Column, number: Mapping[str, int] | None = None) -> Column:
+    """One bit per term that is present, in as many longs as the group needs. ``present`` are the group's terms in a row, or their numbers."""
     terms = list(terms)
 
     def one(part: Sequence[str]) -> Column:
-        bits = constant([{"term": t, "bit": 1 << i} for i, t in enumerate(part)], "array<struct<term:string,bit:bigint>>")
-        return F.aggregate(F.filter(bits, lambda x: present(x["term"])), F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(x["bit"]))
+        bits = constant([{"term": number[t] if number else t, "bit": 1 << i} for i, t in enumerate(part)], f"array<struct<term:{'int' if number else 'string'},bit:bigint>>")
+        return F.aggregate(F.filter(bits, lambda x: F.array_contains(present, x["term"])), F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(x["bit"]))
 
     return F.array(*[one(terms[i : i + MASK_TERMS]) for i in range(0, max(1, len(terms)), MASK_TERMS)])
 
@@ -88,8 +88,18 @@ def _union(group: str, lexicon: Lexicon) -> Column:
     return F.array(*[F.bit_or(F.col(f"m_{group}")[i]) for i in range(parts)]).alias(f"m_{group}")
 
 
-def _masker(terms: Sequence[str], test):
-    return lambda value: _mask(terms, test(value))
+#: Groups and lists whose terms are counted anywhere in the text of an item.
+TEXT_GROUPS = ("media_role", "media_knowledge", "generic_learning", "hard_evidence", "hard_evidence_infra", "event_cloud", "event_capital", "event_infra",
+               "event_open_model", "event_capability", "event_ship", "event_filing", "commentary", "community_practice", "major_release", "survey", "position",
+               "benchmark", *TEXT_MASKS)
+RELEASE_PHRASES = ["available today", "same price"]
+TEXT_LISTS = (RELEASE_PHRASES, CLOUD_ANCHORS, CAPITAL_ANCHORS, INFRA_ANCHORS, OPEN_MODEL_ANCHORS, FILING_ACTORS, CAPABILITY_ACTORS, CAPABILITY_ANCHORS,
+              CORRECTION_ANCHORS, PRODUCTION_ANCHORS, REPLICATION_ANCHORS)
+
+
+def text_terms(lexicon: Lexicon) -> TermFinder:
+    """One automaton for all terms that the signals of an item look for in its text."""
+    return TermFinder([t for g in TEXT_GROUPS for t in lexicon[g]] + [t for terms in TEXT_LISTS for t in terms])
 
 
 def _points(condition: Column, value: float, otherwise: float = 0.0) -> Column:
@@ -134,11 +144,13 @@ def with_item_signals(features: DataFrame, lexicon: Lexicon | None = None, ranki
     knobs = policy("ranking", dict(ranking or {}))
     c, text = F.col, F.col("text")
     source = F.lower(T.text_or_empty(c("source")))
-    hits = lambda group: substring_hits(text, lexicon[group])
+    finder, found = text_terms(lexicon), c("_found")
+    hits = lambda group: finder.count(found, lexicon[group])
+    holds = lambda terms: finder.any(found, terms)
     link_tier = registry.tier(F.lit(None).cast("string"), c("url"))
     account = F.lower(U.part(U.path_parts(c("url")), 1))
     stars = F.coalesce(F.nullif(T.extra_number(c("extra"), ["stars"]), F.lit(0.0)), F.coalesce("score", F.lit(0.0)))
-    staged = features.withColumns({
+    staged = features.withColumn("_found", finder.hits(text)).withColumns({
         "is_media": source.isin(*MEDIA_SOURCES) | c("host").isin(*MEDIA_HOSTS),
         "is_community": source.isin(*COMMUNITY_SOURCES) | c("host").isin(*COMMUNITY_HOSTS),
         "is_evidence": source.isin(*EVIDENCE_SOURCES) | c("host").isin(*EVIDENCE_HOSTS) | (link_tier == "T1"),
@@ -153,10 +165,10 @@ def with_item_signals(features: DataFrame, lexicon: Lexicon | None = None, ranki
         "n_cloud": hits("event_cloud"), "n_capital": hits("event_capital"), "n_infra": hits("event_infra"),
         "n_open": hits("event_open_model"), "n_capability": hits("event_capability"), "n_ship": hits("event_ship"),
         "n_filing": hits("event_filing"), "n_commentary": hits("commentary"), "n_practice": hits("community_practice"),
-        "n_facts": substring_hits(text, list(dict.fromkeys(
+        "n_facts": finder.count(found, list(dict.fromkeys(
             [*lexicon["event_cloud"], *lexicon["event_capital"], *lexicon["event_infra"], *lexicon["event_open_model"]]))),
-        "has_release_word": (token_hits(c("tokens"), RELEASE_WORDS) > 0) | any_substring(text, ["available today", "same price"]),
-        "has_major_term": any_substring(text, lexicon["major_release"]),
+        "has_release_word": (token_hits(c("tokens"), RELEASE_WORDS) > 0) | holds(RELEASE_PHRASES),
+        "has_major_term": holds(lexicon["major_release"]),
         "evergreen": U.is_repo_homepage(c("source"), c("title"), c("url")) & (stars >= float(knobs["evergreen_repo_star_threshold"])),
     })
     n = F.col
@@ -164,13 +176,13 @@ def with_item_signals(features: DataFrame, lexicon: Lexicon | None = None, ranki
                           + F.least(F.lit(1.5), _log_score() * 0.35))
     media_speaks = (n("n_actor") > 0) | (n("n_role") > 0) | (n("n_knowledge") >= 2)
     capability_event = (
-        (n("n_capability") >= 3) & (n("n_ship") >= 1) & any_substring(text, CAPABILITY_ACTORS) & any_substring(text, CAPABILITY_ANCHORS))
+        (n("n_capability") >= 3) & (n("n_ship") >= 1) & holds(CAPABILITY_ACTORS) & holds(CAPABILITY_ANCHORS))
     official_event = (
-        ((n("n_cloud") >= 2) & any_substring(text, CLOUD_ANCHORS))
-        | ((n("n_capital") >= 1) & ((n("money") > 0) | any_substring(text, CAPITAL_ANCHORS)))
-        | ((n("n_infra") >= 2) & ((n("power") > 0) | any_substring(text, INFRA_ANCHORS)))
-        | ((n("n_open") >= 2) & any_substring(text, OPEN_MODEL_ANCHORS))
-        | ((n("n_filing") >= 2) & any_substring(text, FILING_ACTORS))
+        ((n("n_cloud") >= 2) & holds(CLOUD_ANCHORS))
+        | ((n("n_capital") >= 1) & ((n("money") > 0) | holds(CAPITAL_ANCHORS)))
+        | ((n("n_infra") >= 2) & ((n("power") > 0) | holds(INFRA_ANCHORS)))
+        | ((n("n_open") >= 2) & holds(OPEN_MODEL_ANCHORS))
+        | ((n("n_filing") >= 2) & holds(FILING_ACTORS))
         | capability_event)
     tier_bonus = F.when(c("tier") == "T1", 1.4).when(c("tier") == "T1.5", 0.8).otherwise(0.4)
     official_value = F.least(
@@ -197,10 +209,9 @@ def with_item_signals(features: DataFrame, lexicon: Lexicon | None = None, ranki
     own_facts = (n("n_facts") >= 4) & (F.round(F.least(F.lit(10.0), n("s_media")), 2) >= 3.0)
     commentary = F.least(F.lit(4.0), n("n_commentary") * F.lit(0.7) + F.greatest(F.lit(0), F.lit(2) - n("n_facts")) * F.lit(0.4))
     number = lambda *names: T.extra_number(c("extra"), names)
-    in_tokens = lambda value: lambda term: F.array_contains(value, term)
-    in_text = lambda value: value.contains
-    masks = {f"m_{g}": let(c("tokens"), _masker(lexicon[g], in_tokens)) for g in TOKEN_MASKS}
-    masks |= {f"m_{g}": let(text, _masker(lexicon[g], in_text)) for g in TEXT_MASKS}
+    token_mask = lambda g: let(F.array_intersect("tokens", term_array(lexicon[g])), lambda own: _mask(lexicon[g], own))
+    masks = {f"m_{g}": token_mask(g) for g in TOKEN_MASKS}
+    masks |= {f"m_{g}": _mask(lexicon[g], found, finder.number) for g in TEXT_MASKS}
     return staged.withColumns({
         "s_commentary": F.when((n("is_media") | n("is_community")) & (n("n_commentary") > 0) & ~own_facts, commentary).otherwise(0.0),
         "heat_value": F.when(n("evergreen"), F.least(c("score"), F.lit(float(knobs["evergreen_repo_heat_cap"])))).otherwise(
@@ -213,13 +224,13 @@ def with_item_signals(features: DataFrame, lexicon: Lexicon | None = None, ranki
             number("likes", "like_count", "upvotes"),
             number("stars", "github_stars") * 1.2,
             number("downloads", "hf_downloads") * 0.05),
-        "f_survey": any_substring(text, lexicon["survey"]), "f_position": any_substring(text, lexicon["position"]),
-        "f_benchmark": any_substring(text, lexicon["benchmark"]), "f_replication": any_substring(text, REPLICATION_ANCHORS),
-        "f_correction": any_substring(text, CORRECTION_ANCHORS), "f_production": any_substring(text, PRODUCTION_ANCHORS),
+        "f_survey": holds(lexicon["survey"]), "f_position": holds(lexicon["position"]),
+        "f_benchmark": holds(lexicon["benchmark"]), "f_replication": holds(REPLICATION_ANCHORS),
+        "f_correction": holds(CORRECTION_ANCHORS), "f_production": holds(PRODUCTION_ANCHORS),
         "f_frontier": (c("release_id") != "") & n("has_major_term"),
         "f_official_release": n("is_official") & n("has_release_word"),
         **masks,
-    })
+    }).drop("_found")
 
 
 ITEM_SIGNALS = ("s_media", "s_learning", "s_official", "s_evidence", "s_practice", "s_commentary")

@@ -21,7 +21,7 @@ def evaluate(items: DataFrame, lexicon: Lexicon | None = None, overrides: Mappin
              ranking: Mapping[str, Any] | None = None, registry: Registry | None = None, cluster_top: int | None = None) -> DataFrame:
     """One row per day (``dt``) with counts and metrics. All rows are clustered; ``cluster_top`` limits them per day if it is given."""
     lexicon = lexicon or Lexicon()
-    routed = cut_lineage(with_relevance(items, lexicon, overrides).drop("search", "low_tags", "to_investment"))
+    routed = cut_lineage(with_relevance(items, lexicon, overrides).drop("search", "low_tags", "found", "to_investment"))
     routed = routed.withColumn("labels", negative_labels(F.col("route"), lexicon))
     by = ["dt"]
     kept = routed.where("route = 'kept'")

@@ -72,7 +72,7 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     pick = lambda values, key: F.expr(f"{_array(values)}[{key}]")
     rows = rows.withColumns({
         "source": pick(NAMES, "idx"), "phrase": pick(PHRASES, f"cast(doc_id % {len(PHRASES)} as int)"),
-        "first_line": F.substring(F.substring_index("text", "\n", 1), 1, 120)})
+        "first_line": F.substring_index("text", "\n", 1)})
     tail = F.expr("""case when idx = 0 and doc_id % 40 = 0 then concat('/releases/tag/v', doc_id % 3, '.', doc_id % 7, '.', doc_id % 5)
                           when idx = 0 then '' when idx = 1 then concat('/comments/', doc_id)
                           when idx = 13 then concat('/status/', doc_id) else '' end""")
@@ -113,7 +113,7 @@ ITEMS = f"""items AS (
           TIMESTAMP '2024-01-01 00:00:00' + to_seconds(d.doc_id * 104729 % 2592000) AS ts, {_list(EVENT_TYPES)}[d.doc_id * 31 % 7 % {len(EVENT_TYPES)} + 1] AS event_type,
           CAST(d.doc_id * 7919 % 1000003 AS DOUBLE) / 5000.0::DOUBLE AS value,
           {_list(NAMES)}[CAST(substr(d.source, 4) AS INT) + 1] AS source, {_list(PHRASES)}[d.doc_id % {len(PHRASES)} + 1] AS phrase,
-          substr(split_part(d.text, chr(10), 1), 1, 120) AS first_line
+          split_part(d.text, chr(10), 1) AS first_line
         FROM documents d))"""
 
 

@@ -123,10 +123,10 @@ def higher(spark, sf):
     return numbered(P.higher_period_lines(P.compact_months(keyed), "quarterly"), ["period_key"])
 
 
-def reports(spark, sf, chars=None):
-    """Daily reports written from the documents, whole or so many characters: sections, bullets with links, follow-up lines."""
+def reports(spark, sf):
+    """Daily reports written from the documents: sections, bullets with links, follow-up lines."""
     d = table(spark, sf, "documents")
-    text = F.substring("text", 1, chars) if chars else F.coalesce("text", F.lit(""))
+    text = F.coalesce("text", F.lit(""))
     n = F.col("doc_id").cast("string")
     line = F.concat_ws("\n", F.lit("# Digest\n## 1. Today's Top Headlines\n\n> note"),
                        F.concat(F.lit("- **["), text, F.lit("](https://a.example/"), (F.col("doc_id") % 300).cast("string"), F.lit(")** （来源）")),
@@ -135,18 +135,35 @@ def reports(spark, sf, chars=None):
     return d.select(F.concat(F.lit("digest-2026-01-01-"), F.lpad(n, 8, "0"), F.lit(".md")).alias("report_id"), F.translate(line, "[]", "[]").alias("markdown"), "doc_id", "text", "source")
 
 
-CASES = """lines AS (SELECT doc_id, 'digest-2026-01-01-' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.md' AS report_id, source, substr(text, 1, 30) AS head FROM documents WHERE NOT contains(substr(text, 1, 30), chr(10)) AND NOT regexp_matches(substr(text, 1, 30), '[\\[\\]`*()（）：:链原讨详技更]'))"""
-
-
-@query("st34_case_extraction", f"""WITH {CASES} SELECT report_id, 'Second ' || source || ' item' AS title, 'https://b.example/' || doc_id AS url, '1. Today''s Top Headlines' AS section, '  ' AS pad, '提示：later hint' AS snippet FROM lines""")
+URLS = r"https?://[^\s\x{3000})）\]】,，;；]+"
+CASES = rf"""md AS (SELECT 'digest-2026-01-01-' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.md' AS report_id, concat_ws(chr(10), '# Digest', '## 1. Today''s Top Headlines', '', '> note',
+      '- **[' || coalesce(text, '') || '](https://a.example/' || (doc_id % 300) || ')** （来源）', '  - 摘要：short words here', '2. Second ' || source || ' item', '  - 原文：https://b.example/' || doc_id || '。',
+      '  - 提示：later hint', '### Platform Statistics', '- stats https://c.example/' || doc_id, '| table |', '## 2. More', '- no link here', '- 原文：https://d.example/1') AS md FROM documents),
+    split AS (SELECT report_id, regexp_split_to_array(md, '\r\n|[\n\x0B\f\r\x{{85}}\x{{2028}}\x{{2029}}]') AS l FROM md),
+    raw AS (SELECT report_id, unnest(l) AS raw, unnest(range(len(l))) AS ord FROM split),
+    bare AS (SELECT *, rtrim(raw, ' ') AS line, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS bare FROM raw),
+    kinds AS (SELECT *, starts_with(bare, '## ') OR starts_with(bare, '### ') AS is_section, regexp_matches(line, '^\s*(?:- |\d+\.\s+)') AND NOT regexp_matches(line, '^\s{{2,}}-\s+') AS is_top FROM bare WHERE bare <> ''),
+    parts AS (SELECT *, coalesce(last_value(CASE WHEN is_section THEN regexp_replace(regexp_replace(bare, '^#{{2,3}} ', ''), '^\s+|\s+$', '', 'g') END IGNORE NULLS) OVER w, '') AS section,
+      sum(CASE WHEN is_section OR is_top THEN 1 ELSE 0 END) OVER w AS part,
+      coalesce(list_filter(list_transform(regexp_extract_all(bare, '{URLS}'), lambda u: rtrim(u, '),.，。;；]）')), lambda u: u <> '')[1], '') AS link FROM kinds WINDOW w AS (PARTITION BY report_id ORDER BY ord)),
+    marked AS (SELECT *, NOT is_top AND link <> '' AND regexp_matches(bare, '原文|链接|作者|详见|详情') AS is_link, NOT is_top AND regexp_matches(bare, '摘要：|提示：|总结|简述') AS is_snippet
+      FROM parts WHERE NOT is_section AND NOT starts_with(bare, '|')),
+    grouped AS (SELECT report_id, section, part, min(ord) FILTER (is_top) AS pos, max(bare) FILTER (is_top) AS head, max(link) FILTER (is_top) AS own, arg_min(link, ord) FILTER (is_link) AS later,
+      min(ord) FILTER (is_link) AS later_ord, list({{'o': ord, 't': regexp_replace(bare, '^[-*]\s*', '')}} ORDER BY ord) FILTER (is_snippet) AS snippets FROM marked GROUP BY ALL),
+    t1 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(head, '^[-*]\s+', ''), '^\d+\.\s*', ''), '\[([^\]]+)\]\((https?://[^)]+)\)', '\1', 'g'), 'https?://\S+', '', 'g') AS t FROM grouped WHERE pos IS NOT NULL),
+    t2 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(replace(replace(t, '**', ''), '`', ''), '^高亮[:：]?\s*', ''), '(原文|链接|讨论|详情|技术报告|Link|更多信息)[:：].*$', '', 'i'), '(—\s*Link|。链接|链接)$', '', 'i') AS u FROM t1),
+    t3 AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(u, '（[^（）]{{1,20}}）$', ''), '\([^()]{{1,20}}\)$', ''), '\s+', ' ', 'g'), ' -：:;；，。,') AS title,
+      CASE WHEN own <> '' THEN own ELSE coalesce(later, '') END AS url FROM t2),
+    cases AS (SELECT report_id, CAST(pos AS INT) AS pos, title, url, section, coalesce(list_filter(snippets, lambda s: own <> '' OR later_ord IS NULL OR s.o <> later_ord)[1].t, '') AS snippet FROM t3
+      WHERE title <> '' AND url <> '' AND NOT starts_with(lower(section), 'platform statistics') AND NOT regexp_matches(title, '^(?:原文：|链接：|链接/作者：|作者/链接：|提示：|摘要：)'))"""
+
+
+@query("st34_case_extraction", f"WITH {CASES} SELECT report_id, title, url, section, snippet FROM cases")
 def cases(spark, sf):
-    r = reports(spark, sf, 30)  # SQL says the plain cases only; the next query has all of them
-    ok = ~F.substring("text", 1, 30).contains("\n") & ~F.substring("text", 1, 30).rlike(r"[\[\]`*()（）：:链原讨详技更]")
-    found = M.extract_cases(r.where(ok))
-    return found.where(F.col("title").startswith("Second ")).select("report_id", "title", "url", "section", F.lit("  ").alias("pad"), "snippet")
+    return M.extract_cases(reports(spark, sf)).select("report_id", "title", "url", "section", "snippet")
 
 
-@query("st34_case_extraction_whole")
+@query("st34_case_extraction_whole", f"WITH {CASES} SELECT report_id, pos, title, url, section, snippet FROM cases")
 def whole_cases(spark, sf):
     return M.extract_cases(reports(spark, sf)).select("report_id", "pos", "title", "url", "section", "snippet")
 
