@@ -8,7 +8,7 @@ from briefwright.operators import aggregates as A, relevance as V, usage as G
 from briefwright.operators.filters import engagement_rate
 from catalog.base import any_of, host, items, parts, query, s, table, with_items
 from catalog.filters import RELEVANT, REASON, AD_RULES
-from catalog.joins import price_table, weight_sql
+from catalog.joins import PRICES, price_table, weight_sql
 
 L = Lexicon()
 
@@ -69,8 +69,9 @@ def engagement(spark, sf):
     return items(spark, sf).select("item_id", engagement_rate(F.col("extra"), F.col("score")).alias("rate"))
 
 
-USAGE = """u AS (SELECT conv_id, turn, 'm' || (conv_id % 15) AS model, role AS source, length(text) AS i, least(length(text), conv_id % 400) AS c, turn AS w, turn * 10 AS o FROM conversations),
-  e AS (SELECT *, i + o AS t FROM u)"""
+USAGE = PRICES + """, u AS (SELECT conv_id, turn, 'm' || (conv_id % 15) AS model, role AS source, length(text) AS i, least(length(text), conv_id % 400) AS c, turn AS w, turn * 10 AS o FROM conversations),
+  e AS (SELECT u.*, i + o AS t, coalesce((greatest(i - least(c, i), 0) * input + least(c, i) * CASE WHEN cache_read > 0 THEN cache_read ELSE input END + w * input + o * output) / 1000000.0::DOUBLE, 0) AS cost,
+    coalesce(input > 0, false) AS known FROM u LEFT JOIN prices USING (model))"""
 
 
 def _entries(spark, sf):
@@ -81,17 +82,23 @@ def _entries(spark, sf):
     return G.with_cost(entries, price_table(spark, sf))
 
 
-@query("ag08_usage_rollup", f"""WITH {USAGE}, x AS (SELECT model, source, i, c, w, o, t FROM e)
+@query("ag08_usage_rollup", f"""WITH {USAGE}, x AS (SELECT model, source, i, c, w, o, t, cost, known FROM e)
     SELECT CASE WHEN grouping(model) = 0 THEN 'model' WHEN grouping(source) = 0 THEN 'source' ELSE 'total' END AS level, coalesce(model, source, 'total') AS name, count(*) AS calls,
-      CAST(sum(i) AS BIGINT) AS input_tokens, CAST(sum(c) AS BIGINT) AS cached_input_tokens, CAST(sum(w) AS BIGINT) AS cache_write_tokens, CAST(sum(o) AS BIGINT) AS output_tokens, CAST(sum(t) AS BIGINT) AS total_tokens
+      CAST(sum(i) AS BIGINT) AS input_tokens, CAST(sum(c) AS BIGINT) AS cached_input_tokens, CAST(sum(w) AS BIGINT) AS cache_write_tokens, CAST(sum(o) AS BIGINT) AS output_tokens, CAST(sum(t) AS BIGINT) AS total_tokens, round(sum(cost), 8) AS cost_usd, bool_or(known) AS price_known
     FROM x GROUP BY GROUPING SETS ((model), (source), ())""")
 def rollup(spark, sf):
-    return G.usage_rollup(_entries(spark, sf)).drop("cost_usd", "price_known")
+    return G.usage_rollup(_entries(spark, sf))
 
 
-@query("ag09_usage_summary", f"WITH {USAGE} SELECT count(*) AS calls, CAST(sum(t) AS BIGINT) AS total_tokens FROM e")
+@query("ag09_usage_summary", f"""WITH {USAGE}, f AS (SELECT * FROM e WHERE i % 2 = 0)
+    SELECT CASE WHEN grouping(model) = 0 THEN 'model' WHEN grouping(source) = 0 THEN 'source' ELSE 'total' END AS level, coalesce(model, source, 'total') AS name, count(*) AS calls,
+      CAST(sum(t) AS BIGINT) AS total_tokens, round(sum(cost), 8) AS cost_usd, bool_or(known) AS price_known, 0 AS empty FROM f GROUP BY GROUPING SETS ((model), (source), ())
+    UNION ALL SELECT 'total', 'total', 0, 0, 0, false, 1""")
 def summary(spark, sf):
-    return G.usage_summary(_entries(spark, sf)).where("level = 'total'").select("calls", "total_tokens")
+    """Tasks of even input, and a second summary without any task."""
+    entries = _entries(spark, sf)
+    shown = lambda df, n: df.select("level", "name", "calls", "total_tokens", "cost_usd", "price_known", F.lit(n).alias("empty"))
+    return shown(G.usage_summary(entries.where("input_tokens % 2 = 0")), 0).unionByName(shown(G.usage_summary(entries.where("input_tokens < 0")), 1))
 
 
 FB = "fb AS (SELECT doc_id, 'q' || quality AS label, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'r' || toxic END AS rq, CAST(quality * 3 + doc_id % 3 AS DOUBLE) AS rating, ['i' || (doc_id % 4), CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'odd' END] AS issues, 'a' || (doc_id % 5) AS act FROM labels)"
@@ -196,9 +203,9 @@ def category_signals(spark, sf):
     return A.category_signals(items(spark, sf).withColumn("category", F.col("source")), ["dt"])
 
 
-@query("ag27_usage_record", f"WITH {USAGE} SELECT model, i AS input_tokens, c AS cached_input_tokens, w AS cache_write_tokens, o AS output_tokens, t AS total_tokens FROM e")
+@query("ag27_usage_record", f"WITH {USAGE} SELECT model, i AS input_tokens, c AS cached_input_tokens, w AS cache_write_tokens, o AS output_tokens, t AS total_tokens, round(cost, 9) AS cost_usd, known AS price_known FROM e WHERE i > 0 OR c > 0 OR w > 0 OR o > 0")
 def usage_record(spark, sf):
     u = table(spark, sf, "conversations")
     raw = u.select(F.concat(F.lit("m"), F.col("conv_id") % 15).alias("model"), F.parse_json(F.to_json(F.struct(
         F.length("text").alias("prompt_tokens"), F.least(F.length("text").cast("bigint"), F.col("conv_id") % 400).alias("cacheRead"), F.col("turn").alias("cache_write"), (F.col("turn") * 10).alias("output")))).alias("usage"))
-    return G.usage_records(raw, price_table(spark, sf)).select("model", *G.COUNTS)
+    return G.usage_records(raw, price_table(spark, sf)).select("model", *G.COUNTS, F.round("cost_usd", 9).alias("cost_usd"), "price_known")

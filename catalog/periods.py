@@ -7,7 +7,7 @@ from briefwright.lexicon import Lexicon
 from briefwright.operators import aggregates as A, themes as H
 from briefwright.plans import periods as P
 from briefwright.plans.reports import numbered
-from catalog.base import items, query, table, with_items
+from catalog.base import _list, items, query, table, with_items
 from catalog.scalars import entity_sql, keywords_sql
 
 L = Lexicon()
@@ -168,12 +168,20 @@ def whole_cases(spark, sf):
     return M.extract_cases(reports(spark, sf)).select("report_id", "pos", "title", "url", "section", "snippet")
 
 
-@query("ag22_period_keywords")
+STOP = _list(sorted({t.lower() for t in L["report_stop"]}))
+WORDS = "list_filter(regexp_extract_all({0}, '([A-Za-z][A-Za-z0-9.+-]{{2,}}|[一-鿿]{{2,}})', 1), lambda w: NOT list_contains(" + STOP.replace("{", "{{").replace("}", "}}") + ", lower(w)))"
+COUNTS = f"""{CASES}, spoken AS (SELECT report_id, pos, unnest(w) AS word, unnest(range(len(w))) AS place FROM (SELECT report_id, pos, {WORDS.format("concat_ws(' ', title, snippet, section)")} AS w FROM cases)),
+    counts AS (SELECT word, count(*) AS n, min({{'r': report_id, 'p': pos, 'a': place}}) AS first_seen FROM spoken GROUP BY word)"""
+
+
+@query("ag22_period_keywords", f"WITH {COUNTS} SELECT word, n FROM counts ORDER BY n DESC, first_seen LIMIT 8")
 def period_keywords(spark, sf):
     return A.report_keyword_counts(M.extract_cases(reports(spark, sf)), L).orderBy(F.col("n").desc(), "first_seen").limit(8).select("word", "n")
 
 
-@query("wn13_case_score")
+@query("wn13_case_score", f"""WITH {COUNTS}, one AS (SELECT * FROM cases QUALIFY row_number() OVER (PARTITION BY url ORDER BY report_id, pos) = 1),
+    totals AS (SELECT url, sum(n) AS total FROM (SELECT url, unnest({WORDS.format("concat_ws(' ', title, snippet)")}) AS word FROM one) JOIN counts USING (word) GROUP BY url)
+    SELECT report_id, title, CAST(coalesce(total, 0) + CASE WHEN starts_with(section, '1.') THEN 2 ELSE 0 END AS BIGINT) AS case_score FROM one LEFT JOIN totals USING (url)""")
 def case_score(spark, sf):
     found = M.extract_cases(reports(spark, sf))
     return A.score_cases(found, A.report_keyword_counts(found, L), L).select("report_id", "title", "case_score")

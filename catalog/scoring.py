@@ -186,12 +186,17 @@ def dimensions(spark, sf):
     return scored(spark, sf).select("event", *[c(f"dimensions.{d}").alias(d) for d in DIMENSIONS])
 
 
-@query("sr06_external_dimension_check", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN round(least(10::DOUBLE, doc_id % 17), 2) ELSE -1.0 END AS novelty FROM documents""")
+EXTERNAL = ", ".join(f"CASE WHEN doc_id % 3 = 0 THEN round(least(10::DOUBLE, greatest(0::DOUBLE, (doc_id % 17 - {k}) * 1.5::DOUBLE)), 2) ELSE -1.0 END AS {d}" for k, d in enumerate(DIMENSIONS))
+
+
+@query("sr06_external_dimension_check", f"SELECT doc_id, {EXTERNAL} FROM documents")
 def external(spark, sf):
-    doc = F.to_json(F.struct(*[(c("doc_id") % 17).alias(d) for d in DIMENSIONS]))
+    """A third of the documents has all dimensions, some below 0 or above 10; a third lacks some, a third has none: both fall back."""
+    doc = F.to_json(F.struct(*[((c("doc_id") % 17 - k) * 1.5).alias(d) for k, d in enumerate(DIMENSIONS)]))
     raw = F.when(c("doc_id") % 3 == 0, doc).when(c("doc_id") % 3 == 1, '{"novelty": 4}')
     fallback = F.struct(*[F.lit(-1.0).alias(d) for d in DIMENSIONS])
-    return table(spark, sf, "documents").select("doc_id", S.checked_dimensions(raw, fallback)["novelty"].alias("novelty"))
+    checked = table(spark, sf, "documents").select("doc_id", S.checked_dimensions(raw, fallback).alias("d"))
+    return checked.select("doc_id", *[c(f"d.{d}").alias(d) for d in DIMENSIONS])
 
 
 @query("sr16_paper_quality")
