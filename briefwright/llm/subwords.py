@@ -26,10 +26,13 @@ from pyspark.sql import DataFrame, functions as F
 from briefwright.llm.common import column
 
 SPACE = "▁"
-#: Chunks, and bytes of them, that a worker remembers; then it starts anew. A bound of memory only: results don't depend on it.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 96 << 20
+#: Chunks, and bytes of them, that a generation of a worker's memory holds; then the generation before it is forgotten, and what is met
+#: again moves to the new one. A bound of memory only: results don't depend on it.
+REMEMBERED, REMEMBERED_BYTES = 100_000, 24 << 20
 #: Longer chunks, as whole paragraphs of texts without spaces, are hardly met twice and are not remembered.
 LONG = 64
+#: Chunks solved after which they are checked, so that what the library returns for them stays small.
+CHECKED = 2048
 #: Chunks of up to so many characters have a list as agenda; NEVER is no rank.
 SHORT, NEVER = 48, 1 << 60
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -130,8 +133,8 @@ class Pieces:
         before = array("I", library.encode("\n")).tobytes()
         whole = bool(inside) and not self.alone
         for rows, prefix, lead in ((alone, b"", ""), (inside, before, SPACE + "\n")):
-            found = library.encode([t for t, *_ in rows]) if rows else []
-            back = library.decode(found) if rows else []
+            found = library.encode([t for t, *_ in rows], num_threads=1) if rows else []
+            back = library.decode(found, num_threads=1) if rows else []
             for (t, c, i, d), ids, text in zip(rows, found, back, strict=True):
                 d = prefix and b"\n" + d or d
                 if array("I", ids).tobytes() == prefix + i and text.encode() == (d[1:] if d[:1] == b" " else d):
@@ -147,8 +150,9 @@ class Pieces:
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids (little-endian, unsigned, 32 bits) with begin and end ids, and the text they decode to."""
         if max(len(self.chunks), len(self.words)) > REMEMBERED or self.used > REMEMBERED_BYTES:
-            self.chunks.clear()
-            self.words.clear()
+            for memory in (self.chunks, self.words):
+                memory.old = dict(memory)
+                memory.clear()
             self.used = 0
         plain = self.library.normalize(text)
         if plain.startswith(SPACE) and SPACE + SPACE not in plain and not plain.endswith(SPACE):
@@ -194,9 +198,12 @@ def _utf8(run: bytes) -> str:
 class _Chunks(dict):
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
+        self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def __missing__(self, chunk: str) -> tuple[bytes, bytes]:
-        if self.pieces.alone and "\n" in chunk and len(chunk) > 1:
+        if (found := self.old.get(chunk)) is not None:
+            pass
+        elif self.pieces.alone and "\n" in chunk and len(chunk) > 1:
             parts = [self[p] for p in re.findall("\n|[^\n]+", chunk)]
             found = b"".join(p[0] for p in parts), b"".join(p[1] for p in parts)
         else:
@@ -212,11 +219,12 @@ class _Words(dict):
 
     def __init__(self, chunks: _Chunks):
         self.chunks = chunks
+        self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def __missing__(self, word: str) -> tuple[bytes, bytes]:
         if "\n" in word:  # rarely met twice
             return self.chunks.__missing__(SPACE + word)
-        found = self.chunks.pieces.solve(SPACE + word)
+        found = self.old.get(word) or self.chunks.pieces.solve(SPACE + word)
         if len(word) <= LONG:
             self[word] = found
             self.chunks.pieces.used += 200 + 6 * len(word) + len(found[0])
@@ -238,9 +246,12 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                done = [model.encode(t) for t in texts]
-                if check:
-                    model.check(texts, done)
+                done, first_open = [], 0
+                for k, text in enumerate(texts, 1):
+                    done.append(model.encode(text))
+                    if check and (len(model.fresh) >= CHECKED or k == len(texts)):
+                        model.check(texts[first_open:k], done[first_open:k])
+                        first_open = k
                 model.fresh.clear()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(i) // 4 for i, _ in done], pa.int64()), pa.array([i for i, _ in done], pa.binary()),
