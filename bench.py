@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "flow_clean_top_items", "fl17_three_way_route", "ag08_usage_rollup", "jn01_seen_anti_join", "wn04_event_rank", "st13_entities",
     "nr01_x_list_tweets", "sr19_event_score", "cl03_theme_clustering", "rp09_monthly_report_lines",
+    "cl01_deduplicate", "rp03_size_bounded_chunks",
 ]
 
 
