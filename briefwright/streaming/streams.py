@@ -93,6 +93,7 @@ def run_to_completion(stream: DataFrame, folder: str, mode: str = "append") -> D
     if mode == "append":
         query = writer.format("parquet").option("path", out).start()
     else:
+        spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(out)  # a table without rows makes no batch
         query = writer.foreachBatch(lambda rows, batch: rows.write.mode("overwrite").parquet(out)).start()
     query.awaitTermination()
     if query.exception() is not None:

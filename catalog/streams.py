@@ -9,7 +9,8 @@ from catalog.base import query
 
 def _stream(spark, sf, name):
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    # as a pattern, the path may be one file or a folder of files
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 def _drain(spark, df, mode):

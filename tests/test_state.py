@@ -42,3 +42,21 @@ def test_once_ever(spark, tmp_path):
         out = streams.run_to_completion(state.first_ever(streams.landed_items(spark, f"{folder}/landing", schema=schema), seen), folder)
     assert sorted((r.content_hash or "", r.url) for r in out.collect()) == [("", "3"), ("a", "0"), ("b", "4"), ("c", "6")]
     assert out.where(F.col("content_hash") == "old").count() == 0
+
+
+def test_streamed_table_is_a_file_a_folder_or_empty(spark, tmp_path):
+    from catalog import load
+
+    weekly = load().QUERIES["ss3_weekly_term_counts"]
+    docs = [(k, "a b" if k % 2 else "a c a") for k in range(6)]
+    want = sorted([("a", 6), ("b", 3), ("c", 3)])
+    folder, single, empty = (str(tmp_path / n) for n in ("folder", "single", "empty"))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    frame.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    frame.coalesce(1).write.parquet(f"{single}/parts")
+    part = next((tmp_path / "single" / "parts").glob("*.parquet"))
+    (tmp_path / "single" / "documents.parquet").write_bytes(part.read_bytes())
+    frame.limit(0).write.parquet(f"{empty}/documents.parquet")
+    for sf, rows in ((folder, want), (single, want), (empty, [])):
+        found = weekly(spark, sf).groupBy("term").agg(F.sum("n").alias("n"))
+        assert sorted((r.term, r.n) for r in found.collect()) == rows, sf
