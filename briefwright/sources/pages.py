@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from briefwright.functions import text as T
@@ -62,26 +62,41 @@ class _Nodes(HTMLParser):
 
 
 NODE_DDL = "ord INT, parent INT, path ARRAY<INT>, tag STRING, id STRING, cls STRING, href STRING, text STRING"
-_NODE_NAMES = ["ord", "parent", "path", "tag", "id", "cls", "href", "text"]
+_NODE_TYPES = {"ord": pa.int32(), "parent": pa.int32(), "path": pa.list_(pa.int32()), "tag": pa.string(), "id": pa.string(), "cls": pa.string(),
+               "href": pa.string(), "text": pa.string()}
+#: Nodes, and characters of their text, that one Arrow batch holds at most, but for the last page in it.
+BATCH_NODES, BATCH_CHARS = 20_000, 4_000_000
 
 
 def page_nodes(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """One row per element and text piece of a page, in document order: place, parent, ancestors, tag, id,
-    class, link and the stripped text below it."""
+    class, link and the stripped text below it. The nodes of many pages go out in one batch of bounded size."""
     key_type = dict(pages.dtypes)[key]
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for page, source in zip(pdf[key], pdf[html]):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, owners, nodes, chars = batch.column(0), [], [], 0
+
+            def out() -> pa.RecordBatch:
+                columns = [pa.array([n[c] for n in nodes], kind) for c, kind in _NODE_TYPES.items()]
+                return pa.RecordBatch.from_arrays([keys.take(pa.array(owners, pa.int64())), *columns], [key, *_NODE_TYPES])
+
+            for owner, source in enumerate(batch.column(1)):
                 parser = _Nodes()
-                parser.feed(source or "")
+                parser.feed(source.as_py() or "")
                 parser.close()
-                frame = pd.DataFrame(parser.rows, columns=["ord", "parent", "path", "tag", "id", "cls", "href", "bits"])
-                frame["text"] = frame["bits"].map("".join)
-                frame.insert(0, key, page)
-                yield frame[[key, *_NODE_NAMES]]
-
-    return pages.select(key, html).mapInPandas(read, f"`{key}` {key_type}, {NODE_DDL}")
+                for node in parser.rows:
+                    node["text"] = "".join(node.pop("bits"))
+                    chars += len(node["text"])
+                nodes += parser.rows
+                owners += [owner] * len(parser.rows)
+                if len(nodes) >= BATCH_NODES or chars >= BATCH_CHARS:
+                    yield out()
+                    owners, nodes, chars = [], [], 0
+            if nodes:
+                yield out()
+
+    return pages.select(key, html).mapInArrow(read, f"`{key}` {key_type}, {NODE_DDL}")
 
 
 def _to_here(key: str) -> Window:
