@@ -11,6 +11,7 @@ from briefwright.functions import text as T
 from briefwright.lexicon import Lexicon, TermFinder, any_substring, constant_map, substring_hits, term_array, token_hits
 from briefwright.operators.ranking import by_score, ranked
 from briefwright.policy import policy
+from briefwright.session import cut_lineage
 
 # Topics in order, and the sources that belong to each.
 TOPIC_SOURCES = {
@@ -62,7 +63,7 @@ def source_topic(source: Column) -> Column:
 
 
 def _terms(lexicon: Lexicon) -> TermFinder:
-    return TermFinder([*lexicon["relevance_terms"], *lexicon["finance_relevant"]])
+    return TermFinder([*lexicon["relevance_terms"], *lexicon["finance_relevant"], *SKILL_MARKERS, *SERVICE_MARKERS, *MODEL_MARKERS])
 
 
 def with_routing_text(items: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
@@ -163,7 +164,7 @@ def with_topic(items: DataFrame, lexicon: Lexicon | None = None, overrides: Mapp
         "_model": F.coalesce(given("$.topic_classifier.model_used", "boolean"), F.lit(False)),
         "_scores": topic_scores(lexicon),
     })
-    text, source = F.col("search"), F.col("source")
+    text, source, terms = F.col("search"), F.col("source"), _terms(lexicon)
     broad = source.isin("hackernews", "alphaxiv")
     by_tag = (
         F.when(broad & F.array_contains("low_tags", "infra"), _decision(
@@ -173,7 +174,9 @@ def with_topic(items: DataFrame, lexicon: Lexicon | None = None, overrides: Mapp
     mapped = source_topic(source)
     body = F.lower(F.concat_ws(" ", T.text_or_empty(F.col("title")), T.text_or_empty(F.col("content"))))
     home = F.coalesce(mapped, F.lit(COMMUNITY))
-    home = F.when((home == COMMUNITY) & any_substring(body, MODEL_MARKERS), "AI Models & Agent").otherwise(home)
+    # the search text holds the body: only a marker in it can be one in the body
+    marked = terms.any(F.col("found"), MODEL_MARKERS) & any_substring(body, MODEL_MARKERS)
+    home = F.when((home == COMMUNITY) & marked, "AI Models & Agent").otherwise(home)
     has_paper = F.coalesce("arxiv_id", F.lit("")) != ""
     default_topic = F.when(has_paper, "Research Papers").otherwise(home)
     default_confidence = F.when(has_paper, 0.95).when(mapped.isNotNull(), 0.88).otherwise(0.55)
@@ -194,7 +197,7 @@ def with_topic(items: DataFrame, lexicon: Lexicon | None = None, overrides: Mapp
     out = (
         F.when(F.col("_explicit").isNotNull(),
                _decision(F.col("_explicit"), F.col("_confidence"), F.col("_method"), F.col("_reason"), F.col("_model")))
-        .when(any_substring(text, SKILL_MARKERS) & any_substring(text, SERVICE_MARKERS),
+        .when(terms.any(F.col("found"), SKILL_MARKERS) & terms.any(F.col("found"), SERVICE_MARKERS),
               _decision("Developer Tools", 0.95, "deterministic_service_skill_promotion", SKILL_REASON))
         .when(T.route_signal(text, lexicon), _decision("AI Models & Agent", 0.94, "deterministic_paradigm_shift_route", ROUTE_REASON)))
     if settings["enabled"]:
@@ -224,7 +227,8 @@ def group_by_category(items: DataFrame, lexicon: Lexicon | None = None, categori
     staged = with_topic(items, lexicon)
     known = F.col("topic_info.topic").isin(*(categories or TOPICS))
     placed = staged.withColumn("category", F.when(known, F.col("topic_info.topic")).otherwise(COMMUNITY))
-    return ranked(placed, by_score(), [*(by or []), "category"], "category_rank")
+    # written first: the ranges of the rank are found from a sample, which would run the rules above a second time
+    return ranked(cut_lineage(placed), by_score(), [*(by or []), "category"], "category_rank")
 
 
 # Source groups of the audit labels.
