@@ -170,12 +170,13 @@ def case_report_lines(reports: DataFrame, start, end, period_key: str, period: s
     lexicon = lexicon or Lexicon()
     run = ["period_key"]
     tag = lambda df: df.withColumn("period_key", F.lit(period_key))
-    cases = M.extract_cases(reports)
-    counts = report_keyword_counts(cases, lexicon)
-    scored = score_cases(cases, counts, lexicon)
+    # each table is used by several of the next: written once instead of computed again
+    cases = cut_lineage(M.extract_cases(reports))
+    counts = cut_lineage(report_keyword_counts(cases, lexicon))
+    scored = cut_lineage(score_cases(cases, counts, lexicon))
     order = [F.col("case_score").desc(), F.col("title_length"), F.col("report_id"), F.col("pos")]
     best = scored.orderBy(*order).limit(10).withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
-    best = tag(best)
+    best = cut_lineage(tag(best))
     size = lambda df, name: df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
     totals = size(reports, "files").join(size(scored, "cases"), "_one").drop("_one")
     words = counts.orderBy(F.col("n").desc(), "first_seen").limit(3).agg(F.array_join(F.transform(
