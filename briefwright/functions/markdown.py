@@ -12,21 +12,21 @@ from pyspark.sql.types import ArrayType, StringType
 
 from briefwright.functions import text as T
 from briefwright.functions.urls import percent_encode
-from briefwright.lexicon import any_substring
+from briefwright.lexicon import any_substring, let
 
 
 def clean_label(label: Column) -> Column:
     """No square brackets in a link label; ``link`` when nothing is left."""
     bare = lambda value: T.strip(F.regexp_replace(value, r"[\[\]]", ""))
-    text = F.when(T.text_or_empty(label) == "", F.lit("link")).otherwise(label)
-    return F.when(bare(text) == "", "link").otherwise(bare(text))
+    text = let(label, lambda x: F.when(T.text_or_empty(x) == "", F.lit("link")).otherwise(x))
+    return let(bare(text), lambda x: F.when(x == "", "link").otherwise(x))
 
 
 def display_title(title: Column) -> Column:
     """First non-empty line without links, list marks and brackets."""
     raw = T.strip(F.regexp_replace(T.text_or_empty(title), r"https?://\S+", ""))
-    lines = F.filter(F.transform(F.split(raw, r"\R"), lambda x: T.strip(x)), lambda x: x != "")
-    first = F.coalesce(F.try_element_at(lines, F.lit(1)), raw)
+    lines = lambda text: F.filter(F.transform(F.split(text, r"\R"), lambda x: T.strip(x)), lambda x: x != "")
+    first = let(raw, lambda text: F.coalesce(F.try_element_at(lines(text), F.lit(1)), text))
     bare = T.strip(F.regexp_replace(first, r"^[-*•]\s+", ""))
     return T.compact_inline(clean_label(bare))
 
@@ -34,15 +34,15 @@ def display_title(title: Column) -> Column:
 def markdown_link(label: Column, url: Column) -> Column:
     target = T.strip(T.text_or_empty(url))
     web = target.startswith("http://") | target.startswith("https://")
-    return F.when(web, F.concat(F.lit("["), clean_label(label), F.lit("]("), percent_encode(target), F.lit(")"))).otherwise(clean_label(label))
+    return let(clean_label(label), lambda x: F.when(web, F.concat(F.lit("["), x, F.lit("]("), percent_encode(target), F.lit(")"))).otherwise(x))
 
 
 def item_link(title: Column, url: Column, max_chars: int | None = None) -> Column:
     """Linked display title, plain when the row has no link."""
     shown = display_title(title)
     if max_chars:
-        shown = F.when(F.length(shown) > max_chars, F.concat(F.rtrim(F.substring(shown, 1, max_chars - 1)), F.lit("…"))).otherwise(shown)
-    return F.when(T.strip(T.text_or_empty(url)) != "", markdown_link(shown, url)).otherwise(shown)
+        shown = let(shown, lambda x: F.when(F.length(x) > max_chars, F.concat(F.rtrim(F.substring(x, 1, max_chars - 1)), F.lit("…"))).otherwise(x))
+    return let(shown, lambda x: F.when(T.strip(T.text_or_empty(url)) != "", markdown_link(x, url)).otherwise(x))
 
 
 def item_line(title: Column, author: Column, url: Column, score: Column) -> Column:

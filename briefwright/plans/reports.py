@@ -12,6 +12,7 @@ from briefwright.operators.aggregates import category_signals, health_lines, pla
 from briefwright.operators.ranking import ranked, top_k
 from briefwright.plans.calendar import PERIOD_NAMES
 from briefwright.plans.ledger import chunk_rows
+from briefwright.session import cut_lineage
 
 ORD = ["part", "a", "b"]
 
@@ -52,8 +53,9 @@ def to_text(lines: DataFrame, run: Sequence[str]) -> DataFrame:
 
 
 def numbered(lines: DataFrame, run: Sequence[str]) -> DataFrame:
-    """(run, ord, line) with a plain line number; a report may have any number of lines."""
-    return ranked(lines, [*[F.col(c) for c in ORD], F.col("line")], run, "ord").select(*run, "ord", "line")
+    """(run, ord, line) with a plain line number; a report may have any number of lines. They are written before they are ranked, as
+    the ranges of the rank are found from a sample, which would compute them a second time."""
+    return ranked(cut_lineage(lines), [*[F.col(c) for c in ORD], F.col("line")], run, "ord").select(*run, "ord", "line")
 
 
 # Headings and notes of the reports.
@@ -173,7 +175,9 @@ def supplement_lines(missing: DataFrame, reports: DataFrame, key: str = "report_
 
 
 def chunk_lines(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Deterministic summary lines per chunk: best rows, category signals, first rows of each category."""
+    """Deterministic summary lines per chunk: best rows, category signals, first rows of each category. The rows are written once, as
+    all kinds of lines read them."""
+    rows = cut_lineage(rows)
     shown = chunk_rows(rows, by).withColumn("link", M.item_link(F.col("event_title"), F.col("url")))
     suffix = F.when(T.text_or_empty(F.col("reason")) != "", _cat("：", F.col("reason"))).otherwise("")
     meta = F.concat_ws(" / ", F.nullif("category", F.lit("")), F.nullif("source", F.lit("")))
