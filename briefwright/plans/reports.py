@@ -70,8 +70,12 @@ EVENTS_HEADING = "最近要发生的重要产业事件"
 
 def daily_lines(events: DataFrame, members: DataFrame, top_n: int = 10) -> DataFrame:
     """Headlines with up to three supporting links, then up to three other events per topic in the order the
-    topics appear. Without a selection the first ``top_n`` events lead."""
+    topics appear. Without a selection the first ``top_n`` events lead.
+
+    What the lines need of the events is written first: each kind of line reads them, and the selection would be made again for each."""
     run = ["_run"]
+    main = F.struct(*[F.col(f"main.{c}").alias(c) for c in ("url", "source", "tier")]).alias("main")
+    events = cut_lineage(events.select(*run, "event", "event_rank", "event_score", "category", "event_title", "selected", "selection_rank", main))
     chosen = events.groupBy(*run).agg(F.bool_or("selected").alias("has_selection"))
     marked = events.join(chosen, run).withColumns({
         "lead": F.when(F.col("has_selection"), F.col("selected")).otherwise(F.col("event_rank") <= top_n),
