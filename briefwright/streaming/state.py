@@ -14,28 +14,39 @@ from briefwright.operators.filters import lookback_hours
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Keys are dealt to so many buckets. It is fixed, as the state of a stream is kept by bucket.
+BUCKETS = 4096
+
+
 class FirstEver(StatefulProcessor):
-    """Gives the first row of a key, once and for ever: the state is a mark without expiry."""
+    """Gives the first row of each key of a bucket, once and for ever: the state is the list of the keys that the bucket has met, without expiry. A call
+    takes all rows that a batch brings to the bucket and reads and writes the list as a whole, as a request for each key takes far longer; it
+    holds the keys of its bucket and one row of each key of the batch."""
 
-    def __init__(self, order: Sequence[str]):
-        self.order = list(order)
+    def __init__(self, columns: Sequence[str], key: str, order: Sequence[str]):
+        self.columns, self.key, self.order = list(columns), key, list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.met = handle.getValueState("met", "since string")
+        self.met = handle.getListState("met", "key string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.met.exists():
-            return
+    def _names(self, keys: pd.Series) -> list[str | None]:
+        return [None if pd.isna(k) else str(k) for k in keys]
+
+    def handleInputRows(self, bucket, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
-        for part in rows:  # a key's rows come in parts; one row is held
+        for part in rows:  # a bucket's rows come in parts
             both = part if first is None else pd.concat([first, part])
-            first = both.sort_values(self.order, kind="stable").head(1)
-        if first is not None:
-            self.met.update((str(first[self.order[0]].iloc[0]),))
-            yield first
+            first = both.sort_values(self.order, kind="stable").drop_duplicates(self.key)
+        if first is None:
+            return
+        names, met = self._names(first[self.key]), {k for k, in self.met.get()}
+        new = [k not in met for k in names]
+        if any(new):
+            self.met.appendList([(k,) for k in names if k not in met])
+            yield first[new][self.columns]
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.met.update(("published before",))
+    def handleInitialState(self, bucket, initialState: pd.DataFrame, timerValues) -> None:
+        self.met.appendList([(k,) for k in self._names(initialState[self.key])])
 
     def close(self) -> None:
         pass
@@ -45,8 +56,9 @@ def first_ever(items: DataFrame, seen: DataFrame | None = None, key: str = "cont
     """The first row of each key that the stream has ever brought, whatever the time between two of them; keys of the permanent table
     ``seen`` have been met before the stream began. Replayed files and restarts change nothing. Of the rows of a key in one batch the first by ``order`` is given."""
     items.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    known = seen.select(key).distinct().groupBy(key) if seen is not None else None
-    return items.groupBy(key).transformWithStateInPandas(FirstEver(order), items.schema, "append", "none", known)
+    dealt = lambda df: df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"))
+    known = dealt(seen.select(key).distinct()).groupBy("_bucket") if seen is not None else None
+    return dealt(items).groupBy("_bucket").transformWithStateInPandas(FirstEver(items.columns, key, order), items.schema, "append", "none", known)
 
 
 def look_back_step(folder: str, hours: Mapping[str, int], publish: Callable[[DataFrame, int], None], default_hours: int = 24) -> Callable[[DataFrame, int], None]:

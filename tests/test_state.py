@@ -60,3 +60,16 @@ def test_streamed_table_is_a_file_a_folder_or_empty(spark, tmp_path):
     for sf, rows in ((folder, want), (single, want), (empty, [])):
         found = weekly(spark, sf).groupBy("term").agg(F.sum("n").alias("n"))
         assert sorted((r.term, r.n) for r in found.collect()) == rows, sf
+
+
+def test_once_ever_calls_take_many_keys(spark, tmp_path, monkeypatch):
+    """Keys are dealt to buckets: with one bucket, one call takes all of them, and each key still comes once, by its first row."""
+    monkeypatch.setattr(state, "BUCKETS", 1)
+    schema, folder = "content_hash string, published_at timestamp, url string", str(tmp_path)
+    seen = spark.createDataFrame([(f"k{i}",) for i in range(0, 200, 10)], "content_hash string")
+    files = [[(f"k{i}", START + d * DAY, f"{i}-{d}") for i in range(100) for d in (2, 1)], [(f"k{i}", START, f"{i}-0") for i in range(50, 200)], [(None, START, "n"), (None, START, "n")]]
+    for rows in files:
+        land(spark, rows, f"{folder}/landing", schema)
+        out = streams.run_to_completion(state.first_ever(streams.landed_items(spark, f"{folder}/landing", schema=schema), seen), folder)
+    want = [f"{i}-1" if i < 100 else f"{i}-0" for i in range(200) if i % 10] + ["n"]
+    assert sorted(r.url for r in out.collect()) == sorted(want)
