@@ -2,10 +2,11 @@
 
 Adjacent symbol pairs wait in an agenda ordered by score, leftmost first on ties; the best pair is merged and its new
 neighbours join the agenda. No vocabulary entry has a space mark after another character, so a merge never crosses the
-start of a run of space marks: texts are cut there and each different chunk is solved once per worker.
+start of a run of space marks: texts are cut there and each different chunk is solved once per worker. The agendas of many
+chunks are the rows of a matrix, which all take their best pair at once; those of a few, and of long ones, are lists and heaps.
 The sentencepiece library supplies the vocabulary and the normaliser, and checks every Arrow batch: what the batch brought that is new to the
-worker is encoded and decoded by the library too, and a difference fails the task. Chunks that the library can't be given alone are
-checked with their whole texts.
+worker is encoded and decoded by the library too, in one text, and a difference fails the task. Chunks that the library can't be given in one text
+are checked alone, and those that it can't be given alone with their whole texts.
 
 Cases: a null text counts as empty; an empty text has only begin and end ids; rows and ids may repeat, each row is
 encoded on its own; an empty table gives an empty table; other columns are ignored. Unknown characters become byte pieces.
@@ -13,8 +14,10 @@ encoded on its own; an empty table gives an empty table; other columns are ignor
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -31,10 +34,14 @@ SPACE = "▁"
 REMEMBERED, REMEMBERED_BYTES = 100_000, 24 << 20
 #: Longer chunks, as whole paragraphs of texts without spaces, are hardly met twice and are not remembered.
 LONG = 64
-#: Chunks solved after which they are checked, so that what the library returns for them stays small.
-CHECKED = 2048
-#: Chunks of up to so many characters have a list as agenda; NEVER is no rank.
-SHORT, NEVER = 48, 1 << 60
+#: Characters of texts that are encoded together and then checked, so that what is held for them stays small.
+TOGETHER = 1 << 18
+#: Chunks of up to so many characters have a list or a row as agenda, from MANY of them on a row; NEVER is no rank.
+SHORT, MANY, NEVER = 48, 256, 1 << 60
+#: Widths of the matrices of agendas; PAD fills a row, a symbol has BITS bits, a character that is no entry is numbered behind the entries.
+WIDTHS, PAD, BITS = (6, 9, 12, 16, 24, SHORT), (1 << 22) - 1, 22
+#: Chunks that the library is given in one text for the check.
+JOINED = 64
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -61,15 +68,18 @@ class Pieces:
         self.is_byte = [i in value for i in range(n)]
         self.bytes[self.unknown] = " ⁇ ".encode()
         self.packed = [np.array([i], "<u4").tobytes() for i in range(n)]
-        #: by symbol: its id, packed, and its text
-        self.known = {p: (self.packed[i], self.bytes[i]) for p, i in self.id.items()}
+        self.known = {p: self.packed[i] for p, i in self.id.items()}
         #: a line break stands alone if no entry joins it to anything
         self.alone = not any("\n" in p and len(p) > 1 for p in self.id)
-        self.chunks = _Chunks(self)
-        self.words = _Words(self.chunks)
-        self.fresh: list[tuple[str, bytes, bytes]] = []
+        self.n_bytes = np.array([len(b) for b in self.bytes])
+        #: packed ids by chunk; what has been solved since the last check, and its ids
+        self.memory: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.fresh: list[str] = []
+        self.fresh_ids: list[bytes] = []
         self.used = 0
         self.edge = [self.packed[i] if i >= 0 else b"" for i in (self.begin, self.end)]
+        self.tables: tuple[np.ndarray, ...] | None = None
 
     def merged(self, chunk: str) -> list[str]:
         """Symbols of a chunk after all merges. The agenda of a short chunk is a list that is searched for its best entry,
@@ -110,57 +120,207 @@ class Pieces:
                 heappush(agenda, (r, h))
         return [s for s in symbols if s]
 
-    def solve(self, chunk: str) -> tuple[bytes, bytes]:
-        """Packed ids of a chunk, and the text that they decode to."""
-        ids, text = [], []
+    def solve(self, chunk: str) -> bytes:
+        """Packed ids of a chunk."""
+        ids = []
         for symbol in self.merged(chunk):
             if (one := self.known.get(symbol)) is None:
-                some = [self.byte[b] for b in symbol.encode()] if self.byte else [self.unknown]
-                one = b"".join([self.packed[i] for i in some]), b"".join([self.bytes[i] for i in some])
-            ids.append(one[0])
-            text.append(one[1])
-        found = b"".join(ids), b"".join(text)
-        self.fresh.append((chunk, *found))
-        return found
+                one = b"".join([self.packed[self.byte[b]] for b in symbol.encode()]) if self.byte else self.packed[self.unknown]
+            ids.append(one)
+        return b"".join(ids)
+
+    def texts(self, packed: list[bytes]) -> list[bytes]:
+        """What each of these packed ids decodes to, with the space of its first piece."""
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        joined = b"".join(map(self.bytes.__getitem__, ids.tolist()))
+        at = np.concatenate([[0], np.cumsum(self.n_bytes[ids])])[np.cumsum([0, *[len(p) // 4 for p in packed]])].tolist()
+        return [joined[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+    def _number(self) -> None:
+        """What the matrices need: an entry has its id as symbol, other characters follow; the pairs that may be merged are sorted."""
+        n = len(self.piece)
+        symbol = np.arange(n, n + 0x110000, dtype=np.int32)
+        for p, i in self.id.items():
+            if len(p) == 1:
+                symbol[ord(p)] = i
+        number = lambda p: self.id.get(p, n + ord(p) if len(p) == 1 else None)
+        keys, values = array("q", [PAD << BITS | PAD]), array("q", [NEVER])
+        for p, i in self.id.items():
+            for k in range(1, len(p)):
+                if (left := number(p[:k])) is not None and (right := number(p[k:])) is not None:
+                    keys.append(left << BITS | right)
+                    values.append(self.rank[p] << BITS | i)
+        order = np.argsort(keys)
+        keys, values = np.array(keys)[order], np.array(values)[order]
+        self.tables = (symbol, keys, values, np.array([self.byte.get(k, self.unknown) for k in range(256)]))
+
+    def _values(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank, and behind it the merged symbol, of pairs of symbols; NEVER if they don't merge."""
+        _, keys, values, *_ = self.tables
+        key = left << BITS | right
+        at = np.searchsorted(keys, key)
+        return np.where(keys[at] == key, values[at], NEVER)
+
+    def _rows(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All merges of many chunks. In every round each chunk that has a pair left merges its best one, leftmost on ties, so all rows
+        stay of one length. Returns the places of the chunks in the order they were done, their numbers of symbols, and the symbols."""
+        length = np.array([len(c) for c in chunks])
+        width = int(length.max())
+        symbols = np.full((len(chunks), width), PAD, np.int64)
+        symbols[np.arange(width) < length[:, None]] = self.tables[0][np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4")]
+        agenda = self._values(symbols[:, :-1], symbols[:, 1:])
+        who, done = np.arange(len(chunks)), []
+        while width > 1:
+            rows = np.arange(len(who))
+            at = (agenda >> BITS).argmin(1)
+            best = agenda[rows, at]
+            go = best < NEVER
+            if not go.all():
+                done.append((who[~go], symbols[~go]))
+                who, symbols, agenda, at, best = who[go], symbols[go], agenda[go], at[go], best[go]
+                if not len(who):
+                    break
+                rows = np.arange(len(who))
+            symbols[rows, at] = best & PAD
+            keep = np.ones(symbols.shape, bool)
+            keep[rows, at + 1] = False
+            width -= 1
+            symbols, agenda = symbols[keep].reshape(len(rows), width), agenda[keep[:, 1:]].reshape(len(rows), width - 1)
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < width - 1)
+            row, pair = np.concatenate([left, right]), np.concatenate([at[left] - 1, at[right]])
+            agenda[row, pair] = self._values(symbols[row, pair], symbols[row, pair + 1])
+        else:
+            done.append((who, symbols))
+        return (np.concatenate([w for w, _ in done]), np.concatenate([(s != PAD).sum(1) for _, s in done]),
+                np.concatenate([s[s != PAD] for _, s in done]))
+
+    def solve_many(self, chunks: list[str]) -> None:
+        """As ``solve`` of each chunk, into the memory."""
+        short = sorted([c for c in chunks if 0 < len(c) <= SHORT], key=len)
+        single = chunks if len(short) < MANY else [c for c in chunks if not 0 < len(c) <= SHORT]
+        self._keep(single, [self.solve(c) for c in single])
+        if len(short) < MANY:
+            return
+        if self.tables is None:
+            self._number()
+        first = 0
+        for width in WIDTHS:
+            last = bisect_right(short, width, lo=first, key=len)
+            if last == first:
+                continue
+            group, first = short[first:last], last
+            order, count, symbols = self._rows(group)
+            ids, each = symbols, np.ones(len(symbols), np.int64)
+            raw = symbols >= len(self.piece)
+            if raw.any():  # characters that are no entry become bytes, or the unknown entry
+                text = "".join(map(chr, (symbols[raw] - len(self.piece)).tolist()))
+                if self.byte:
+                    each[raw] = [len(ch.encode()) for ch in text]
+                ids = np.repeat(symbols, each)
+                ids[np.repeat(raw, each)] = self.tables[3][np.frombuffer(text.encode(), np.uint8)] if self.byte else self.unknown
+            packed = ids.astype("<u4").tobytes()
+            place = (np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(count)])] * 4).tolist()
+            self._keep([group[k] for k in order.tolist()], [packed[i:j] for i, j in zip(place, place[1:], strict=False)])
+
+    def _keep(self, chunks: list[str], ids: list[bytes]) -> None:
+        self.memory.update(zip(chunks, ids, strict=True))
+        self.fresh += chunks
+        self.fresh_ids += ids
+        self.used += 200 * len(chunks) + 6 * sum(map(len, chunks)) + sum(map(len, ids))
+
+    def learn(self, chunks: set[str]) -> list[str]:
+        """Puts all chunks into the memory and returns those that should not stay there: long ones, and such of several lines."""
+        memory, old = self.memory, self.old
+        new = [c for c in chunks if c not in memory]
+        lines = {c: re.findall("\n|[^\n]+", c) for c in new if "\n" in c and len(c) > 1} if self.alone else {}
+        if lines:
+            new = [p for p in {*new, *[p for parts in lines.values() for p in parts]} if p not in lines and p not in memory]
+        again = {c: ids for c in new if (ids := old.get(c)) is not None} if old else {}
+        memory.update(again)
+        self.used += 200 * len(again) + sum([6 * len(c) + len(ids) for c, ids in again.items()])
+        self.solve_many([c for c in new if c not in again] if again else new)
+        for c, parts in lines.items():
+            memory[c] = b"".join([memory[p] for p in parts])
+        long = [c for c in new if len(c) > LONG]
+        self.used -= sum([200 + 6 * len(c) + len(memory[c]) for c in long])
+        return [*long, *lines]
 
     def check(self, texts: list[str], done: list[tuple[bytes, bytes]]) -> None:
         """Compares all chunks solved since the last check, of these texts, with the library's encoder and decoder."""
-        fresh, self.fresh = self.fresh, []
-        library = self.library
+        rows = [(c, i) for c, i in zip(self.fresh, self.fresh_ids, strict=True) if c]
+        self.fresh, self.fresh_ids = [], []
         # a mark in front is what the normaliser adds; a chunk from inside a line follows a line break, which stands alone
-        alone = [(c[1:].replace(SPACE, " "), c, i, d) for c, i, d in fresh if c[:1] == SPACE]
-        inside = [("\n" + c, c, i, d) for c, i, d in fresh if c[:1] != SPACE]
-        before = array("I", library.encode("\n")).tobytes()
+        words, inside, other = [], [], []
+        for row in rows:
+            (inside if row[0][0] != SPACE else other if row[0][1:2] in ("", SPACE) else words).append(row)
         whole = bool(inside) and not self.alone
-        for rows, prefix, lead in ((alone, b"", ""), (inside, before, SPACE + "\n")):
-            found = library.encode([t for t, *_ in rows], num_threads=1) if rows else []
-            back = library.decode(found, num_threads=1) if rows else []
-            for (t, c, i, d), ids, text in zip(rows, found, back, strict=True):
-                d = prefix and b"\n" + d or d
-                if array("I", ids).tobytes() == prefix + i and text.encode() == (d[1:] if d[:1] == b" " else d):
-                    continue
-                if library.normalize(t) == lead + c:
-                    raise ValueError(f"the library encodes or decodes otherwise: {c[:80]!r}")
-                whole = True  # alone, the chunk is another one
         if whole:
-            for text, (i, d), ids in zip(texts, done, library.encode(texts, add_bos=True, add_eos=True, num_threads=1), strict=True):
-                if np.array(ids, "<u4").tobytes() != i or library.decode(ids).encode() != d:
+            other += inside
+            inside = []
+        for some, in_line in ((words, True), (inside, False)):
+            other += self._differ(some, in_line)
+        if other:
+            whole |= self._differ_alone(other)
+        if whole:
+            for text, (i, d), ids in zip(texts, done, self.library.encode(texts, add_bos=True, add_eos=True, num_threads=1), strict=True):
+                if np.array(ids, "<u4").tobytes() != i or self.library.decode(ids).encode() != d:
                     raise ValueError(f"the library encodes or decodes otherwise: {text[:80]!r}")
 
+    def _differ(self, rows: list[tuple[str, bytes]], in_line: bool) -> list[tuple[str, bytes]]:
+        """Gives the library JOINED chunks in one text each, as nothing is merged across the start of a chunk with a mark or across a line
+        break that stands alone. Returns the chunks of the texts that it encodes or decodes otherwise, and those whose ids are not as long as they."""
+        if not rows:
+            return []
+        sizes = [len(i) // 4 for _, i in rows]
+        ends = np.concatenate([[0], np.cumsum(self.n_bytes[np.frombuffer(b"".join([i for _, i in rows]), "<u4")])])[np.cumsum([0, *sizes])]
+        if np.diff(ends).tolist() != [len(c.encode()) - 2 * c.count(SPACE) for c, _ in rows]:
+            return rows
+        groups = [rows[k : k + JOINED] for k in range(0, len(rows), JOINED)]
+        if in_line:
+            given = [" ".join([c[1:] for c, _ in g]) for g in groups]
+            want = [b"".join([i for _, i in g]) for g in groups]
+        else:
+            line, lead = self.solve("\n"), array("I", self.library.encode("\n")).tobytes()
+            given = ["\n" + "\n".join([c for c, _ in g]) for g in groups]
+            want = [lead + line.join([i for _, i in g]) for g in groups]
+        found = self.library.encode(given, num_threads=1)
+        back = self.library.decode(found, num_threads=1)
+        return [row for g, ids, text, w, own in zip(groups, found, back, want, self.texts(want), strict=True)
+                if array("I", ids).tobytes() != w or text.encode() != own[own[:1] == b" " :] for row in g]
+
+    def _differ_alone(self, rows: list[tuple[str, bytes]]) -> bool:
+        """Gives the library each chunk alone and fails on a difference; true if it took a chunk for another one."""
+        library, whole = self.library, False
+        before = array("I", library.encode("\n")).tobytes()
+        given = [c[1:].replace(SPACE, " ") if c[0] == SPACE else "\n" + c for c, _ in rows]
+        found = library.encode(given, num_threads=1)
+        back = library.decode(found, num_threads=1)
+        own = self.texts([i for _, i in rows])
+        for (c, i), t, ids, text, d in zip(rows, given, found, back, own, strict=True):
+            prefix, lead = (b"", "") if c[0] == SPACE else (before, SPACE + "\n")
+            d = b"\n" + d if prefix else d
+            if array("I", ids).tobytes() == prefix + i and text.encode() == d[d[:1] == b" " :]:
+                continue
+            if library.normalize(t) == lead + c:
+                raise ValueError(f"the library encodes or decodes otherwise: {c[:80]!r}")
+            whole = True  # alone, the chunk is another one
+        return whole
+
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids (little-endian, unsigned, 32 bits) with begin and end ids, and the text they decode to."""
-        if max(len(self.chunks), len(self.words)) > REMEMBERED or self.used > REMEMBERED_BYTES:
-            for memory in (self.chunks, self.words):
-                memory.old = dict(memory)
-                memory.clear()
-            self.used = 0
-        plain = self.library.normalize(text)
-        if plain.startswith(SPACE) and SPACE + SPACE not in plain and not plain.endswith(SPACE):
-            solved = list(map(self.words.__getitem__, plain.split(SPACE)[1:]))
-        else:
-            solved = list(map(self.chunks.__getitem__, _RUNS.findall(plain)))
-        decoded = b"".join([d for _, d in solved])
-        return b"".join([self.edge[0], *[i for i, _ in solved], self.edge[1]]), decoded[1:] if decoded[:1] == b" " else decoded
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """As ``encode`` of each text."""
+        if len(self.memory) > REMEMBERED or self.used > REMEMBERED_BYTES:
+            self.old, self.memory, self.used = self.memory, {}, 0
+        cut = [_RUNS.findall(self.library.normalize(t)) for t in texts]
+        passing = self.learn(set().union(*cut))
+        find, (begin, end) = self.memory.__getitem__, self.edge
+        packed = [b"".join([begin, *map(find, chunks), end]) for chunks in cut]
+        for chunk in passing:
+            del self.memory[chunk]
+        return [(i, d[d[:1] == b" " :]) for i, d in zip(packed, self.texts(packed), strict=True)]
 
     def decode(self, ids) -> str:
         """The text of any ids: control ids are nothing, runs of byte pieces are read as UTF-8, a wrong byte is U+FFFD,
@@ -195,42 +355,6 @@ def _utf8(run: bytes) -> str:
     return "".join(out)
 
 
-class _Chunks(dict):
-    def __init__(self, pieces: Pieces):
-        self.pieces = pieces
-        self.old: dict[str, tuple[bytes, bytes]] = {}
-
-    def __missing__(self, chunk: str) -> tuple[bytes, bytes]:
-        if (found := self.old.get(chunk)) is not None:
-            pass
-        elif self.pieces.alone and "\n" in chunk and len(chunk) > 1:
-            parts = [self[p] for p in re.findall("\n|[^\n]+", chunk)]
-            found = b"".join(p[0] for p in parts), b"".join(p[1] for p in parts)
-        else:
-            found = self.pieces.solve(chunk)
-        if len(chunk) <= LONG:
-            self[chunk] = found
-            self.pieces.used += 200 + 6 * len(chunk) + len(found[0])
-        return found
-
-
-class _Words(dict):
-    """Chunks that begin with one space mark, by the rest."""
-
-    def __init__(self, chunks: _Chunks):
-        self.chunks = chunks
-        self.old: dict[str, tuple[bytes, bytes]] = {}
-
-    def __missing__(self, word: str) -> tuple[bytes, bytes]:
-        if "\n" in word:  # rarely met twice
-            return self.chunks.__missing__(SPACE + word)
-        found = self.old.get(word) or self.chunks.pieces.solve(SPACE + word)
-        if len(word) <= LONG:
-            self[word] = found
-            self.chunks.pieces.used += 200 + 6 * len(word) + len(found[0])
-        return found
-
-
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
@@ -242,17 +366,21 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
+        gc.disable()  # the memory is many small objects without cycles, which would be gone through again and again
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                done, first_open = [], 0
+                done, first_open, size = [], 0, 0
                 for k, text in enumerate(texts, 1):
-                    done.append(model.encode(text))
-                    if check and (len(model.fresh) >= CHECKED or k == len(texts)):
-                        model.check(texts[first_open:k], done[first_open:k])
-                        first_open = k
-                model.fresh.clear()
+                    size += len(text)
+                    if size >= TOGETHER or k == len(texts):
+                        some = texts[first_open:k]
+                        done += (found := model.encode_all(some))
+                        if check:
+                            model.check(some, found)
+                        model.fresh, model.fresh_ids = [], []
+                        first_open, size = k, 0
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(i) // 4 for i, _ in done], pa.int64()), pa.array([i for i, _ in done], pa.binary()),
                      pa.array([d for _, d in done], pa.binary()).cast(pa.string())], names=["id", "n_tokens", "ids", "decoded"])

@@ -71,3 +71,34 @@ def test_a_memory_that_is_full_of_long_chunks_changes_nothing(monkeypatch):
     monkeypatch.setattr(subwords, "REMEMBERED_BYTES", 10_000)
     model = subwords.Pieces(PIECES)
     assert [model.encode(t) for t in texts] == want and model.used < 40_000
+
+
+def test_agendas_of_many_chunks_merge_as_those_of_one():
+    rng = random.Random(4)
+    chunks = {"▁" + "".join(rng.choice("etaoinshrdlu.é日😀1\x07") for _ in range(rng.randrange(0, 60))) for _ in range(1500)}
+    model, one = subwords.Pieces(PIECES), subwords.Pieces(PIECES)
+    model.solve_many(list(chunks))
+    assert model.tables and sorted(model.fresh) == sorted(chunks)
+    assert model.memory == {c: one.solve(c) for c in chunks}
+
+
+def test_many_texts_at_once_are_encoded_and_checked():
+    import pytest
+
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("etaoinshr\n日é") for _ in range(rng.randrange(0, 12))) for _ in range(60)) for _ in range(40)] + [t or "" for _, t in TEXTS]
+    model = subwords.Pieces(PIECES)
+    done = model.encode_all(texts)
+    want = model.library.encode(texts, add_bos=True, add_eos=True)
+    assert [ids(i) for i, _ in done] == want and [d.decode() for _, d in done] == [model.library.decode(w) for w in want]
+    kept = model.fresh, model.fresh_ids
+    model.check(texts, done)
+    # two ids of one chunk change places, and a chunk gives its last id to the next one
+    k = next(k for k, (c, i) in enumerate(zip(*kept)) if c[1:].isalpha() and c[0] == "▁" and len(i) > 8 and kept[0][k + 1][0] == "▁")
+    swapped, moved = list(kept[1]), list(kept[1])
+    swapped[k] = swapped[k][:-8] + swapped[k][-4:] + swapped[k][-8:-4]
+    moved[k], moved[k + 1] = moved[k][:-4], moved[k][-4:] + moved[k + 1]
+    for wrong in (swapped, moved):
+        model.fresh, model.fresh_ids = list(kept[0]), wrong
+        with pytest.raises(ValueError, match="otherwise"):
+            model.check(texts, done)
